@@ -24,10 +24,18 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# Text-heavy tables and the key used to spread them across cores.
+SPREAD_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "lineitem": "l_orderkey",
+               "orders": "o_orderkey", "events": "event_id"}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
+    from textforge.sources.tables import read_table
+
+    key = SPREAD_KEYS.get(name)
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", key, spread_rows and key is not None)
 
 
 def _load_all() -> None:
     # Importing the modules fills QUERIES.
-    from textforge.plans import q_clean  # noqa: F401
+    from textforge.plans import q_clean, q_enrich, q_reports  # noqa: F401
