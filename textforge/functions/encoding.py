@@ -18,6 +18,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 # Quote characters folded to ASCII (single, then double).
@@ -113,11 +114,15 @@ def _fix_native_py(s: str) -> str:
     return re.sub("[\x00-\x08\x0b\x0e-\x1f\x7f￹-￼]", "", s)
 
 
-@pandas_udf("string")
+@pandas_udf(T.StringType())
 def _fix_text_udf(s: pd.Series) -> pd.Series:
     return s.map(fix_text_python, na_action="ignore")
 
 
+# Nondeterministic only to keep Catalyst from duplicating the call into filters.
+_fix_text_udf = _fix_text_udf.asNondeterministic()
+
+
 def fix_encoding_native(col: Column) -> Column:
     c = F.translate(col, CURLY_SINGLE + CURLY_DOUBLE, "'" * len(CURLY_SINGLE) + '"' * len(CURLY_DOUBLE))
     for a, b in LIGATURES:
