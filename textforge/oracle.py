@@ -84,6 +84,14 @@ def sql_space_after(e: str) -> str:
 
 def sql_clean(e: str, cfg: CleaningConfig) -> str:
     """SQL twin of ``clean_text`` (fix_encoding and typos must be off)."""
+    e = sql_clean_pre(e, cfg)
+    if cfg.normalize_whitespace:
+        e = sql_ws(e)
+    return e
+
+
+def sql_clean_pre(e: str, cfg: CleaningConfig) -> str:
+    """Steps 1-8 (everything before typo correction)."""
     assert not cfg.fix_encoding, "fix_encoding has no SQL twin"
     if cfg.remove_html_tags:
         e = sql_html(e)
@@ -99,8 +107,6 @@ def sql_clean(e: str, cfg: CleaningConfig) -> str:
         e = sql_excess(e)
     if cfg.add_space_after_punctuation:
         e = sql_space_after(e)
-    if cfg.normalize_whitespace:
-        e = sql_ws(e)
     return e
 
 
