@@ -80,3 +80,6 @@ class PipelineConfig:
     entity_types: tuple[str, ...] = DEFAULT_ENTITY_TYPES
     language_min_chars: int = 10
     words_per_minute: int = 200
+    # Write shared intermediates to the checkpoint folder instead of letting
+    # each plan branch recompute the text chain.
+    materialize: bool = True

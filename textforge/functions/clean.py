@@ -175,17 +175,21 @@ register_step("remove_emoji", remove_emoji)
 
 
 # Composition -------------------------------------------------------
-def clean_text_before_typos(col: Column | str, cfg: CleaningConfig) -> Column:
-    """Steps 1-8 of the chain (everything that precedes typo correction)."""
+def clean_text_before_typos(col: Column | str, cfg: CleaningConfig, python_ok: bool = True) -> Column:
+    """Steps 1-8 of the chain (everything that precedes typo correction).
+
+    ``python_ok=False`` (inside higher-order-function lambdas, where Python
+    UDFs are not allowed) keeps only the native part of encoding repair.
+    """
     c = _c(col)
     if cfg.remove_html_tags:
         c = remove_html_tags(c)
     if cfg.normalize_whitespace:
         c = normalize_whitespace(c)
     if cfg.fix_encoding:
-        from textforge.functions.encoding import fix_encoding
+        from textforge.functions.encoding import fix_encoding, fix_encoding_native
 
-        c = fix_encoding(c)
+        c = fix_encoding(c) if python_ok else fix_encoding_native(c)
     if cfg.standardize_currency:
         c = standardize_currency(c)
     if cfg.standardize_units:
@@ -209,7 +213,7 @@ def clean_text_after_typos(col: Column | str, cfg: CleaningConfig) -> Column:
     return c
 
 
-def clean_text(col: Column | str, cfg: CleaningConfig | None = None) -> Column:
+def clean_text(col: Column | str, cfg: CleaningConfig | None = None, python_ok: bool = True) -> Column:
     """The chain without the relational typo step (typos: ``operators.typo``)."""
     cfg = cfg or CleaningConfig()
-    return clean_text_after_typos(clean_text_before_typos(col, cfg), cfg)
+    return clean_text_after_typos(clean_text_before_typos(col, cfg, python_ok), cfg)

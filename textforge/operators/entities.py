@@ -192,4 +192,4 @@ def entity_words(entities: Column) -> Column:
 def first_date_text(entities: Column, fallback: Column) -> Column:
     """Text of the first DATE entity, else the whole cleaned text."""
     d = F.filter(entities, lambda e: e["type"] == "DATE")
-    return F.coalesce(F.element_at(d, 1)["text"], fallback)
+    return F.coalesce(F.try_element_at(d, F.lit(1))["text"], fallback)

@@ -142,5 +142,5 @@ def correct_typos(df: DataFrame, id_col: str, text_col: str, dictionary: DataFra
     joined = df.join(per_doc, df[id_col] == per_doc["_id"], "left").drop("_id")
     rebuilt = F.array_join(
         F.transform(tokens_of(F.col(text_col)),
-                    lambda t, i: F.coalesce(F.element_at(F.col("_fixes"), i), t)), " ")
+                    lambda t, i: F.coalesce(F.try_element_at(F.col("_fixes"), i), t)), " ")
     return joined.withColumn(out_col, rebuilt).drop("_fixes")
