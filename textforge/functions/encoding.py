@@ -135,3 +135,8 @@ def fix_encoding(col: Column) -> Column:
     """Native repair for every row; Arrow UDF only where the gate fires."""
     gated = F.when(col.rlike(NEEDS_PYTHON), col)
     return F.coalesce(_fix_text_udf(gated), fix_encoding_native(col))
+
+
+from textforge._ship import by_value  # noqa: E402
+
+by_value(__name__)
