@@ -159,3 +159,47 @@ def batch_chunks_documents_jsonl(spark, sf_dir):
     )
     return g.select("batch_id", "n_lines", "n_valid", "n_empty",
                     F.col("_n").between(1, 1000).alias("accepted"))
+
+
+@register(
+    "document_status_jsonl",
+    sql=f"""WITH x AS ({EXPECTED}),
+sub AS (SELECT concat('doc-', CAST(doc_id AS VARCHAR)) AS document_id FROM documents),
+res AS (SELECT document_id FROM x WHERE status = 'valid'),
+bad AS (SELECT document_id, min(error_type) AS error_type FROM x WHERE status IN ('json_error', 'validation_error')
+        GROUP BY document_id)
+SELECT coalesce(sub.document_id, res.document_id, bad.document_id) AS document_id,
+  CASE WHEN res.document_id IS NOT NULL THEN 'success' WHEN bad.document_id IS NOT NULL THEN 'failure'
+       ELSE 'pending' END AS status,
+  CASE WHEN res.document_id IS NULL THEN bad.error_type END AS error_type
+FROM sub FULL OUTER JOIN res ON sub.document_id = res.document_id
+FULL OUTER JOIN bad ON coalesce(sub.document_id, res.document_id) = bad.document_id""",
+)
+def document_status_jsonl(spark, sf_dir):
+    """Pending / success / failure per submitted id (full outer joins)."""
+    c = _classified(spark, sf_dir)
+    sub = table(spark, sf_dir, "documents").select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("document_id"))
+    res = c.filter(F.col("status") == "valid").select(F.col("document_id").alias("r_id"))
+    bad = (c.filter(F.col("status").isin("json_error", "validation_error"))
+           .groupBy(F.col("document_id").alias("b_id")).agg(F.min("error_type").alias("error_type")))
+    j = sub.join(res, sub.document_id == res.r_id, "full_outer")
+    k = F.coalesce(F.col("document_id"), F.col("r_id"))
+    j = j.select(k.alias("k"), "r_id").join(bad, F.col("k") == bad.b_id, "full_outer")
+    return j.select(
+        F.coalesce(F.col("k"), F.col("b_id")).alias("document_id"),
+        F.when(F.col("r_id").isNotNull(), "success").when(F.col("b_id").isNotNull(), "failure").otherwise("pending")
+        .alias("status"),
+        F.when(F.col("r_id").isNull(), F.col("error_type")).alias("error_type"),
+    )
+
+
+@register(
+    "incremental_unprocessed",
+    sql="""SELECT d.doc_id, d.source FROM documents d ANTI JOIN labels l ON d.doc_id = l.doc_id
+ORDER BY d.doc_id LIMIT 1000""",
+)
+def incremental_unprocessed(spark, sf_dir):
+    """Rows not yet processed (no label row), capped at 1,000 as the reference's pull."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "source")
+    done = table(spark, sf_dir, "labels", spread_rows=False).select("doc_id")
+    return d.join(done, "doc_id", "left_anti").orderBy("doc_id").limit(1000)
