@@ -94,6 +94,7 @@ def test_streaming_equals_batch(spark, tmp_dir):
             for i in range(3):
                 fh.write(json.dumps({"document_id": f"d{(f + i) % 6}", "text": f"v{f} text {i}"}) + "\n")
             fh.write("not json\n")
+        os.utime(f"{src}/f{f}.jsonl", (1_700_000_000 + f * 100, 1_700_000_000 + f * 100))  # file-source order
     cfg = PipelineConfig(cleaning=CleaningConfig(fix_encoding=False, enable_typo_correction=False),
                          entity_recognition=False)
     q = start_ingest_stream(spark, src, f"{tmp_dir}/table", f"{tmp_dir}/quarantine", f"{tmp_dir}/ckpt", cfg,

@@ -51,7 +51,10 @@ def test_candidates_match_brute_force(spark):
 
 
 def test_correct_text_rules(spark):
-    d = spark.createDataFrame([("the", 50), ("apple", 10), ("san", 3), ("can", 40)], "word string, freq long")
+    words = {"the": 50, "apple": 10, "san": 3, "can": 40, "this": 9, "is": 30, "a": 40, "test": 5, "with": 20,
+             "typos": 2, "like": 8, "and": 45, "in": 35, "quick": 4, "brown": 3, "fox": 2, "ate": 2, "an": 20,
+             "mixed": 2}
+    d = spark.createDataFrame(list(words.items()), "word string, freq long")
     docs = spark.createDataFrame([
         (1, "Teh quick brown fox ate an appel.", None),
         (2, "This is a test with typos like teh and appel in San Francisco", ["san", "francisco"]),

@@ -175,3 +175,18 @@ SELECT {LI_KEYS}, {O.sql_clean('sentence', OVERRIDE)} AS cleaned FROM s""",
 def config_override_lineitem(spark, sf_dir):
     s = _lineitem_sentences(spark, sf_dir)
     return s.select("l_orderkey", "l_linenumber", C.clean_text("sentence", OVERRIDE).alias("cleaned"))
+
+
+@register(
+    "grep_currency_lineitem",
+    sql=f"""WITH s AS (SELECT {LI_KEYS}, {LINEITEM_SENTENCE} AS sentence FROM lineitem),
+c AS (SELECT {LI_KEYS}, {O.sql_clean('sentence', NATIVE)} AS cleaned FROM s)
+SELECT {LI_KEYS}, regexp_matches(cleaned, 'USD') AS has_usd, regexp_matches(cleaned, 'EUR') AS has_eur
+FROM c WHERE regexp_matches(cleaned, 'USD|EUR')""",
+)
+def grep_currency_lineitem(spark, sf_dir):
+    """Records whose cleaned text mentions USD or EUR."""
+    c = clean_lineitem_sentences(spark, sf_dir)
+    return c.filter(F.col("cleaned").rlike("USD|EUR")).select(
+        "l_orderkey", "l_linenumber", F.col("cleaned").contains("USD").alias("has_usd"),
+        F.col("cleaned").contains("EUR").alias("has_eur"))

@@ -203,3 +203,29 @@ def incremental_unprocessed(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "source")
     done = table(spark, sf_dir, "labels", spread_rows=False).select("doc_id")
     return d.join(done, "doc_id", "left_anti").orderBy("doc_id").limit(1000)
+
+
+# ---- S10 / R3: validation without repair (strategies 2-5 off)
+EXPECTED_NO_REPAIR = f"""WITH x AS ({EXPECTED}) SELECT line_number,
+  CASE WHEN (line_number - 1) % 10 IN (1, 6, 7) THEN 'json_error' ELSE status END AS status FROM x"""
+
+
+@register("validate_only_documents_jsonl", sql=EXPECTED_NO_REPAIR)
+def validate_only_documents_jsonl(spark, sf_dir):
+    c = I.classify(derived_lines(spark, sf_dir), repair=False)
+    return c.select("line_number", "status")
+
+
+@register(
+    "validate_only_summary_jsonl",
+    sql=f"""WITH x AS ({EXPECTED_NO_REPAIR})
+SELECT count_if(status <> 'empty') AS non_blank_lines, count_if(status = 'valid') AS valid_records,
+  count_if(status = 'json_error') AS invalid_json, count_if(status = 'validation_error') AS invalid_schema FROM x""",
+)
+def validate_only_summary_jsonl(spark, sf_dir):
+    """R3 + R4: validation totals and the non-blank line count."""
+    c = I.classify(derived_lines(spark, sf_dir), repair=False)
+    s = F.col("status")
+    return c.agg(F.count_if(s != "empty").alias("non_blank_lines"), F.count_if(s == "valid").alias("valid_records"),
+                 F.count_if(s == "json_error").alias("invalid_json"),
+                 F.count_if(s == "validation_error").alias("invalid_schema"))
