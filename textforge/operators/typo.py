@@ -61,7 +61,8 @@ def damerau_levenshtein(a: str, b: str) -> int:
 
 @pandas_udf(T.IntegerType())
 def dl_distance_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([damerau_levenshtein(x, y) for x, y in zip(a, b)], dtype="int32")
+    return pd.Series([None if x is None or y is None else damerau_levenshtein(x, y) for x, y in zip(a, b)],
+                     dtype="Int32")
 
 
 def deletes_upto2(word: Column) -> Column:
@@ -102,6 +103,36 @@ def tokens_of(text: Column) -> Column:
     return F.when(s == "", F.array()).otherwise(F.split(s, f"{WS}+"))
 
 
+def _one_transposition(a: Column, b: Column) -> Column:
+    """Equal-length words that differ only by one swap of adjacent letters."""
+    ca, cb = F.split(a, ""), F.split(b, "")
+
+    def at(arr: Column, i: Column) -> Column:
+        return F.try_element_at(arr, i)
+
+    diff = F.filter(F.sequence(F.lit(1), F.greatest(F.length(a), F.lit(1))), lambda i: at(ca, i) != at(cb, i))
+    i1, i2 = at(diff, F.lit(1)), at(diff, F.lit(2))
+    return ((F.length(a) == F.length(b)) & (F.size(diff) == 2) & (i2 == i1 + 1)
+            & (at(ca, i1) == at(cb, i2)) & (at(ca, i2) == at(cb, i1)))
+
+
+def candidate_distance(word: Column, cand: Column) -> Column:
+    """Damerau-Levenshtein distance where it can be <= 2, else a value > 2.
+
+    Levenshtein (native) decides most pairs: DL = Lev when Lev <= 1; Lev = 2 is
+    DL 1 exactly for one adjacent swap, else 2. Only Lev >= 3 pairs can still
+    reach DL 2 (through a transposition, so their lengths differ by <= 1):
+    those, and only those, go to the Python distance.
+    """
+    lev = F.levenshtein(word, cand)
+    needs_python = (lev >= 3) & (F.abs(F.length(word) - F.length(cand)) <= 1)
+    exact = dl_distance_udf(F.when(needs_python, word), F.when(needs_python, cand))
+    return (F.when(lev <= 1, lev)
+            .when(lev == 2, F.when(_one_transposition(word, cand), F.lit(1)).otherwise(F.lit(2)))
+            .when(needs_python, exact)
+            .otherwise(F.lit(3)))
+
+
 def correction_map(unknown: DataFrame, dictionary: DataFrame, cfg: CleaningConfig) -> DataFrame:
     """unknown(word) x dictionary(word, freq) -> (word, correction) for accepted fixes."""
     max_len = cfg.typo_max_length + 2
@@ -110,7 +141,7 @@ def correction_map(unknown: DataFrame, dictionary: DataFrame, cfg: CleaningConfi
     ukeys = unknown.select("word", F.explode(deletes_upto2(F.col("word"))).alias("key"))
     pairs = ukeys.join(dkeys, "key").select("word", "cand", "freq").distinct()
     pairs = pairs.filter(F.abs(F.length("word") - F.length("cand")) <= 2)
-    scored = pairs.withColumn("dist", dl_distance_udf(F.col("word"), F.col("cand"))).filter(F.col("dist") <= 2)
+    scored = pairs.withColumn("dist", candidate_distance(F.col("word"), F.col("cand"))).filter(F.col("dist") <= 2)
     best = scored.groupBy("word").agg(
         F.min(F.struct(F.col("dist"), (-F.col("freq")).alias("nfreq"), F.col("cand"))).alias("b"))
     best = best.select("word", F.col("b.cand").alias("correction"))
@@ -118,33 +149,43 @@ def correction_map(unknown: DataFrame, dictionary: DataFrame, cfg: CleaningConfi
     return best.filter(F.abs(F.length("correction") - F.length("word")) <= F.lit(limit))
 
 
+def _capitalize_like(tok: Column, correction: Column) -> Column:
+    return F.when(tok.rlike(r"^\p{Lu}"),
+                  F.concat(F.upper(F.substr(correction, F.lit(1), F.lit(1))), F.substr(correction, F.lit(2)))
+                  ).otherwise(correction)
+
+
 def correct_typos(df: DataFrame, id_col: str, text_col: str, dictionary: DataFrame,
                   cfg: CleaningConfig, entity_words_col: str | None = None, out_col: str | None = None) -> DataFrame:
     """Replace ``text_col`` (or write ``out_col``) with the typo-corrected text.
 
-    ``df`` must be unique on ``id_col``. The text is always re-joined with
-    single spaces (the reference splits and joins even when nothing changes).
+    ``df`` must be unique on ``id_col``. Per document only the *distinct*
+    eligible lower-case words are exploded and joined with the correction map;
+    the matches come back as a small word -> correction map per document and
+    the text is rebuilt in-row (tokens re-checked for eligibility, so case
+    rules apply per occurrence). The text is always re-joined with single
+    spaces (the reference splits and joins even when nothing changes).
     """
     out_col = out_col or text_col
     ew = F.col(entity_words_col) if entity_words_col else None
-    toks = df.select(F.col(id_col).alias("_id"), F.posexplode(tokens_of(F.col(text_col))).alias("pos", "tok"),
-                     *([ew.alias("_ew")] if ew is not None else []))
-    toks = toks.filter(eligible(F.col("tok"), cfg, F.col("_ew") if ew is not None else None))
-    toks = toks.select("_id", "pos", "tok", F.lower("tok").alias("word"))
-    unknown = toks.select("word").distinct().join(dictionary.select("word"), "word", "left_anti")
+    toks = tokens_of(F.col(text_col))
+    words = F.array_distinct(F.transform(F.filter(toks, lambda t: eligible(t, cfg, ew)), lambda t: F.lower(t)))
+    per_doc_words = df.select(F.col(id_col).alias("_id"), F.explode(words).alias("word"))
+    unknown = per_doc_words.select("word").distinct().join(dictionary.select("word"), "word", "left_anti")
     cmap = correction_map(unknown, dictionary, cfg)
-    fixes = toks.join(cmap, "word").select(
-        "_id", "pos",
-        F.when(F.col("tok").rlike(r"^\p{Lu}"),
-               F.concat(F.upper(F.substr("correction", F.lit(1), F.lit(1))), F.substr("correction", F.lit(2))))
-        .otherwise(F.col("correction")).alias("fix"))
-    per_doc = fixes.groupBy("_id").agg(F.map_from_entries(F.collect_list(F.struct("pos", "fix"))).alias("_fixes"))
+    fixes = per_doc_words.join(cmap, "word")
+    per_doc = fixes.groupBy("_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "correction"))).alias("_fixes"))
     joined = df.join(per_doc, df[id_col] == per_doc["_id"], "left").drop("_id")
-    rebuilt = F.array_join(
-        F.transform(tokens_of(F.col(text_col)),
-                    lambda t, i: F.coalesce(F.try_element_at(F.col("_fixes"), i), t)), " ")
-    return joined.withColumn(out_col, rebuilt).drop("_fixes")
+    fx = F.col("_fixes")
+
+    def fix(t: Column) -> Column:
+        c = F.try_element_at(fx, F.lower(t))
+        return F.when(c.isNotNull() & eligible(t, cfg, F.col(entity_words_col) if entity_words_col else None),
+                      _capitalize_like(t, c)).otherwise(t)
 
+    rebuilt = F.array_join(F.transform(tokens_of(F.col(text_col)), fix), " ")
+    return joined.withColumn(out_col, F.when(fx.isNull(), F.array_join(tokens_of(F.col(text_col)), " "))
+                             .otherwise(rebuilt)).drop("_fixes")
 
 from textforge._ship import by_value  # noqa: E402
 
