@@ -8,12 +8,14 @@ from textforge import oracle as O
 from textforge.functions import clean as C
 from textforge.operators.language import MAX_CHARS, TOP_K, detect_language, train_profiles
 from textforge.plans.catalog import register, table
+from textforge.session import materialize
 from textforge.plans.q_clean import NATIVE
 
 
 def _cleaned(spark, sf_dir):
+    # Used by the training, scoring and join-back branches: written once.
     d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", "lang", C.clean_text("text", NATIVE).alias("cleaned"))
+    return materialize(d.select("doc_id", "lang", C.clean_text("text", NATIVE).alias("cleaned")), "lang-cleaned")
 
 
 def _sql_grams(src: str, key: str) -> str:

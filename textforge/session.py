@@ -54,8 +54,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        # Local runs and tests only: a cluster names its shared folder.
         d = tempfile.mkdtemp(prefix="textforge-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", d)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # core confs may be read-only at run time
+            pass
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d

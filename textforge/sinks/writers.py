@@ -101,8 +101,11 @@ def upsert(spark: SparkSession, batch: DataFrame, table_path: str, key: str = "d
     """
     ts = F.to_timestamp(F.lit(now)) if now else F.current_timestamp()
     if order_col:
-        w = Window.partitionBy(key).orderBy(F.col(order_col).desc())
-        latest = batch.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+        # max_by is a hash aggregate with map-side partial aggregation: a key
+        # repeated in a large share of the batch never lands whole in one task.
+        others = [c for c in batch.columns if c != key]
+        packed = F.struct(*[F.col(c) for c in others])
+        latest = batch.groupBy(key).agg(F.max_by(packed, F.col(order_col)).alias("_v")).select(key, "_v.*")
     else:
         latest = batch.dropDuplicates([key])
     latest = latest.drop("created_at", "updated_at")
