@@ -11,9 +11,10 @@ Supported grammar (whole phrase, any case; anything else gives null):
 * ``last week|month|year``.
 
 Incomplete dates (``March 2024``) are null, as with strict parsing.
-Texts longer than ``MAX_PHRASE_CHARS`` are not date phrases (only the
-``last <weekday>`` prefix rule applies to them); this bounds the regex work
-when a whole document is handed in for lack of a DATE entity.
+A text whose whitespace-normalised form is longer than ``MAX_PHRASE_CHARS``
+cannot be one of the phrases above (only the start-anchored ``last <weekday>``
+rule applies to it), so the phrase regexes only run on short texts; this
+bounds the work when a whole document is handed in for lack of a DATE entity.
 """
 
 from __future__ import annotations
@@ -45,12 +46,12 @@ def _weekday_index(name: Column) -> Column:
 
 def normalize_date(text: Column, ref: Column) -> Column:
     """Date phrase -> 'YYYY-MM-DD' string or null."""
-    short = F.length(text) <= MAX_PHRASE_CHARS
-    s = F.when(short, F.lower(F.regexp_replace(F.regexp_replace(text, f"^{WS}+|{WS}+$", ""), f"{WS}+", " ")))
+    collapsed = F.regexp_replace(F.regexp_replace(text, f"^{WS}+|{WS}+$", ""), f"{WS}+", " ")
+    short = (F.length(text) <= MAX_PHRASE_CHARS) | (F.length(collapsed) <= MAX_PHRASE_CHARS)
+    s = F.when(short, F.lower(collapsed))
     ref = ref.cast("date")
 
-    head = F.substring(text, 1, MAX_PHRASE_CHARS)
-    wd_name = F.regexp_extract(head, rf"(?i)^last{WS}+([a-zA-Z]+)", 1)
+    wd_name = F.regexp_extract(text, rf"(?i)^last{WS}+([a-zA-Z]+)", 1)
     wd_idx = _weekday_index(F.lower(wd_name))
 
     n = F.regexp_extract(s, r"^(\d{1,4}) ", 1).cast("int")

@@ -1,8 +1,8 @@
 """Language identification by character-trigram rank profiles.
 
-Out-of-place distance (Cavnar & Trenkle 1994). Text is lower-cased, cut to
-its first ``max_chars`` characters and every run of non-letters becomes one
-space. A profile is the ``top_k`` most frequent trigrams with ranks
+Out-of-place distance (Cavnar & Trenkle 1994). The whole text is
+lower-cased and every run of non-letters becomes one space (``max_chars``
+can cap it, off by default). A profile is the ``top_k`` most frequent trigrams with ranks
 (count desc, then trigram). Distance(doc, lang) = sum over the document's
 profile of |rank_doc - rank_lang|, or ``top_k`` when the trigram is not in
 the language profile. Integers only, so ties are exact; ties go to the
@@ -20,15 +20,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TOP_K = 300
-MAX_CHARS = 2000
+MAX_CHARS: int | None = None
 MIN_CHARS = 10
 
 
-def _normalized(text: Column, max_chars: int) -> Column:
-    return F.regexp_replace(F.lower(F.substring(text, 1, max_chars)), r"[^\p{L}]+", " ")
+def _normalized(text: Column, max_chars: int | None) -> Column:
+    t = F.substring(text, 1, max_chars) if max_chars else text
+    return F.regexp_replace(F.lower(t), r"[^\p{L}]+", " ")
 
 
-def trigrams(df: DataFrame, key_cols: list[str], text_col: str, max_chars: int = MAX_CHARS) -> DataFrame:
+def trigrams(df: DataFrame, key_cols: list[str], text_col: str, max_chars: int | None = MAX_CHARS) -> DataFrame:
     """(keys..., gram) one row per trigram occurrence."""
     # The normalised text is its own column so the lambda reads an attribute
     # instead of re-evaluating the regex for every trigram.
@@ -45,7 +46,7 @@ def _ranked(counts: DataFrame, key: str, top_k: int) -> DataFrame:
 
 
 def train_profiles(labelled: DataFrame, text_col: str, lang_col: str, top_k: int = TOP_K,
-                   max_chars: int = MAX_CHARS) -> DataFrame:
+                   max_chars: int | None = MAX_CHARS) -> DataFrame:
     """(lang, gram, rank) for the top_k trigrams of each language."""
     g = trigrams(labelled.select(F.col(lang_col).alias("lang"), text_col), ["lang"], text_col, max_chars)
     counts = g.groupBy("lang", "gram").agg(F.count("*").alias("cnt"))
@@ -53,7 +54,7 @@ def train_profiles(labelled: DataFrame, text_col: str, lang_col: str, top_k: int
 
 
 def detect_language(docs: DataFrame, id_col: str, text_col: str, profiles: DataFrame,
-                    top_k: int = TOP_K, max_chars: int = MAX_CHARS, out_col: str = "language") -> DataFrame:
+                    top_k: int = TOP_K, max_chars: int | None = MAX_CHARS, out_col: str = "language") -> DataFrame:
     """Adds ``out_col`` (null when too short or undetected). ``docs`` unique on ``id_col``."""
     g = trigrams(docs.select(F.col(id_col).alias("_id"), text_col), ["_id"], text_col, max_chars)
     counts = g.groupBy("_id", "gram").agg(F.count("*").alias("cnt"))

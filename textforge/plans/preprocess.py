@@ -64,6 +64,10 @@ def preprocess(articles: DataFrame, cfg: PipelineConfig | None = None, run_date:
     if ew_col:
         df = df.drop(ew_col)
 
+    # Entity tagging reads its input in two branches (n-grams, join-back):
+    # write the cleaned text once so typo correction is not re-derived.
+    if cfg.materialize and cfg.entity_recognition and (typos or cc.fix_encoding):
+        df = materialize(df, "cleaned-text")
     if cfg.entity_recognition:
         df = tag_entities(df, key_col, "cleaned_text", gazetteer, types=cfg.entity_types, out_col="entities")
     else:

@@ -13,8 +13,8 @@ from textforge.plans import ingest as I
 from textforge.plans.catalog import register, table
 from textforge.sources.jsonl import chunk_id
 
-# Letters-only snippet of the text: safe to splice into hand-built JSON.
-SNIPPET = "regexp_replace(substr(text, 1, 60), '[^A-Za-z ]', '')"
+# Letters-only version of the whole text: safe to splice into hand-built JSON.
+SNIPPET = "regexp_replace(text, '[^A-Za-z ]', '')"
 ID = "concat('doc-', CAST(doc_id AS STRING))"
 PUBDATE = ("CASE WHEN doc_id % 40 = 0 THEN '2024-13-45' "
            "ELSE concat('2024-01-', lpad(CAST(doc_id % 28 + 1 AS STRING), 2, '0')) END")
@@ -47,7 +47,7 @@ def _classified(spark, sf_dir):
 
 
 # ---- expected outcome per case, in DuckDB SQL
-DSNIP = "regexp_replace(substr(text, 1, 60), '[^A-Za-z ]', '', 'g')"
+DSNIP = "regexp_replace(text, '[^A-Za-z ]', '', 'g')"
 DID = "concat('doc-', CAST(doc_id AS VARCHAR))"
 TRUNC = f"rtrim(substr(concat('{{\"document_id\":\"', {DID}, '\",\"text\":\"', {DSNIP}, '\"}}'), 1, CAST(40 + doc_id % 7 AS INTEGER)))"
 EXPECTED = f"""

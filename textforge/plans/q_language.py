@@ -1,4 +1,4 @@
-"""Queries for language identification (E8): train on even doc ids, score odd ones."""
+"""Queries for language identification (E8): profiles from the labelled documents, every document scored."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from textforge import oracle as O
 from textforge.functions import clean as C
-from textforge.operators.language import MAX_CHARS, TOP_K, detect_language, train_profiles
+from textforge.operators.language import TOP_K, detect_language, train_profiles
 from textforge.plans.catalog import register, table
 from textforge.session import materialize
 from textforge.plans.q_clean import NATIVE
@@ -19,15 +19,15 @@ def _cleaned(spark, sf_dir):
 
 
 def _sql_grams(src: str, key: str) -> str:
-    t = f"regexp_replace(lower(substr(cleaned, 1, {MAX_CHARS})), '[^\\p{{L}}]+', ' ', 'g')"
+    t = "regexp_replace(lower(cleaned), '[^\\p{L}]+', ' ', 'g')"
     return f"""SELECT {key}, substr(t, i, 3) AS gram FROM (
   SELECT {key}, t, unnest(generate_series(1, length(t) - 2)) AS i FROM (SELECT {key}, {t} AS t FROM {src}) WHERE length(t) >= 3)"""
 
 
 SQL_LANG = f"""
 WITH c AS (SELECT doc_id, lang, {O.sql_clean('text', NATIVE)} AS cleaned FROM documents),
-tr AS (SELECT * FROM c WHERE doc_id % 2 = 0),
-te AS (SELECT * FROM c WHERE doc_id % 2 = 1),
+tr AS (SELECT * FROM c),
+te AS (SELECT * FROM c),
 lg AS ({_sql_grams('tr', 'lang')}),
 lc AS (SELECT lang, gram, count(*) AS cnt FROM lg GROUP BY ALL),
 prof AS (SELECT lang, gram, rank FROM (SELECT lang, gram, row_number() OVER (PARTITION BY lang ORDER BY cnt DESC, gram) AS rank
@@ -47,9 +47,8 @@ FROM te LEFT JOIN best USING (doc_id)"""
 
 def _detected(spark, sf_dir):
     c = _cleaned(spark, sf_dir)
-    profiles = train_profiles(c.filter(F.col("doc_id") % 2 == 0), "cleaned", "lang")
-    test = c.filter(F.col("doc_id") % 2 == 1)
-    return detect_language(test, "doc_id", "cleaned", profiles, out_col="detected").select("doc_id", "lang", "detected")
+    profiles = train_profiles(c, "cleaned", "lang")
+    return detect_language(c, "doc_id", "cleaned", profiles, out_col="detected").select("doc_id", "lang", "detected")
 
 
 @register("language_detect_documents", sql=SQL_LANG)
