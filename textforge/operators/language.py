@@ -30,14 +30,15 @@ def _normalized(text: Column, max_chars: int | None) -> Column:
 
 
 def trigrams(df: DataFrame, key_cols: list[str], text_col: str, max_chars: int | None = MAX_CHARS) -> DataFrame:
-    """(keys..., gram) one row per trigram occurrence."""
-    # The normalised text is its own column so the lambda reads an attribute
-    # instead of re-evaluating the regex for every trigram.
-    n = df.select(*key_cols, _normalized(F.col(text_col), max_chars).alias("_t"))
-    t = F.col("_t")
-    grams = F.when(F.length(t) >= 3, F.transform(F.sequence(F.lit(1), F.length(t) - 2),
-                                                 lambda i: F.substring(t, i, 3)))
-    return n.select(*key_cols, F.explode(grams).alias("gram"))
+    """(keys..., gram) one row per trigram occurrence.
+
+    All overlapping trigrams come from one linear regex pass (a capturing
+    lookahead at every position); ``substring`` per position would be
+    quadratic on UTF-8 strings.
+    """
+    t = _normalized(F.col(text_col), max_chars)
+    grams = F.regexp_extract_all(t, F.lit(r"(?s)(?=(.{3}))"), 1)
+    return df.select(*key_cols, F.explode(grams).alias("gram"))
 
 
 def _ranked(counts: DataFrame, key: str, top_k: int) -> DataFrame:
