@@ -89,3 +89,20 @@ def test_line_numbers_from_files(spark, tmp_dir):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     got = {(r.file.replace("file://", "").replace("file:", ""), r.line_number): r.value for r in got}
     assert got == want
+
+
+def test_native_extraction_matches_python(spark):
+    from pyspark.sql import functions as F
+
+    from textforge.functions.jsonrepair import extract_fields_native, fix_unicode_native
+
+    lines = ['{"document_id":"d1","text":"line\\nnext "q" end","title":"T"} junk',
+             '{"document_id":"d2","text":"' + "word " * 50000 + '"}',
+             '{"document_id":"d3","text":"trunc']
+    df = spark.createDataFrame([(v,) for v in lines], "v string")
+    got = df.select(extract_fields_native(F.col("v")).alias("x"), fix_unicode_native(F.col("v")).alias("u")).collect()
+    for r, v in zip(got, lines):
+        want = extract_fields(v)
+        assert r.x.document_id == want["document_id"] and r.x.text == want["text"]
+        assert r.x.title == want.get("title")
+        assert r.u == fix_unicode(v)
