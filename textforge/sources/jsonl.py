@@ -32,13 +32,27 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return number_lines(raw)
 
 
+# Above this many (file, split) rows the offset table is shuffle-joined instead
+# of broadcast (~100 bytes per row).
+MAX_SPLIT_ROWS_BROADCAST = 2_000_000
+
+
 def number_lines(raw: DataFrame) -> DataFrame:
     """Line numbers from (file, block_start, mid): one row per split is aggregated,
-    prefix-summed per file and joined back (broadcast: size = number of splits)."""
+    prefix-summed per file and joined back. The offset table has at most
+    (files + partitions) rows, known from the file listing, so the broadcast is
+    bounded; past the cap it is a shuffle join."""
     splits = raw.groupBy("file", "block_start").agg(F.count("*").alias("n"), F.min("mid").alias("first_mid"))
     w = Window.partitionBy("file").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.withColumn("offset", F.coalesce(F.sum("n").over(w), F.lit(0)))
-    j = raw.join(F.broadcast(splits.select("file", "block_start", "first_mid", "offset")), ["file", "block_start"])
+    offsets = splits.select("file", "block_start", "first_mid", "offset")
+    try:
+        bound = len(raw.inputFiles()) + raw.rdd.getNumPartitions()
+    except Exception:
+        bound = MAX_SPLIT_ROWS_BROADCAST + 1
+    if bound <= MAX_SPLIT_ROWS_BROADCAST:
+        offsets = F.broadcast(offsets)
+    j = raw.join(offsets, ["file", "block_start"])
     return j.select("file", (F.col("offset") + F.col("mid") - F.col("first_mid") + 1).alias("line_number"), "value")
 
 
