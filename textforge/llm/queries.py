@@ -31,3 +31,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textforge.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents"), seq_len=2048, vocabulary="word_bpe_49k.json", end_id=0)
+
+
+@register("op3_license_scan")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textforge.llm.license_scan import scan
+
+    return scan(table(spark, sf_dir, "documents"))
