@@ -38,3 +38,28 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textforge.llm.license_scan import scan
 
     return scan(table(spark, sf_dir, "documents"))
+
+
+OP8_SQL = r"""
+with d as (select doc_id as k, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+i as (select item_id as k, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+item as (select distinct k as item_id, least(10, len(w)) as n, array_to_string(w[s : s + least(10, len(w)) - 1], ' ') as g
+  from (select k, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) as s from i where len(w) > 0)),
+lens as (select distinct n from item),
+hit as (select doc_id, s, n, item_id from (
+    select k as doc_id, s, n, array_to_string(w[s : s + n - 1], ' ') as g
+    from (select k, w, n, unnest(range(1, len(w) - n + 2)) as s from d, lens where len(w) >= n)) join item using (n, g)),
+words as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(s, s + n)) as p from (select distinct doc_id, s, n from hit)) group by 1),
+named as (select doc_id, count(*) as n_items, string_agg(x, ',' order by x) as items from (select distinct doc_id, cast(item_id as varchar) as x from hit) group by 1)
+select d.k as doc_id, coalesce(len(w), 0) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join words on words.doc_id = d.k left join named on named.doc_id = d.k"""
+
+
+@register("op8_decontaminate", OP8_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textforge.llm.decontaminate import decontaminate
+
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    names = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(names, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
