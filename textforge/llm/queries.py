@@ -63,3 +63,20 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     names = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(names, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+OP10_SQL = """
+with p as (select page_id, octet_length(encode(coalesce(html, ''))) as n, sha256(coalesce(html, '')) as d from pages),
+g as (select *, min(page_id) over (partition by d) as f from p)
+select page_id, n as payload_bytes, d as payload_digest, case when n >= 100 and page_id <> f then 'revisit' else 'response' end as record_type,
+  case when n >= 100 and page_id <> f then f end as refers_to from g"""
+
+
+@register("op10_warc", OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textforge.llm.warc import read_warc, records, write_warc
+    from textforge.session import scratch_path
+
+    path = scratch_path(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), path)
+    return records(read_warc(spark, path, with_payload=False)).drop("url")
