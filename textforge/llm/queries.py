@@ -80,3 +80,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     write_warc(table(spark, sf_dir, "pages"), path)
     return records(read_warc(spark, path, with_payload=False)).drop("url")
+
+
+@register("op9_order_minhash")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textforge.llm.order_minhash import fingerprint_edits
+
+    return fingerprint_edits(table(spark, sf_dir, "documents"))
