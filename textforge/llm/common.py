@@ -116,19 +116,64 @@ def load_array(folder: str, name: str) -> np.ndarray:
 
 
 # ---------------------------------------------------------------- packed exchange
-PACKED = "bucket int, source long, payload binary"
+# Numbers by the million travel as one binary row for each batch and bucket, not as a row each.
+PACKED = "bucket int, payload binary"
+
+
+def pack_arrays(*arrays: np.ndarray) -> bytes:
+    """Arrays of one length as bytes, column after column, each in the smallest unsigned type that holds it."""
+    n = len(arrays[0])
+    out = [np.array([n], "<u8").tobytes()]
+    for x in arrays:
+        kind = np.dtype("<u8") if n == 0 else np.min_scalar_type(int(x.max())).newbyteorder("<")
+        out += [bytes([kind.itemsize]), x.astype(kind).tobytes()]
+    return b"".join(out)
+
+
+def unpack_arrays(payload: bytes, columns: int) -> list[np.ndarray]:
+    n, at, out = int.from_bytes(payload[:8], "little"), 8, []
+    for _ in range(columns):
+        size = payload[at]
+        out.append(np.frombuffer(payload, f"<u{size}", n, at + 1).astype(np.uint64))
+        at += 1 + size * n
+    return out
+
+
+def packed_batch(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    b, p = zip(*rows) if rows else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(p, pa.binary())], names=["bucket", "payload"])
+
+
+def bucket_bits(amount: float, per_bucket: float, least: int = 5) -> int:
+    """log2 of a number of buckets of about ``per_bucket`` each."""
+    return max(least, int(np.ceil(np.log2(max(1.0, amount / per_bucket)))))
 
 
-def packed(bucket: int, source: int, payload: bytes) -> tuple:
-    return bucket, source, payload
+def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sum of each one's counts."""
+    if not keys:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    k, c = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(k, kind="stable")
+    k, c = k[order], c[order]
+    starts = np.flatnonzero(np.append(True, k[1:] != k[:-1])) if len(k) else np.zeros(0, np.int64)
+    return k[starts], np.add.reduceat(c, starts) if len(k) else c
 
 
-def packed_batch(rows: list[tuple]) -> pa.RecordBatch:
-    b, s, p = zip(*rows) if rows else ((), (), ())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(b, pa.int32()), pa.array(s, pa.int64()), pa.array(p, pa.binary())], names=["bucket", "source", "payload"])
+def word_batches(batches, most_words: int = 2_000_000):
+    """Lists of (doc_id, bytes) that hold about ``most_words`` words together (or one long text)."""
+    held, size = [], 0
+    for doc, text in text_rows(batches):
+        held.append((doc, text or b""))
+        size += len(held[-1][1])
+        if size >= 6 * most_words:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
+# ---------------------------------------------------------------- inputs in tasks
 def text_rows(batches):
     """(doc_id, UTF-8 bytes or None) of Arrow batches with the columns doc_id and text.
 

@@ -87,3 +87,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textforge.llm.order_minhash import fingerprint_edits
 
     return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+@register("op7_kneser_ney")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textforge.llm.kneser_ney import score_held_out
+
+    return score_held_out(table(spark, sf_dir, "documents")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
