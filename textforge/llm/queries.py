@@ -95,3 +95,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return score_held_out(table(spark, sf_dir, "documents")).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
+@register("op4_language_crf")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textforge.llm.language_crf import identify
+
+    return identify(table(spark, sf_dir, "documents"))
