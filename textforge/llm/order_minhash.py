@@ -68,8 +68,8 @@ def as_text(fingerprint: str) -> Column:
     return F.array_join(F.transform(fingerprint, lambda x: F.lpad(F.hex(x.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")), "")
 
 
-def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """``rows`` (doc_id, text, ...) with ``next_*`` of the next row by descending doc_id; after the last comes the first.
+def in_ranges(rows: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, text) in ranges of ids (``place``), each with a ``copy`` of the row before it.
 
     The ids are cut at quantiles into as many ranges as the session has shuffle partitions, so that a window sees one
     range. The row that a range needs from its neighbour is copied into it; there is one such id for each range.
@@ -83,7 +83,11 @@ def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
     lent = [(ends[i - 1].high, r.place) for i, r in enumerate(ends)]
     lent = F.broadcast(spark.createDataFrame(lent, "doc_id long, place int"))
     placed = rows.withColumn("place", place).withColumn("copy", F.lit(False))
-    placed = placed.union(rows.join(lent, "doc_id").select(*rows.columns, "place").withColumn("copy", F.lit(True)))
+    return placed.union(rows.join(lent, "doc_id").select(*rows.columns, "place").withColumn("copy", F.lit(True)))
+
+
+def with_next(placed: DataFrame, columns: list[str]) -> DataFrame:
+    """``next_*`` of the next row by descending doc_id; after the last comes the first."""
     by = W.partitionBy("place").orderBy(F.col("copy").desc(), "doc_id", "text")
     for c in columns:
         placed = placed.withColumn(f"next_{c}", F.lag(c).over(by))
@@ -95,7 +99,7 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
 
     The edited text has its last third replaced by the start of the next document (by descending doc_id)."""
     rows = id_text(docs).filter("doc_id is not null").withColumn("text", F.coalesce("text", F.lit("")))
-    rows = with_next(with_fingerprint(rows, "text", "fp"), ["text", "fp"])
+    rows = with_next(with_fingerprint(in_ranges(rows), "text", "fp"), ["text", "fp"])
     rows = rows.withColumn("n_chars", F.length("text").cast("long"))
     third = F.floor(F.col("n_chars") / 3).cast("int")
     edited = F.concat(F.left("text", F.length("text") - third), F.left("next_text", third))
