@@ -121,24 +121,41 @@ PACKED = "bucket int, payload binary"
 
 
 def pack_arrays(*arrays: np.ndarray) -> bytes:
-    """Arrays of one length as bytes, column after column, each in the smallest unsigned type that holds it."""
-    n = len(arrays[0])
-    out = [np.array([n], "<u8").tobytes()]
+    """Columns of integers as bytes: each one's minimum, then the differences in the smallest type that holds them."""
+    out = []
     for x in arrays:
-        kind = np.dtype("<u8") if n == 0 else np.min_scalar_type(int(x.max())).newbyteorder("<")
-        out += [bytes([kind.itemsize]), x.astype(kind).tobytes()]
+        x = np.ascontiguousarray(x)
+        low = x.min() if len(x) else x.dtype.type(0)
+        over = (x - low).view(f"u{x.dtype.itemsize}") if x.dtype.kind == "i" else x - low
+        kind = np.min_scalar_type(int(over.max()) if len(x) else 0)
+        out += [np.array([len(x)], "<u8").tobytes(), bytes([kind.itemsize]), np.array([low]).astype("<i8" if x.dtype.kind == "i" else "<u8").tobytes(), over.astype(kind).tobytes()]
     return b"".join(out)
 
 
 def unpack_arrays(payload: bytes, columns: int) -> list[np.ndarray]:
-    n, at, out = int.from_bytes(payload[:8], "little"), 8, []
+    """The columns as unsigned 64-bit numbers (``.view(np.int64)`` gives signed ones back)."""
+    at, out = 0, []
     for _ in range(columns):
-        size = payload[at]
-        out.append(np.frombuffer(payload, f"<u{size}", n, at + 1).astype(np.uint64))
-        at += 1 + size * n
+        n, size = int.from_bytes(payload[at : at + 8], "little"), payload[at + 8]
+        low = np.frombuffer(payload, "<u8", 1, at + 9)
+        out.append(np.frombuffer(payload, f"<u{size}", n, at + 17).astype(np.uint64) + low)
+        at += 17 + size * n
     return out
 
 
+def arrays_of(table: pa.Table, columns: int) -> list[list[np.ndarray]]:
+    """The payloads' columns, each as a list of one array for each payload."""
+    return list(zip(*[unpack_arrays(x.as_py(), columns) for x in table.column("payload")])) or [[]] * columns
+
+
+def edges_of(sorted_hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Where each bucket (leading bits) begins, and the end."""
+    if not bits:
+        return np.array([0, len(sorted_hashes)])
+    cuts = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+    return np.concatenate([[0], np.searchsorted(sorted_hashes, cuts), [len(sorted_hashes)]])
+
+
 def packed_batch(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
     b, p = zip(*rows) if rows else ((), ())
     return pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(p, pa.binary())], names=["bucket", "payload"])
@@ -160,6 +177,115 @@ def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return k[starts], np.add.reduceat(c, starts) if len(k) else c
 
 
+class SortedFiles:
+    """Memory-mapped arrays of a folder: sorted hashes by bucket, and columns beside them."""
+
+    def __init__(self, folder: str, name: str, bits: int, present: list[int], columns: list[str]):
+        self.bits = bits
+        self.keys = {b: load_array(folder, f"{name}-{b}") for b in present}
+        self.columns = {c: {b: load_array(folder, f"{c}-{b}") for b in present} for c in columns}
+
+    def find(self, hashes: np.ndarray, second: np.ndarray | None = None, check: str | None = None) -> dict[str, np.ndarray]:
+        """``found`` and the columns' values (0 if not found) for hashes in any order.
+
+        With ``check``, equal hashes stand next to each other and the one whose column ``check`` has ``second`` counts."""
+        order = np.argsort(hashes, kind="stable")
+        h = hashes[order]
+        found = np.zeros(len(h), bool)
+        out = {c: np.zeros(len(h), next(iter(x.values())).dtype if x else np.int64) for c, x in self.columns.items()}
+        edges = edges_of(h, self.bits)
+        for b, keys in self.keys.items():
+            x, y = edges[b], edges[b + 1]
+            if x == y or not len(keys):
+                continue
+            at = np.searchsorted(keys, h[x:y])
+            rest = np.arange(x, y)
+            while len(rest):
+                ok = at < len(keys)
+                at, rest = at[ok], rest[ok]
+                ok = keys[at] == h[rest]
+                at, rest = at[ok], rest[ok]
+                hit = self.columns[check][b][at] == second[order[rest]] if check else np.ones(len(at), bool)
+                found[rest[hit]] = True
+                for c, values in self.columns.items():
+                    out[c][rest[hit]] = values[b][at[hit]]
+                at, rest = at[~hit] + 1, rest[~hit]
+        back = np.empty_like(order)
+        back[order] = np.arange(len(order))
+        return {"found": found[back], **{c: v[back] for c, v in out.items()}}
+
+
+# ---------------------------------------------------------------- merged sketches
+class Sketch:
+    """A count-min sketch of hashes, merged over all tasks and memory-mapped; counters saturate at two.
+
+    Its width follows the number of hashes, so that its share of false "twice" stays the same at every size. Each task
+    sends, for each bucket of a row's cells, the cells it has counted; a bucket's task adds them up and writes one bit for
+    each cell that was counted twice or more. ``repeated`` takes the minimum over the rows: it may say "twice" of a hash
+    that occurred once, never "once" of one that occurred twice.
+    """
+
+    def __init__(self, folder: str, cell_bits: int, bits: int, rows: int):
+        self.folder, self.cell_bits, self.bits, self.rows = folder, cell_bits, bits, rows
+
+    @staticmethod
+    def sized(folder: str, hashes: float, rows: int, per_bucket: float = 4_000_000) -> Sketch:
+        cell_bits = max(16, int(np.ceil(np.log2(max(1.0, 4 * hashes)))))
+        return Sketch(folder, cell_bits, min(bucket_bits(hashes, per_bucket), cell_bits - 8), rows)
+
+    def cells(self, hashes: np.ndarray, row: int) -> np.ndarray:
+        return (mix(hashes + np.uint64(row) * np.uint64(MULT)) if row else hashes) >> np.uint64(64 - self.cell_bits)
+
+    def counted(self, hashes: np.ndarray, counts: np.ndarray | None = None) -> list[tuple[int, bytes]]:
+        """Payloads by bucket of the cells of distinct hashes (``counts``: how often each occurred, else once)."""
+        out = []
+        for row in range(self.rows):
+            cells = np.sort(self.cells(hashes, row)) if counts is None else np.sort(np.repeat(self.cells(hashes, row), np.minimum(counts, 2)))
+            low = np.uint64(self.cell_bits - self.bits)
+            edges = np.searchsorted(cells, np.arange((1 << self.bits) + 1, dtype=np.uint64) << low)
+            for b, (x, y) in enumerate(zip(edges, edges[1:])):
+                if y > x:
+                    out.append((row << self.bits | b, pack_arrays(cells[x : x + 1] - (np.uint64(b) << low), np.diff(cells[x:y]))))
+        return out
+
+    def merge(self, table: pa.Table) -> pa.Table:
+        bucket = table.column("bucket")[0].as_py()
+        seen = np.zeros(1 << (self.cell_bits - self.bits), np.uint8)
+        for x in table.column("payload"):
+            first, steps = unpack_arrays(x.as_py(), 2)
+            cells, n = np.unique(np.cumsum(np.concatenate([first, steps])), return_counts=True)
+            seen[cells] = np.minimum(seen[cells] + np.minimum(n, 2), 2)
+        save_array(self.folder, f"sketch-{bucket}", np.packbits(seen > 1))
+        return pa.table({"bucket": pa.array([bucket], pa.int32())})
+
+    def build(self, packed_rows: DataFrame) -> list[int]:
+        """Merges the rows made by ``counted``; the buckets that have a file."""
+        def merge(table: pa.Table) -> pa.Table:
+            return self.merge(table)
+
+        return sorted(r.bucket for r in packed_rows.groupBy("bucket").applyInArrow(merge, "bucket int").collect())
+
+    def open(self, present: list[int]) -> dict[int, np.ndarray]:
+        return {b: load_array(self.folder, f"sketch-{b}") for b in present}
+
+    def repeated(self, files: dict[int, np.ndarray], hashes: np.ndarray) -> np.ndarray:
+        out = np.ones(len(hashes), bool)
+        low = np.uint64(self.cell_bits - self.bits)
+        for row in range(self.rows):
+            left = np.flatnonzero(out)
+            cells = self.cells(hashes[left], row)
+            order = np.argsort(cells, kind="stable")
+            cells = cells[order]
+            edges = np.searchsorted(cells, np.arange((1 << self.bits) + 1, dtype=np.uint64) << low)
+            for b, (x, y) in enumerate(zip(edges, edges[1:])):
+                if y > x:
+                    c = cells[x:y] - (np.uint64(b) << low)
+                    bits = files.get(row << self.bits | b)
+                    hit = np.zeros(y - x, bool) if bits is None else ((bits[(c >> np.uint64(3)).astype(np.int64)] >> (7 - (c & np.uint64(7))).astype(np.uint8)) & 1).astype(bool)
+                    out[left[order[x:y]]] = hit
+        return out
+
+
 def word_batches(batches, most_words: int = 2_000_000):
     """Lists of (doc_id, bytes) that hold about ``most_words`` words together (or one long text)."""
     held, size = [], 0

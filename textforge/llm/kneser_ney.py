@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textforge._ship import by_value
-from textforge.llm.common import (PACKED, bucket_bits, id_text, load_array, pack_arrays, packed_batch, save_array, shared_dir, summed,
+from textforge.llm.common import (PACKED, arrays_of, bucket_bits, id_text, load_array, pack_arrays, packed_batch, save_array, shared_dir, summed,
                                   total_bytes, unpack_arrays, word_batches, word_hashes)
 from textforge.session import materialize
 
@@ -55,11 +55,6 @@ def manifest(rows: list[tuple[int, str, list[int]]]) -> pa.Table:
     return pa.table({"bucket": pa.array(b, pa.int32()), "kind": pa.array(k, pa.string()), "numbers": pa.array(n, pa.list_(pa.int64()))})
 
 
-def arrays_of(table: pa.Table, columns: int) -> list[list[np.ndarray]]:
-    """The payloads' columns, each as a list of one array for each payload."""
-    return list(zip(*[unpack_arrays(x.as_py(), columns) for x in table.column("payload")])) or [[]] * columns
-
-
 class Words:
     """The sorted word arrays: lookup of ids, counts and continuation counts."""
 

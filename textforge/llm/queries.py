@@ -102,3 +102,22 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textforge.llm.language_crf import identify
 
     return identify(table(spark, sf_dir, "documents"))
+
+
+# A word is removed if a window of 50 words that covers it also starts in a document with a smaller doc_id.
+OP2_SQL = r"""
+with d as (select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as w from documents),
+g as (select doc_id, s, md5(array_to_string(w[s : s + 49], ' ')) as h from (select doc_id, w, unnest(range(1, len(w) - 48)) as s from d where len(w) >= 50)),
+f as (select h, min(doc_id) as owner from g group by h),
+gone as (select distinct doc_id, unnest(range(s, s + 50)) as p from g join f using (h) where owner < doc_id),
+lost as (select doc_id, list(p) as ps, count(*) as n from gone group by 1)
+select doc_id, len(w) as n_words, coalesce(n, 0) as n_removed,
+  sha256(case when n is null then array_to_string(w, ' ') else coalesce(array_to_string(list_filter(w, lambda x, i: not list_contains(ps, i)), ' '), '') end) as kept_sha256
+from d left join lost using (doc_id)"""
+
+
+@register("op2_substring_dedup", OP2_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textforge.llm.substring_dedup import dedup
+
+    return dedup(table(spark, sf_dir, "documents"), window=50).drop("spans")
