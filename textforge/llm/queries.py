@@ -121,3 +121,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textforge.llm.substring_dedup import dedup
 
     return dedup(table(spark, sf_dir, "documents"), window=50).drop("spans")
+
+
+@register("op6_suffix_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textforge.llm.suffix_dedup import dedup
+
+    return dedup(table(spark, sf_dir, "documents"), length=100).drop("spans")
