@@ -128,3 +128,22 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textforge.llm.suffix_dedup import dedup
 
     return dedup(table(spark, sf_dir, "documents"), length=100).drop("spans")
+
+
+# Links by shared shingles, then the smallest document reached.
+OP1_SQL = r"""
+with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+g as (select distinct doc_id, md5(array_to_string(w[s : s + least(5, len(w)) - 1], ' ')) as h from (select doc_id, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) as s from d where len(w) > 0)),
+n as (select doc_id, count(*) as n from g group by 1),
+links as (select x.doc_id as a, y.doc_id as b from g x join g y on x.h = y.h and x.doc_id <> y.doc_id join n nx on nx.doc_id = x.doc_id join n ny on ny.doc_id = y.doc_id
+  group by 1, 2, nx.n, ny.n having 100 * count(*) >= 80 * (nx.n + ny.n - count(*))),
+reach as (select distinct a, a as b from links union select reach.a, links.b from reach join links on links.a = reach.b)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, coalesce(c.b, d.doc_id) as component_id
+from d left join n using (doc_id) left join (select a, min(b) as b from reach group by 1) c on c.a = d.doc_id"""
+
+
+@register("op1_ngram_jaccard_join", OP1_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textforge.llm.ngram_join import join_documents
+
+    return join_documents(table(spark, sf_dir, "documents"), size=5, percent=80).drop("class_id")
