@@ -1,25 +1,69 @@
 """Corpus pipeline: language ID, near-duplicate join, substring dedup, decontamination, packing.
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame that is written as
-Parquet and read again as the next stage's documents. All but the last return the columns of documents.
+Parquet and read again as the next stage's documents. All but the last return the columns of documents. Rows without a
+doc_id leave the pipeline in the first stage, as no decision on them could be named.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from textforge.session import materialize
 
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str, least: float = 0.5) -> DataFrame:
+    """Keeps documents with a language (operator 4), which becomes their ``lang``; those without a letter, or whose best
+    language has a mean probability under ``least``, go."""
+    from textforge.llm.language_crf import identify
+
+    found = identify(docs, keep=["text", "source", "n_chars"]).filter((F.col("lang_pred") != "und") & (F.col("score") >= least))
+    return found.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document, that with the smallest doc_id, of each group linked by shingles (operator 1)."""
+    from textforge.llm.ngram_join import join_documents
+
+    kept = join_documents(docs, size=5, percent=80).filter("doc_id = component_id").select("doc_id")
+    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+
+
+def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes strings of 100 bytes or more that start earlier out of the texts (operator 6); a character that is cut goes."""
+    from textforge.llm.suffix_dedup import dedup
+
+    kept = dedup(docs, length=100, with_text=True, keep=["lang", "source"]).withColumnRenamed("kept_text", "text")
+    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents that share no ten words with the benchmark (operator 8)."""
+    from textforge.llm.decontaminate import decontaminate
+
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    hit = decontaminate(docs, items, window=10).filter("n_hit > 0").select("doc_id")
+    return docs.join(hit, "doc_id", "left_anti").select(*COLUMNS)
+
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of at most 2048 tokens (operator 5)."""
     from textforge.llm.packing import pack
 
-    return pack(docs)
+    return pack(docs, seq_len=2048, vocabulary="word_bpe_49k.json", end_id=0)
 
 
-STAGES = [("packing", packing)]
-ORACLE_SQL = None  # tokenizers and a trained model are beyond SQL; tests hold it against brute force
+STAGES = [
+    ("language_id", language_id),
+    ("near_duplicates", near_duplicates),
+    ("substrings", substrings),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
+ORACLE_SQL = None  # a trained model and a tokenizer are beyond SQL; tests hold every stage against brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

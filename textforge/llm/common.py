@@ -16,6 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textforge._ship import by_value
 from textforge.session import scratch_path
@@ -28,9 +29,28 @@ ALNUM = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
 
 # ---------------------------------------------------------------- inputs
-def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Only the two columns an operator reads, under fixed names; clashing extra columns disappear here."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Only the two columns an operator reads, under fixed names, and those to ``keep`` as ``keep_*``; clashing extra
+    columns disappear here."""
+    kept = [F.col(c).alias(f"keep_{c}") for c in keep or []]
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *kept)
+
+
+def with_kept(schema: str, rows: DataFrame) -> T.StructType:
+    """Output schema of a task function that hands the ``keep_*`` columns of its input on."""
+    out = T.StructType.fromDDL(schema)
+    return T.StructType(out.fields + [f for f in rows.schema.fields if f.name.startswith("keep_")])
+
+
+def kept_slices(batch: pa.RecordBatch, at: int, n: int) -> tuple[list, list[str]]:
+    """The ``keep_*`` columns of ``n`` rows of a batch, from row ``at`` on."""
+    names = [c for c in batch.schema.names if c.startswith("keep_")]
+    return [batch.column(c).slice(at, n) for c in names], names
+
+
+def unkept(df: DataFrame) -> DataFrame:
+    """``keep_*`` columns under their own names again."""
+    return df.select(*[F.col(c).alias(c.removeprefix("keep_")) for c in df.columns])
 
 
 # ---------------------------------------------------------------- hashing

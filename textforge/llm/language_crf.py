@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from textforge._ship import by_value
-from textforge.llm.common import PACKED, packed_batch, text_rows
+from textforge.llm.common import PACKED, id_text, kept_slices, packed_batch, text_rows, unkept, with_kept
 
 by_value(__name__)
 
@@ -270,13 +270,13 @@ class Emissions:
         self.rows[at : at + len(words)] = np.add.reduceat(m["weights"][flat], np.cumsum(width) - width) + m["lexicon"][slots]
 
 
-def predict(docs: DataFrame, model: dict, with_spans: bool = False) -> DataFrame:
-    """doc_id, lang_pred, score (and spans: first word, words, language, by the most probable label of each word)."""
+def predict(docs: DataFrame, model: dict, with_spans: bool = False, keep: list[str] | None = None) -> DataFrame:
+    """doc_id, lang_pred, score (and spans: first word, words, language, by the most probable label of each word); then the
+    columns ``keep`` of the input row."""
     labels = model["labels"]
     name = uuid.uuid4().hex
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
-    kinds = [pa.int64(), pa.string(), pa.float64()]
-    span = pa.struct([("first", pa.int64()), ("words", pa.int64()), ("lang", pa.string())])
+    kinds = [pa.string(), pa.float64(), pa.list_(pa.struct([("first", pa.int64()), ("words", pa.int64()), ("lang", pa.string())]))]
 
     def run(batches):
         kept = sys.__dict__.setdefault("_textforge_crf", {})
@@ -284,8 +284,8 @@ def predict(docs: DataFrame, model: dict, with_spans: bool = False) -> DataFrame
             kept.update(name=name, table=Emissions(shared.value) if labels else None)
         table = kept["table"]
 
-        def flush(ids, parts):
-            out = [("und", 0.0, [])] * len(ids)
+        def label(parts):
+            out = [("und", 0.0, [])] * len(parts)
             full = [i for i, p in enumerate(parts) if len(p)]
             if full and labels:
                 m = table.model
@@ -301,33 +301,36 @@ def predict(docs: DataFrame, model: dict, with_spans: bool = False) -> DataFrame
                         runs = [{"first": int(c), "words": int(d - c), "lang": labels[top[c]]} for c, d in zip(cuts, np.append(cuts[1:], n))]
                     at += n
                     out[i] = (labels[b], min(1.0, float(row[b])), runs)
-            cols = [ids, *zip(*out)][: 4 if with_spans else 3]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds + [pa.list_(span)])], names=["doc_id", "lang_pred", "score", "spans"][: len(cols)])
-
-        ids, parts, words = [], [], 0
-        for doc, text in text_rows(batches):
-            ws = letter_words(text)
-            ids.append(doc)
-            parts.append(table.numbers(ws) if ws and labels else ws)
-            words += len(ws)
-            if words >= 1_000_000 or len(ids) >= 50_000:
-                yield flush(ids, parts)
-                ids, parts, words = [], [], 0
-                if table and len(table.seen) > table.most:
-                    table.clear()
-        if ids:
-            yield flush(ids, parts)
+            return out
+
+        for batch in batches:
+            out, parts, words = [], [], 0
+            for _, text in text_rows([batch]):
+                ws = letter_words(text)
+                parts.append(table.numbers(ws) if ws and labels else ws)
+                words += len(ws)
+                if words >= 1_000_000:
+                    out += label(parts)
+                    parts, words = [], 0
+                    if table and len(table.seen) > table.most:
+                        table.clear()
+            out += label(parts)
+            cols = list(zip(*out))[: 3 if with_spans else 2] or [(), (), ()][: 3 if with_spans else 2]
+            more, more_names = kept_slices(batch, 0, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id")] + [pa.array(c, k) for c, k in zip(cols, kinds)] + more, names=["doc_id", "lang_pred", "score", "spans"][: 1 + len(cols)] + more_names)
 
     schema = "doc_id long, lang_pred string, score double" + ", spans array<struct<first:long,words:long,lang:string>>" * with_spans
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    rows = id_text(docs, keep=keep)
+    return unkept(rows.mapInArrow(run, with_kept(schema, rows)))
 
 
 def held_out(of: int = 5) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(of)) == 0
 
 
-def identify(docs: DataFrame, of: int = 5, **training) -> DataFrame:
+def identify(docs: DataFrame, of: int = 5, keep: list[str] | None = None, **training) -> DataFrame:
     """doc_id, held_out, lang_pred, score; learned from the rows whose crc32(doc_id) modulo ``of`` is not 0."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).filter("doc_id is not null")
-    model = train(rows.filter(~held_out(of)), **training)
-    return predict(rows, model).select("doc_id", held_out(of).alias("held_out"), "lang_pred", "score")
+    rows = docs.filter("doc_id is not null")
+    known = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    model = train(known.filter(~held_out(of)), **training)
+    return predict(rows, model, keep=keep).withColumn("held_out", held_out(of))

@@ -101,7 +101,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textforge.llm.language_crf import identify
 
-    return identify(table(spark, sf_dir, "documents"))
+    return identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
 # A word is removed if a window of 50 words that covers it also starts in a document with a smaller doc_id.

@@ -33,8 +33,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from textforge._ship import by_value
-from textforge.llm.common import (INV, MULT, PACKED, Sketch, SortedFiles, arrays_of, bucket_bits, edges_of, id_text, mix, pack_arrays,
-                                  packed_batch, powers, save_array, shared_dir, text_rows, total_bytes, unpack_arrays, window_min)
+from textforge.llm.common import (INV, MULT, PACKED, Sketch, SortedFiles, arrays_of, bucket_bits, edges_of, id_text, kept_slices, mix,
+                                  pack_arrays, packed_batch, powers, save_array, shared_dir, text_rows, total_bytes, unkept, unpack_arrays,
+                                  window_min, with_kept)
 from textforge.session import materialize
 
 by_value(__name__)
@@ -82,6 +83,14 @@ def batches_of(batches):
         yield held
 
 
+def numbered(lists):
+    """(number of items before, list) of successive lists."""
+    at = 0
+    for x in lists:
+        yield at, x
+        at += len(x)
+
+
 def groups(held, length: int):
     """Groups of pieces (index, offset, bytes) of a batch; pieces of a long text overlap by ``length - 1`` bytes."""
     out, size = [], 0
@@ -451,9 +460,12 @@ def compare_suffixes(texts: DataFrame, plan: Plan) -> Plan:
     return plan._replace(found=sorted(r.bucket for r in flags.groupBy("bucket").applyInArrow(keep, "bucket int").collect()))
 
 
-def dedup(docs: DataFrame, length: int = 100, k: int = 32, crowd: int = 2048, with_text: bool = False, bucket_bytes: float = 16_000_000) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (start and end byte of every removed run), and the kept bytes."""
-    texts = id_text(docs).filter("doc_id is not null")
+def dedup(docs: DataFrame, length: int = 100, k: int = 32, crowd: int = 2048, with_text: bool = False, bucket_bytes: float = 16_000_000,
+          keep: list[str] | None = None) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (start and end byte of every removed run), and with
+    ``with_text`` the kept bytes and the text of them, without the characters that lost a byte; then the columns ``keep`` of the input row."""
+    rows_in = id_text(docs, keep=keep).filter("doc_id is not null")
+    texts = rows_in.select("doc_id", "text")
     folder = shared_dir(texts.sparkSession, "suffix-dedup")
     amount = total_bytes(texts)
     anchors = 2 * amount / (length - k + 2)
@@ -469,13 +481,13 @@ def dedup(docs: DataFrame, length: int = 100, k: int = 32, crowd: int = 2048, wi
 
     plan = Plan(folder, length, k, crowd, sketch, bucket_bits(amount, bucket_bytes), sketch.build(texts.mapInArrow(count, PACKED)))
     plan = compare_suffixes(texts, find_equal(texts, plan))
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary()]
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary(), pa.string()]
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept", "kept_text"]
 
     def remove(batches):
         files, owners = plan.sketch.open(plan.sketched), owners_of(plan)
         flags = {b: [np.load(f"{folder}/{x}-{b}.npy", mmap_mode="r") for x in ("flag", "flag_doc", "flag_start", "flag_end")] for b in plan.found}
-        for held in batches_of(batches):
+        for batch, row, held in ((b, n, h) for b in batches for n, h in numbered(batches_of([b]))):
             ids = np.array([d for d, _ in held], np.int64)
             parts = []
             for c in candidates(plan, files, held):
@@ -500,8 +512,10 @@ def dedup(docs: DataFrame, length: int = 100, k: int = 32, crowd: int = 2048, wi
                     spans.append({"start": s, "end": e})
                     at = e
                 kept = b"".join([*kept, text[at:]])
-                rows.append((d, len(text), len(text) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), spans, kept if with_text else None))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+                rows.append((d, len(text), len(text) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), spans, *((kept, kept.decode("utf-8", "ignore")) if with_text else (None, None))))
+            more, more_names = kept_slices(batch, row, len(held))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)] + more, names=names + more_names)
 
-    out = texts.mapInArrow(remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>, kept binary")
-    return out if with_text else out.drop("kept")
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>, kept binary, kept_text string"
+    out = unkept(rows_in.mapInArrow(remove, with_kept(schema, rows_in)))
+    return out if with_text else out.drop("kept", "kept_text")
