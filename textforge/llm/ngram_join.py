@@ -13,8 +13,9 @@ overlaps of a pair. What the steps before that leave out cannot link:
    the leaders of its prefix, not with all others. Links to leaders make the first components.
 4. For pairs of different components that share a prefix shingle, the overlaps I with its leader, known by now, bound the
    overlap of the pair: at most I of the one and the shared shingles outside the leader of the other. Each prefix shingle
-   keeps the extremes of these bounds, each document is sent on only if it fits into them, and only pairs that pass are
-   counted, again by fragments. Pairs inside a component change nothing.
+   keeps the extremes of these bounds, and each document is sent on only if it fits into them. Where two such documents
+   meet, bitmaps of what either lacks of the leader bound the pair once more, and only pairs that pass are counted, again
+   by fragments. Pairs inside a component change nothing.
 
 So a large group of near copies is joined through its leader, and no list of all its pairs is ever made; yet every link
 between different components is found.
@@ -274,8 +275,13 @@ def fragment_of(shingle: np.ndarray, df: np.ndarray, pivots: list) -> np.ndarray
     return out
 
 
+WORDS = ["m0", "m1", "m2", "m3"]
+
+
 def overlaps(pairs: DataFrame, join: Join) -> DataFrame:
-    """(x, y, nx, ny, overlap) of pairs (x, y): partial overlaps by fragment, summed for each pair."""
+    """(x, y, nx, ny, overlap) of pairs (x, y): partial overlaps by fragment, summed for each pair.
+
+    m0 to m3 are a bitmap, by hash, of the shared shingles of y that x lacks: its bits are at most as many as these."""
 
     def partial(batches):
         sets = Sets(join.folder, join.bits, join.stored)
@@ -305,14 +311,20 @@ def overlaps(pairs: DataFrame, join: Join) -> DataFrame:
                     order = np.argsort(key, kind="stable")
                     both = np.flatnonzero(key[order[1:]] == key[order[:-1]])
                     cell, count = np.unique(pair[order[both]] * 8 + fragment[take[order[both]]], return_counts=True)
-                    cols.append((s + cell // 8, cell % 8, count))
-                p, f, c = (np.concatenate(z) for z in zip(*cols))
+                    alone = np.ones(len(key), bool)
+                    alone[order[both]] = alone[order[both + 1]] = False
+                    alone[: len(alone) - int((first[b + 1] - first[b]).sum())] = False  # only the side of y
+                    bit = what[take[alone]] >> np.uint64(56)
+                    bits = np.zeros((len(a), 4), np.uint64)
+                    np.bitwise_or.at(bits, (pair[alone], (bit >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (bit & np.uint64(63)))
+                    cols.append((s + cell // 8, cell % 8, count, *bits[cell // 8].T))
+                p, f, c, *m = (np.concatenate(z) for z in zip(*cols))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x[p]), pa.array(y[p]), pa.array(n[ix[p]]), pa.array(n[iy[p]]), pa.array(f.astype(np.int32)), pa.array(c.astype(np.int64))],
-                    names=["x", "y", "nx", "ny", "fragment", "overlap"])
+                    [pa.array(x[p]), pa.array(y[p]), pa.array(n[ix[p]]), pa.array(n[iy[p]]), pa.array(f.astype(np.int32)), pa.array(c.astype(np.int64))]
+                    + [pa.array(z.view(np.int64)) for z in m], names=["x", "y", "nx", "ny", "fragment", "overlap", *WORDS])
 
-    rows = pairs.mapInArrow(partial, "x long, y long, nx long, ny long, fragment int, overlap long")
-    return rows.groupBy("x", "y", "nx", "ny").agg(F.sum("overlap").alias("overlap"))
+    rows = pairs.mapInArrow(partial, "x long, y long, nx long, ny long, fragment int, overlap long, m0 long, m1 long, m2 long, m3 long")
+    return rows.groupBy("x", "y", "nx", "ny").agg(F.sum("overlap").alias("overlap"), *[F.bit_or(w).alias(w) for w in WORDS])
 
 
 def linked(counts: DataFrame, percent: int) -> DataFrame:
@@ -379,7 +391,7 @@ class Bounds:
     def __init__(self, join: Join):
         self.join = join
         self.posts = SortedFiles(join.folder, "post", join.bits, join.led, ["lead", "lead_size"])
-        self.known = SortedFiles(join.folder, "known", join.bits, join.known, ["known_y", "known_overlap"])
+        self.known = SortedFiles(join.folder, "known", join.bits, join.known, ["known_y", "known_overlap", *[f"known_{w}" for w in WORDS]])
         self.labels = SortedFiles(join.folder, "node", join.bits, join.labelled, ["component"])
 
     def component(self, docs: np.ndarray) -> np.ndarray:
@@ -387,8 +399,9 @@ class Bounds:
         return np.where(at["found"], at["component"], docs)
 
     def of(self, docs, n, m, shingle):
-        """(document index, shingle, inside: in the leader's component, need, reach) of all prefix shingles with several
-        documents. A pair can only link if need of the one is at most reach of the other, both ways."""
+        """Of all prefix shingles with several documents: document index, shingle, inside (in the leader's component), need and
+        reach, then the overlap with the leader, the shared shingles outside it, and the bitmap of what is lacking of it.
+        A pair can only link if need of the one is at most reach of the other, both ways."""
         t = self.join.percent
         who, h = self.join.prefixes(n, m, shingle)
         at = self.posts.find(h)
@@ -402,7 +415,9 @@ class Bounds:
         need = np.where(none, np.iinfo(np.int64).min // 4, t * n[who] - (100 + t) * outside)
         reach = np.where(none, np.iinfo(np.int64).max // 4, (100 + t) * overlap - t * n[who])
         inside = self.component(docs)[who] == self.component(lead)
-        return who, h, inside, need, reach
+        huge = np.iinfo(np.int64).max // 4
+        lacks = [hit[f"known_{w}"] for w in WORDS]
+        return who, h, inside, need, reach, np.where(none, huge, overlap), np.where(none, huge, outside), *lacks
 
 
 def bounded_pairs(spark, join: Join) -> tuple[Join, DataFrame]:
@@ -415,7 +430,7 @@ def bounded_pairs(spark, join: Join) -> tuple[Join, DataFrame]:
         for batch in batches:
             for b in batch.column("b").to_pylist():
                 docs, n, m, shingle, _ = sets.scan(b)
-                who, h, inside, need, reach = bounds.of(docs, n, m, shingle)
+                who, h, inside, need, reach, *_ = bounds.of(docs, n, m, shingle)
                 if not len(h):
                     continue
                 order = np.argsort(h, kind="stable")
@@ -449,7 +464,7 @@ def bounded_pairs(spark, join: Join) -> tuple[Join, DataFrame]:
         for batch in batches:
             for b in batch.column("b").to_pylist():
                 docs, n, m, shingle, _ = sets.scan(b)
-                who, h, inside, need, reach = bounds.of(docs, n, m, shingle)
+                who, h, inside, need, reach, *more = bounds.of(docs, n, m, shingle)
                 r = rules.find(h)
                 with_out = (need <= r["out_reach"]) & (reach >= r["out_need"])
                 with_in = (need <= r["in_reach"]) & (reach >= r["in_need"])
@@ -457,20 +472,27 @@ def bounded_pairs(spark, join: Join) -> tuple[Join, DataFrame]:
                 at = np.flatnonzero(fits)
                 if len(at):
                     w = who[at]
-                    yield packed_batch(by_bucket(h[at], bits, docs[w], n[w], bounds.component(docs)[w], inside[at].astype(np.int64), need[at], reach[at]))
+                    yield packed_batch(by_bucket(h[at], bits, docs[w], n[w], bounds.component(docs)[w], inside[at].astype(np.int64), need[at], reach[at], *[x[at] for x in more]))
 
     def meet(table: pa.Table) -> pa.Table:
-        h, doc, n, comp, inside, need, reach = (np.concatenate(x).view(np.int64) for x in arrays_of(table, 7))
-        order = np.lexsort((doc, inside, h))
-        h, doc, n, comp, inside, need, reach = (x[order] for x in (h, doc, n, comp, inside, need, reach))
+        cols = [np.concatenate(x).view(np.int64) for x in arrays_of(table, 9 + len(WORDS))]
+        order = np.lexsort((cols[1], cols[4], cols[0]))
+        h, doc, n, comp, inside, need, reach, overlap, outside_lead, *lacks = (x[order] for x in cols)
+        lacks = np.stack(lacks, axis=1).view(np.uint64)
+        lacking = np.bitwise_count(lacks).sum(axis=1).astype(np.int64)
+        t = join.percent
         edges = np.append(np.flatnonzero(np.append(True, h[1:] != h[:-1])), len(h))
         xs, ys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for s, e in zip(edges, edges[1:]):
             outside = s + int((inside[s:e] == 0).sum())
             for i in range(s, outside):  # each with the outside ones after it and with all inside ones
                 rest = slice(i + 1, e)
-                ok = (comp[rest] != comp[i]) & (need[rest] <= reach[i]) & (need[i] <= reach[rest]) & able(n[rest], n[i], join.percent)
-                y = doc[rest][ok]
+                at = i + 1 + np.flatnonzero((comp[rest] != comp[i]) & (need[rest] <= reach[i]) & (need[i] <= reach[rest]) & able(n[rest], n[i], t))
+                # of what y has of the leader, x also lacks the bits that only x's bitmap has; and the other way round
+                either = np.bitwise_count(lacks[at] | lacks[i]).sum(axis=1).astype(np.int64)
+                within = np.minimum(overlap[at] - (either - lacking[at]), overlap[i] - (either - lacking[i]))
+                most = within + np.minimum(outside_lead[at], outside_lead[i])
+                y = doc[at[(100 + t) * most >= t * (n[at] + n[i])]]
                 xs.append(np.minimum(y, doc[i]))
                 ys.append(np.maximum(y, doc[i]))
         p = np.unique(np.stack([np.concatenate(xs), np.concatenate(ys)]), axis=1)
@@ -506,13 +528,14 @@ def join_documents(docs: DataFrame, size: int = 5, percent: int = 80, bucket_byt
     def keys(batches):
         for batch in batches:
             x, y = batch.column("x").to_numpy(), batch.column("y").to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(pair_key(x, y).view(np.int64)), batch.column("y"), batch.column("overlap")], names=["key", "y", "overlap"])
+            yield pa.RecordBatch.from_arrays([pa.array(pair_key(x, y).view(np.int64)), *[batch.column(c) for c in ["y", "overlap", *WORDS]]], names=["key", "y", "overlap", *WORDS])
 
     def nodes(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array(key_of(batch.column("node").to_numpy()).view(np.int64)), batch.column("component")], names=["key", "component"])
 
-    known = save_rows(first.mapInArrow(keys, "key long, y long, overlap long"), join.folder, join.bits, "key", ["y", "overlap"], ["known", "known_y", "known_overlap"])
+    known = save_rows(first.mapInArrow(keys, "key long, y long, overlap long, m0 long, m1 long, m2 long, m3 long"), join.folder, join.bits, "key",
+                      ["y", "overlap", *WORDS], ["known", "known_y", "known_overlap", *[f"known_{w}" for w in WORDS]])
     labelled = save_rows(labels.mapInArrow(nodes, "key long, component long"), join.folder, join.bits, "key", ["component"], ["node", "component"])
     join, pairs = bounded_pairs(spark, join._replace(known=known, labelled=labelled))
     tried = first.select("x", "y").union(first.select("y", "x"))
