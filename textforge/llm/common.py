@@ -235,6 +235,24 @@ class SortedFiles:
         return {"found": found[back], **{c: v[back] for c, v in out.items()}}
 
 
+# ---------------------------------------------------------------- worker memory
+SLOT = "_textforge_worker_table"
+
+
+def worker_table(key, make):
+    """A table that outlives a task in its worker process, one at a time: another operator's table is let go."""
+    have = sys.__dict__.get(SLOT)
+    if have is None or have[0] != key:
+        sys.__dict__.pop(SLOT, None)
+        have = sys.__dict__[SLOT] = (key, make())
+    return have[1]
+
+
+def let_go() -> None:
+    """Frees the table that an earlier operator left in this worker."""
+    sys.__dict__.pop(SLOT, None)
+
+
 # ---------------------------------------------------------------- merged sketches
 class Sketch:
     """A count-min sketch of hashes, merged over all tasks and memory-mapped; counters saturate at two.
@@ -308,6 +326,7 @@ class Sketch:
 
 def word_batches(batches, most_words: int = 2_000_000):
     """Lists of (doc_id, bytes) that hold about ``most_words`` words together (or one long text)."""
+    let_go()
     held, size = [], 0
     for doc, text in text_rows(batches):
         held.append((doc, text or b""))

@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from textforge._ship import by_value
-from textforge.llm.common import PACKED, id_text, kept_slices, packed_batch, text_rows, unkept, with_kept
+from textforge.llm.common import PACKED, id_text, kept_slices, packed_batch, text_rows, unkept, with_kept, worker_table
 
 by_value(__name__)
 
@@ -243,7 +243,7 @@ def train(docs: DataFrame, sample_rows: int = 250, sample_chars: int = 20_000, b
 class Emissions:
     """Label scores of words, kept for the words seen; starts anew when full."""
 
-    def __init__(self, model: dict, most: int = 400_000):
+    def __init__(self, model: dict, most: int = 600_000):
         self.model, self.most = model, most
         self.clear()
 
@@ -279,10 +279,8 @@ def predict(docs: DataFrame, model: dict, with_spans: bool = False, keep: list[s
     kinds = [pa.string(), pa.float64(), pa.list_(pa.struct([("first", pa.int64()), ("words", pa.int64()), ("lang", pa.string())]))]
 
     def run(batches):
-        kept = sys.__dict__.setdefault("_textforge_crf", {})
-        if kept.get("name") != name:  # the worker process keeps its table from task to task
-            kept.update(name=name, table=Emissions(shared.value) if labels else None)
-        table = kept["table"]
+        # the worker process keeps the words' scores from task to task
+        table = worker_table(("crf", name), lambda: Emissions(shared.value)) if labels else None
 
         def label(parts):
             out = [("und", 0.0, [])] * len(parts)
@@ -304,17 +302,29 @@ def predict(docs: DataFrame, model: dict, with_spans: bool = False, keep: list[s
             return out
 
         for batch in batches:
-            out, parts, words = [], [], 0
-            for _, text in text_rows([batch]):
+            out: list = [None] * batch.num_rows
+            # long texts wait for one another: a step of the chain takes as long for one text as for many
+            waiting: dict[bool, list] = {False: [], True: []}
+            words = {False: 0, True: 0}
+
+            def flush(*kinds):
+                for long in kinds:
+                    at = [i for i, _ in waiting[long]]
+                    for i, x in zip(at, label([p for _, p in waiting[long]])):
+                        out[i] = x
+                    waiting[long], words[long] = [], 0
+
+            for i, (_, text) in enumerate(text_rows([batch])):
                 ws = letter_words(text)
-                parts.append(table.numbers(ws) if ws and labels else ws)
-                words += len(ws)
-                if words >= 1_000_000:
-                    out += label(parts)
-                    parts, words = [], 0
-                    if table and len(table.seen) > table.most:
-                        table.clear()
-            out += label(parts)
+                long = len(ws) > 1500
+                waiting[long].append((i, table.numbers(ws) if ws and labels else ws))
+                words[long] += len(ws)
+                if words[long] >= (600_000 if long else 100_000):
+                    flush(long)
+                if table and len(table.seen) > table.most:
+                    flush(False, True)
+                    table.clear()
+            flush(False, True)
             cols = list(zip(*out))[: 3 if with_spans else 2] or [(), (), ()][: 3 if with_spans else 2]
             more, more_names = kept_slices(batch, 0, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id")] + [pa.array(c, k) for c, k in zip(cols, kinds)] + more, names=["doc_id", "lang_pred", "score", "spans"][: 1 + len(cols)] + more_names)

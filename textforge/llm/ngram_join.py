@@ -168,7 +168,7 @@ def store_sets(texts: DataFrame, classes: DataFrame, join: Join, size: int, amou
 
     def representatives(batches):
         known = SortedFiles(folder, "rep", bits, present, ["rep_doc"])
-        for held in word_batches(batches, 1_000_000):
+        for held in word_batches(batches, 400_000):
             sets = [shingles(text, size) for _, text in held]
             a = np.fromiter((fingerprint(s)[0] for s in sets), np.uint64, len(sets))
             found = known.find(a)
@@ -510,7 +510,7 @@ def join_documents(docs: DataFrame, size: int = 5, percent: int = 80, bucket_byt
     join = Join(shared_dir(spark, "ngram-join"), bucket_bits(amount, bucket_bytes), percent)
 
     def sets(batches):
-        for held in word_batches(batches, 1_000_000):
+        for held in word_batches(batches, 400_000):
             found = [(s := shingles(text, size), fingerprint(s)) for _, text in held]
             signed = lambda i: pa.array(np.array([f[i] for _, f in found], np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in held], pa.int64()), pa.array([len(s) for s, _ in found], pa.int64()), signed(0), signed(1)], names=["doc_id", "n", "a", "b"])

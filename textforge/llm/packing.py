@@ -16,7 +16,6 @@ rows are packed each for itself; an empty table gives no rows; further columns a
 from __future__ import annotations
 
 import os
-import sys
 import zlib
 
 import numpy as np
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textforge._ship import by_value
-from textforge.llm.common import bucket_count, id_text, text_rows
+from textforge.llm.common import bucket_count, id_text, text_rows, worker_table
 from textforge.session import materialize
 
 by_value(__name__)
@@ -110,15 +109,11 @@ class WordCache:
 
 def word_cache(vocabulary: str, most_words: int) -> WordCache:
     """The worker process's cache; it outlives a task, as this module (sent by value) does not."""
-    kept = sys.__dict__.setdefault("_textforge_word_caches", {})
-    key = (vocabulary, most_words)
-    if key not in kept:
-        kept[key] = WordCache(vocabulary, most_words)
-    return kept[key]
+    return worker_table(("words", vocabulary, most_words), lambda: WordCache(vocabulary, most_words))
 
 
 def token_pieces(docs: DataFrame, seq_len: int, vocabulary: str, end_id: int = 0, with_ids: bool = False,
-                 cache_words: int = 1_500_000) -> DataFrame:
+                 cache_words: int = 1_000_000) -> DataFrame:
     """Pieces of at most ``seq_len`` tokens; only documents that are longer are cut. ``with_ids`` adds the ids."""
 
     def run(batches):

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from textforge._ship import by_value
-from textforge.llm.common import (INV, MULT, PACKED, Sketch, SortedFiles, arrays_of, bucket_bits, edges_of, id_text, kept_slices, mix,
+from textforge.llm.common import (INV, MULT, PACKED, Sketch, SortedFiles, arrays_of, bucket_bits, edges_of, id_text, kept_slices, let_go, mix,
                                   pack_arrays, packed_batch, powers, save_array, shared_dir, text_rows, total_bytes, unkept, unpack_arrays,
                                   window_min, with_kept)
 from textforge.session import materialize
@@ -41,7 +41,7 @@ from textforge.session import materialize
 by_value(__name__)
 
 SECOND = 0xD6E8FEB86659FD93 | 1
-PIECE = 2_000_000  # bytes worked on at once
+PIECE = 500_000  # bytes worked on at once: a worker holds about a hundred times as many in arrays of numbers
 BYTE = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)  # a number for each byte
 
 
@@ -72,6 +72,7 @@ class Contexts(NamedTuple):
 
 def batches_of(batches):
     """Lists of (doc_id, bytes) of about PIECE bytes, or one longer text."""
+    let_go()
     held, size = [], 0
     for doc, text in text_rows(batches):
         held.append((doc, text or b""))
