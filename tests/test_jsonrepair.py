@@ -2,37 +2,53 @@
 
 import json
 
-from textforge.functions.jsonrepair import escape_stray_quotes, extract_fields, fix_unicode, repair_line
+import pytest
+from pyspark.sql import functions as F
 
+from textforge.functions.jsonrepair import escape_stray_quotes, extract_fields, fix_unicode
+from textforge.sources.jsonl import parse_lines
 
-def test_quote_repair():
-    js, err, k = repair_line('{"document_id":"bad-001","text":"He said "hello" to me"}')
-    assert err is None and k == 2
-    assert json.loads(js)["text"] == 'He said "hello" to me'
 
+def repair(spark, *lines):
+    """(object or None, error, strategy) of each line."""
+    df = spark.createDataFrame(list(enumerate(lines)), "line_number long, value string")
+    rows = parse_lines(df).select("line_number", F.to_json("parsed").alias("j"), "json_error", "repair_strategy").orderBy("line_number").collect()
+    return [(json.loads(r.j) if r.j else None, r.json_error, r.repair_strategy) for r in rows]
 
-def test_valid_json_is_strategy_one():
-    js, err, k = repair_line('{"document_id":"bad-002","text":"Price is $100—very expensive"}')
-    assert k == 1 and json.loads(js)["text"].endswith("very expensive")
 
-
-def test_last_array_element_breaks():
-    s = escape_stray_quotes('{"tags":["a","b"]}')
-    assert s == '{"tags":["a","b\\"]}'
-
-
-def test_unicode_fix_table():
-    assert fix_unicode("a“b”—c​d\x01") == 'a\\"b\\"--cd'
-
-
-def test_aggressive_extraction_keeps_raw_escapes():
-    got = extract_fields('{"document_id":"d1","text":"line\\nnext "q" end","title":"T"} junk')
-    assert got == {"document_id": "d1", "text": 'line\\nnext "q" end', "title": "T"}
-
-
-def test_total_failure_reports_first_error():
-    js, err, k = repair_line("not json at all")
-    assert js is None and err.startswith("All parsing failed. Expecting value at position 0")
+def test_strategies(spark):
+    got = repair(
+        spark,
+        '{"document_id":"bad-002","text":"Price is $100—very expensive"}',
+        '{"document_id":"bad-001","text":"He said "hello" to me"}',
+        '{"document_id":"u","text":“\x01plain”}'.replace("“", '"“').replace("”", '”"'),
+        '{"document_id":"b","text":"\x02say "hi" now…"}',
+        '{"document_id":"c","text":"cut off, with "quotes", here',
+        "not json at all",
+    )
+    assert [k for _, _, k in got] == [1, 2, 3, 4, 5, None]
+    assert got[0][0]["text"].endswith("very expensive")
+    assert got[1][0]["text"] == 'He said "hello" to me'
+    assert got[2][0]["text"] == '"plain"'
+    assert got[3][0]["text"] == 'say "hi" now...'
+    assert got[4][0] == {"document_id": "c", "text": 'cut off, with "quotes'}
+    assert got[5][0] is None and got[5][1].startswith("All parsing failed. Expecting value at position 0")
+
+
+@pytest.mark.parametrize("line,fixed", [
+    ('{"tags":["a","b"]}', '{"tags":["a","b\\"]}'),
+    ('{"a":"x "y" z","b":"c"}', '{"a":"x \\"y\\" z","b":"c"}'),
+    ('{"a" : "x\\"y", "k"ey":1}', '{"a" : "x\\"y", "k\\"ey":1}'),
+    ('{"a":"colon": inside","b":1}', '{"a":"colon\\": inside","b":1}'),
+    ("", ""), ('"', '"'), ('{"a":"open \\', '{"a":"open \\'),
+])
+def test_quote_repair(line, fixed):
+    assert escape_stray_quotes(line) == fixed
+
+
+def test_quote_repair_of_a_long_line_is_linear():
+    line = '{"document_id":"d","text":"' + 'say "x" and ' * 40_000 + '"}'
+    assert json.loads(escape_stray_quotes(line))["text"] == 'say "x" and ' * 40_000
 
 
 def test_classify_lines(spark):
@@ -91,18 +107,12 @@ def test_line_numbers_from_files(spark, tmp_dir):
     assert got == want
 
 
-def test_native_extraction_matches_python(spark):
-    from pyspark.sql import functions as F
-
-    from textforge.functions.jsonrepair import extract_fields_native, fix_unicode_native
-
+def test_extraction_and_unicode_table(spark):
     lines = ['{"document_id":"d1","text":"line\\nnext "q" end","title":"T"} junk',
              '{"document_id":"d2","text":"' + "word " * 50000 + '"}',
-             '{"document_id":"d3","text":"trunc']
+             '{"document_id":"d3","text":"trunc', 'a“b”—c\u200bd\x01']
     df = spark.createDataFrame([(v,) for v in lines], "v string")
-    got = df.select(extract_fields_native(F.col("v")).alias("x"), fix_unicode_native(F.col("v")).alias("u")).collect()
-    for r, v in zip(got, lines):
-        want = extract_fields(v)
-        assert r.x.document_id == want["document_id"] and r.x.text == want["text"]
-        assert r.x.title == want.get("title")
-        assert r.u == fix_unicode(v)
+    got = df.select(extract_fields(F.col("v")).alias("x"), fix_unicode(F.col("v")).alias("u")).collect()
+    assert (got[0].x.document_id, got[0].x.text, got[0].x.title) == ("d1", 'line\\nnext "q" end', "T")
+    assert got[1].x.text == "word " * 50000 and got[2].x.text == "trunc" and got[3].x.text is None
+    assert got[3].u == 'a\\"b\\"--cd'

@@ -40,9 +40,9 @@ def sanitize_url_array(col: Column) -> Column:
     return F.when(F.size(arr) > 0, arr)
 
 
-# Structural URL check standing in for the typed model's HttpUrl: scheme,
-# a host of letters/digits/dots/hyphens (optionally a port), then path/query.
-HTTP_URL_PATTERN = r"^https?://[A-Za-z0-9]([A-Za-z0-9.\-]*[A-Za-z0-9])?(:[0-9]{1,5})?([/?#][^\s]*)?$"
+# Structural URL check standing in for the typed model's HttpUrl: scheme, optional user part, a host without spaces or
+# delimiters (international names and underscores are hosts too), optionally a port, then path/query.
+HTTP_URL_PATTERN = r"^https?://(?:[^\s/?#@]*@)?(?:\[[0-9A-Fa-f:.]+\]|[\p{L}\p{N}](?:[\p{L}\p{N}\p{M}._-]*[\p{L}\p{N}\p{M}])?)\.?(?::[0-9]{1,5})?(?:[/?#][^\s]*)?$"
 
 
 def is_http_url(col: Column) -> Column:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from textforge.functions.jsonrepair import repair_udf
+from textforge.functions.jsonrepair import extract_fields, fix_unicode, quote_repair
 from textforge.functions.urls import strip_ws
 
 # Batch admission limits (records per batch, bytes per file).
@@ -32,51 +32,49 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return number_lines(raw)
 
 
-# Above this many (file, split) rows the offset table is shuffle-joined instead
-# of broadcast (~100 bytes per row).
-MAX_SPLIT_ROWS_BROADCAST = 2_000_000
-
-
 def number_lines(raw: DataFrame) -> DataFrame:
-    """Line numbers from (file, block_start, mid): one row per split is aggregated,
-    prefix-summed per file and joined back. The offset table has at most
-    (files + partitions) rows, known from the file listing, so the broadcast is
-    bounded; past the cap it is a shuffle join."""
+    """Line numbers from (file, block_start, mid): one row per split is aggregated, prefix-summed per file and joined back;
+    the join strategy is left to the planner."""
     splits = raw.groupBy("file", "block_start").agg(F.count("*").alias("n"), F.min("mid").alias("first_mid"))
     w = Window.partitionBy("file").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.withColumn("offset", F.coalesce(F.sum("n").over(w), F.lit(0)))
-    offsets = splits.select("file", "block_start", "first_mid", "offset")
-    try:
-        bound = len(raw.inputFiles()) + raw.rdd.getNumPartitions()
-    except Exception:
-        bound = MAX_SPLIT_ROWS_BROADCAST + 1
-    if bound <= MAX_SPLIT_ROWS_BROADCAST:
-        offsets = F.broadcast(offsets)
+    offsets = splits.select("file", "block_start", "first_mid", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("offset"))
     j = raw.join(offsets, ["file", "block_start"])
     return j.select("file", (F.col("offset") + F.col("mid") - F.col("first_mid") + 1).alias("line_number"), "value")
 
 
+def once(c: Column) -> Column:
+    """``c`` as a column that Catalyst neither copies into later expressions nor evaluates again for a pushed filter."""
+    return F.when(F.monotonically_increasing_id() >= 0, c)
+
+
 def parse_lines(lines: DataFrame, value_col: str = "value", repair: bool = True) -> DataFrame:
     """Adds ``stripped``, ``is_blank``, ``parsed`` (variant object or null),
     ``json_error`` (string or null) and ``repair_strategy`` (1-5 or null)."""
-    s = strip_ws(F.col(value_col))
-    df = lines.withColumn("stripped", s).withColumn("is_blank", F.col("stripped") == "")
-    wrapped = F.try_parse_json(F.concat(F.lit("["), F.col("stripped"), F.lit("]")))
-    df = df.withColumn("_w", wrapped)
-    native_ok = F.col("_w").isNotNull() & F.try_variant_get(F.col("_w"), "$[1]", "variant").isNull()
-    df = df.withColumn("_native_ok", native_ok)
-    elem = F.try_variant_get(F.col("_w"), "$[0]", "variant")
+    def strict(c: Column) -> Column:
+        """The one value of a line, else null: trailing text and two values fail."""
+        w = F.try_parse_json(F.concat(F.lit("["), c, F.lit("]")))
+        return F.when(F.try_variant_get(w, "$[1]", "variant").isNull(), F.try_variant_get(w, "$[0]", "variant"))
+
+    df = lines.withColumn("stripped", strip_ws(F.col(value_col))).withColumn("is_blank", F.col("stripped") == "")
+    df = df.withColumn("_1", once(strict(F.col("stripped"))))
+    tries = [F.col("_1")]
+    err = F.lit("Invalid JSON")
     if repair:
-        rep = repair_udf(F.when(~F.col("is_blank") & ~F.col("_native_ok"), F.col("stripped")))
-        df = df.withColumn("_rep", rep)
-        parsed = F.when(F.col("_native_ok"), elem).otherwise(F.try_parse_json(F.col("_rep.json")))
-        err = F.col("_rep.error")
-        strat = F.when(F.col("_native_ok"), F.lit(1)).otherwise(F.col("_rep.strategy"))
-    else:
-        parsed = F.when(F.col("_native_ok"), elem)
-        err = F.when(~F.col("_native_ok") & ~F.col("is_blank"), F.lit("Invalid JSON"))
-        strat = F.when(F.col("_native_ok"), F.lit(1))
-    df = df.withColumn("_parsed", parsed)
+        df = df.withColumn("_bad", F.when(~F.col("is_blank") & F.col("_1").isNull(), F.col("stripped")))
+        df = df.withColumn("_fixed", once(fix_unicode(F.col("_bad")))).withColumn("_rep", quote_repair(F.col("_bad"), F.col("_fixed")))
+        df = df.withColumn("_got", extract_fields(F.col("_bad")))
+        full = F.col("_got.document_id").isNotNull() & F.col("_got.text").isNotNull()
+        tries += [strict(F.col("_rep.escaped")), strict(F.col("_fixed")), strict(F.col("_rep.escaped_fixed")),
+                  F.when(full, F.parse_json(F.to_json("_got")))]
+        err = F.concat(F.lit("All parsing failed. "), F.coalesce("_rep.error", err))
+    # the first try that parses, with its number; later ones are not evaluated
+    def numbered(value: Column, number: int) -> Column:
+        return F.get(F.transform(F.array(value), lambda x: F.when(x.isNotNull(), F.struct(x.alias("value"), F.lit(number).alias("strategy")))), 0)
+
+    df = df.withColumn("_best", once(F.coalesce(*[numbered(t, i) for i, t in enumerate(tries, 1)])))
+    df = df.withColumn("_parsed", F.col("_best.value"))
+    strat = F.col("_best.strategy")
+    err = F.when(F.col("_best").isNull() & ~F.col("is_blank"), err)
     kind = F.schema_of_variant(F.col("_parsed"))
     is_obj = kind.startswith("OBJECT")
     df = df.select(
@@ -99,20 +97,20 @@ def chunk_id(line_number: Column, size: int) -> Column:
     return F.floor((line_number - 1) / F.lit(size)).cast("bigint")
 
 
-def admission(lines: DataFrame, batch_size: int = MAX_BATCH_RECORDS) -> DataFrame:
-    """Per (file, batch) record counts against the limits; per-file bytes."""
+def admission(lines: DataFrame, batch_size: int = MAX_BATCH_RECORDS, max_records: int = MAX_BATCH_RECORDS) -> DataFrame:
+    """Per (file, batch) record counts against the limits."""
     nonblank = lines.filter(strip_ws(F.col("value")) != "")
     per_batch = nonblank.groupBy("file", chunk_id(F.col("line_number"), batch_size).alias("batch_id")).agg(
         F.count("*").alias("n_records"), F.sum(F.length(F.col("value")) + 1).alias("n_chars")
     )
     return per_batch.withColumn(
-        "accepted", (F.col("n_records") >= MIN_BATCH_RECORDS) & (F.col("n_records") <= MAX_BATCH_RECORDS)
+        "accepted", (F.col("n_records") >= MIN_BATCH_RECORDS) & (F.col("n_records") <= max_records)
     )
 
 
-def file_admission(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def file_admission(spark: SparkSession, path: str | list[str], max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
     """Files over the byte limit are rejected; only file metadata is read
     (the binaryFile source prunes the unselected ``content`` column)."""
     files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"),
                                                               F.col("length").alias("file_size"))
-    return files.withColumn("accepted", F.col("file_size") <= MAX_FILE_BYTES)
+    return files.withColumn("accepted", F.col("file_size") <= max_bytes)
