@@ -1,73 +1,89 @@
 """Language identification by character-trigram rank profiles.
 
-Out-of-place distance (Cavnar & Trenkle 1994). The whole text is
-lower-cased and every run of non-letters becomes one space (``max_chars``
-can cap it, off by default). A profile is the ``top_k`` most frequent trigrams with ranks
-(count desc, then trigram). Distance(doc, lang) = sum over the document's
-profile of |rank_doc - rank_lang|, or ``top_k`` when the trigram is not in
-the language profile. Integers only, so ties are exact; ties go to the
-alphabetically first language. A document sharing no trigram with any
-profile is undetected (null), as is a text shorter than 10 characters.
-
-Only (doc, lang) pairs sharing a trigram are ever formed: an unmatched pair
-scores the maximum ``top_k * n`` and can never win, so no cross join is needed.
-The profile table is bounded (languages x ``top_k``) and broadcast.
+Out-of-place distance (Cavnar & Trenkle 1994). The whole text is lower-cased and every run of non-letters becomes one
+space. A profile is the ``top_k`` most frequent trigrams with ranks (count desc, then trigram). Distance(doc, lang) = sum
+over the document's profile of |rank_doc - rank_lang|, or ``top_k`` when the trigram is not in the language profile.
+Integers only, so ties are exact; ties go to the alphabetically first language. A document sharing no trigram with any
+profile is undetected (null), as is a text shorter than ``min_chars`` characters.
+
+A document stays one row: its trigrams are counted and ranked within an Arrow batch, beside the profiles, which have
+languages x ``top_k`` rows and are collected only below ``MAX_PROFILE_ROWS``. Training adds up counts per task first.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import re
+from collections import Counter
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from textforge._ship import by_value
+
+by_value(__name__)
 
 TOP_K = 300
-MAX_CHARS: int | None = None
 MIN_CHARS = 10
+MAX_PROFILE_ROWS = 1_000_000
+_GAPS = re.compile(r"[\W\d_]+")
 
 
-def _normalized(text: Column, max_chars: int | None) -> Column:
-    t = F.substring(text, 1, max_chars) if max_chars else text
-    return F.regexp_replace(F.lower(t), r"[^\p{L}]+", " ")
+def _trigrams(text: str) -> Counter:
+    """Counts of the trigrams of a text; letters (any combining mark is none) and single spaces."""
+    t = "".join(c if c.isalpha() else " " for c in text.lower()) if not text.isascii() else text.lower()
+    t = _GAPS.sub(" ", t)
+    return Counter(map("".join, zip(t, t[1:], t[2:])))
 
 
-def trigrams(df: DataFrame, key_cols: list[str], text_col: str, max_chars: int | None = MAX_CHARS) -> DataFrame:
-    """(keys..., gram) one row per trigram occurrence.
+def _profile(counts: Counter, top_k: int) -> list[str]:
+    return [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:top_k]]
 
-    All overlapping trigrams come from one linear regex pass (a capturing
-    lookahead at every position); ``substring`` per position would be
-    quadratic on UTF-8 strings.
-    """
-    t = _normalized(F.col(text_col), max_chars)
-    grams = F.regexp_extract_all(t, F.lit(r"(?s)(?=(.{3}))"), 1)
-    return df.select(*key_cols, F.explode(grams).alias("gram"))
 
-
-def _ranked(counts: DataFrame, key: str, top_k: int) -> DataFrame:
-    w = Window.partitionBy(key).orderBy(F.col("cnt").desc(), F.col("gram"))
+def train_profiles(labelled: DataFrame, text_col: str, lang_col: str, top_k: int = TOP_K) -> DataFrame:
+    """(lang, gram, rank) for the top_k trigrams of each language."""
+    def count(batches):
+        for batch in batches:
+            by_lang: dict[str, Counter] = {}
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if text is not None:
+                    by_lang.setdefault(lang, Counter()).update(_trigrams(text))
+            rows = [(lang, g, n) for lang, c in by_lang.items() for g, n in c.items()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))], names=["lang", "gram", "cnt"])
+
+    rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    counts = rows.mapInArrow(count, "lang string, gram string, cnt long").groupBy("lang", "gram").agg(F.sum("cnt").alias("cnt"))
+    w = Window.partitionBy("lang").orderBy(F.col("cnt").desc(), F.col("gram"))
     return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_k).drop("cnt")
 
 
-def train_profiles(labelled: DataFrame, text_col: str, lang_col: str, top_k: int = TOP_K,
-                   max_chars: int | None = MAX_CHARS) -> DataFrame:
-    """(lang, gram, rank) for the top_k trigrams of each language."""
-    g = trigrams(labelled.select(F.col(lang_col).alias("lang"), text_col), ["lang"], text_col, max_chars)
-    counts = g.groupBy("lang", "gram").agg(F.count("*").alias("cnt"))
-    return _ranked(counts, "lang", top_k)
-
-
-def detect_language(docs: DataFrame, id_col: str, text_col: str, profiles: DataFrame,
-                    top_k: int = TOP_K, max_chars: int | None = MAX_CHARS, out_col: str = "language") -> DataFrame:
-    """Adds ``out_col`` (null when too short or undetected). ``docs`` unique on ``id_col``."""
-    g = trigrams(docs.select(F.col(id_col).alias("_id"), text_col), ["_id"], text_col, max_chars)
-    counts = g.groupBy("_id", "gram").agg(F.count("*").alias("cnt"))
-    dprof = _ranked(counts, "_id", top_k)
-    n_doc = dprof.groupBy("_id").agg(F.count("*").alias("n"))
-    prof = F.broadcast(profiles.select("lang", "gram", F.col("rank").alias("lrank")))
-    m = dprof.join(prof, "gram")
-    per_lang = m.groupBy("_id", "lang").agg(F.sum((F.lit(top_k) - F.abs(F.col("rank") - F.col("lrank")))).alias("gain"))
-    scored = per_lang.join(n_doc, "_id").withColumn("dist", F.col("n") * top_k - F.col("gain"))
-    best = scored.groupBy("_id").agg(F.min(F.struct("dist", "lang")).alias("b")).select(
-        "_id", F.col("b.lang").alias("_lang"))
-    out = docs.join(best, docs[id_col] == best["_id"], "left").drop("_id")
-    too_short = F.length(F.trim(F.col(text_col))) < MIN_CHARS
-    return out.withColumn(out_col, F.when(too_short | F.col(text_col).isNull(), F.lit(None)).otherwise(F.col("_lang"))
-                          ).drop("_lang")
+def detect_language(docs: DataFrame, id_col: str, text_col: str, profiles: DataFrame, top_k: int = TOP_K,
+                    out_col: str = "language", min_chars: int = MIN_CHARS) -> DataFrame:
+    """Adds ``out_col`` (null when too short or undetected)."""
+    rows = profiles.select("lang", "gram", "rank").limit(MAX_PROFILE_ROWS + 1).collect()
+    if len(rows) > MAX_PROFILE_ROWS:
+        raise ValueError(f"more than {MAX_PROFILE_ROWS} profile rows; lower top_k or the number of languages")
+    ranks: dict[str, list[tuple[str, int]]] = {}
+    for r in rows:
+        if r.lang is not None:
+            ranks.setdefault(r.gram, []).append((r.lang, r.rank))
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+
+    def detect(text: str | None) -> str | None:
+        if text is None or len(text.strip(" ")) < min_chars:
+            return None
+        gain: Counter = Counter()
+        for rank, g in enumerate(_profile(_trigrams(text), top_k), 1):
+            for lang, other in shared.value.get(g, ()):
+                gain[lang] += top_k - abs(rank - other)
+        return min(gain, key=lambda x: (-gain[x], x)) if gain else None
+
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            found = pa.array([detect(t) for t in batch.column(at).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, out_col])
+
+    return docs.mapInArrow(run, T.StructType(docs.schema.fields + [T.StructField(out_col, T.StringType())]))

@@ -79,11 +79,19 @@ def deletes_upto2(word: Column) -> Column:
                                      F.when(n >= 2, two).otherwise(F.array())))
 
 
-def build_dictionary(docs: DataFrame, text_col: str = "text", min_count: int = 20) -> DataFrame:
-    """(word, freq): lower-case ASCII words seen at least ``min_count`` times."""
+def build_dictionary(docs: DataFrame, text_col: str = "text", min_rate: float = 2e-4) -> DataFrame:
+    """(word, freq): lower-case ASCII words that make up at least ``min_rate`` of all words.
+
+    A rate, not a count: at any corpus size a word is known because it is common, not because the corpus is large."""
     w = docs.select(F.explode(F.split(F.lower(F.col(text_col)), r"[^a-zA-Z]+")).alias("word"))
-    w = w.filter(F.length("word") > 0)
-    return w.groupBy("word").agg(F.count("*").alias("freq")).filter(F.col("freq") >= min_count)
+    counts = w.filter(F.length("word") > 0).groupBy("word").agg(F.count("*").alias("freq"))
+    total = counts.agg(F.sum("freq").alias("total"))
+    # one row on the other side
+    return counts.join(F.broadcast(total), F.col("freq") >= min_rate * F.col("total")).select("word", "freq")
+
+
+# Deletion keys this short are shared by very many words: they are dealt over salts.
+SHORT_KEY, SALTS = 1, 16
 
 
 def eligible(tok: Column, cfg: CleaningConfig, entity_words: Column | None = None) -> Column:
@@ -142,7 +150,10 @@ def correction_map(unknown: DataFrame, dictionary: DataFrame, cfg: CleaningConfi
     dkeys = (dictionary.filter(F.length("word") <= max_len)
              .select(F.col("word").alias("cand"), "freq", F.explode(deletes_upto2(F.col("word"))).alias("key")))
     ukeys = unknown.select("word", F.explode(deletes_upto2(F.col("word"))).alias("key"))
-    pairs = ukeys.join(dkeys, "key").select("word", "cand", "freq").distinct()
+    short = F.length("key") <= SHORT_KEY
+    dkeys = dkeys.withColumn("salt", F.explode(F.when(short, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+    ukeys = ukeys.withColumn("salt", F.when(short, F.pmod(F.hash("word"), F.lit(SALTS))).otherwise(F.lit(0)))
+    pairs = ukeys.join(dkeys, ["key", "salt"]).select("word", "cand", "freq").distinct()
     pairs = pairs.filter(F.abs(F.length("word") - F.length("cand")) <= 2)
     scored = pairs.select("word", "cand", "freq", candidate_distance(F.col("word"), F.col("cand")).alias("dist"))
     # The distance test sits inside the aggregate (min ignores nulls): a

@@ -90,7 +90,7 @@ def preprocess(articles: DataFrame, cfg: PipelineConfig | None = None, run_date:
     if profiles is not None:
         need = df.filter(~has_lang & F.col("cleaned_text").isNotNull() & (F.col("cleaned_text") != ""))
         det = detect_language(need.select(F.col(key_col).alias("_lk"), "cleaned_text"), "_lk", "cleaned_text",
-                              profiles, out_col="_detected").select("_lk", "_detected")
+                              profiles, out_col="_detected", min_chars=cfg.language_min_chars).select("_lk", "_detected")
         df = df.join(det, df[key_col] == det["_lk"], "left").drop("_lk")
     else:
         df = df.withColumn("_detected", F.lit(None).cast("string"))
