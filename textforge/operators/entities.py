@@ -1,21 +1,16 @@
 """Entity tagging with character offsets.
 
-(a) Gazetteer: token n-grams of each document are exploded and equi-joined
-    with a ``(phrase, type)`` table (broadcast when its size estimate is under
-    the cap, shuffle join otherwise); only the matches are grouped back per
-    document.
+(a) Gazetteer: every token looks up phrases by their first two words (or the only one) in a ``(phrase, type)`` table
+    (broadcast when its size estimate is under the cap, shuffle join otherwise); longer phrases are compared on the few
+    hits. Only the matches are grouped back per document.
 (b) Rules: DATE / TIME / MONEY / PERCENT regexes, matched in-row.
 
-Gazetteer tokens are the space-separated words of the (whitespace-normalised)
-text with leading/trailing punctuation stripped; a hit's offset comes from
-``substring_index`` on the text, so no per-token prefix arrays are built.
-Rule offsets come from ``regexp_extract_all`` + ``split`` on the same pattern,
-folded in one ``aggregate`` pass. Offsets are code points, end exclusive.
-Overlaps: candidates are ordered by (start, longer first, type); a candidate
-is dropped when an earlier one reaches past its start (one ``aggregate``).
+Gazetteer tokens are the words between white space, with leading/trailing punctuation stripped; a hit's offset is summed
+from the word lengths. Rule offsets come from ``regexp_extract_all`` + ``split`` on the same pattern, folded in one
+``aggregate`` pass. Offsets are code points, end exclusive. Overlaps: candidates are ordered by (start, longer first,
+type); a candidate is dropped when a kept one reaches past its start (one ``aggregate``).
 
-Lambdas never capture array-valued expressions: Catalyst would re-evaluate a
-captured expression for every element.
+Lambdas only capture arrays that are columns already: Catalyst would re-evaluate a captured expression per element.
 """
 
 from __future__ import annotations
@@ -24,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textforge.config import DEFAULT_ENTITY_TYPES
+from textforge.functions.patterns import WS
 from textforge.sources.sizing import broadcast_if_small
 
 # Leading/trailing characters stripped from a word to get its token.
@@ -99,59 +95,46 @@ def gazetteer_table(pairs: list[tuple[DataFrame, str, str]]) -> DataFrame:
 
 
 def gazetteer_matches(docs: DataFrame, id_col: str, text_col: str, gazetteer: DataFrame, max_tokens: int) -> DataFrame:
-    """(id, k, n, type): words k..k+n-1 (1-based, edge punctuation stripped) equal a phrase."""
-    toks = F.transform(F.split(F.col(text_col), " "), lambda w: F.regexp_replace(w, EDGE_PUNCT, ""))
-    d = docs.select(F.col(id_col).alias("_id"), toks.alias("_t"))
+    """(id, k, last, type): words k to last (1-based, between white space; edge punctuation stripped) equal a phrase."""
+    words = F.transform(F.split(F.col(text_col), WS), lambda w, i: F.struct(F.regexp_replace(w, EDGE_PUNCT, "").alias("t"), (i + 1).alias("k"), w.alias("w")))
+    d = docs.select(F.col(id_col).alias("_id"), F.filter(words, lambda x: x["w"] != "").alias("_t"))
+    # one row for each token and head; the words of the longest phrase travel with it, not a row for each length
+    ahead = F.transform("_t", lambda x, i: F.struct(x["t"].alias("t"), x["k"].alias("k"), F.slice("_t", i + 1, max_tokens).alias("ahead")))
+    d = d.select("_id", F.explode(ahead).alias("x")).filter(F.col("x.t") != "")
+    two = F.concat_ws(" ", F.col("x.t"), F.get("x.ahead", F.lit(1))["t"])
+    d = d.select("_id", "x", F.explode(F.array(F.col("x.t"), F.when(F.size("x.ahead") > 1, two))).alias("head")).filter("head is not null")
+    parts = F.split("key", " ")
+    gz = broadcast_if_small(gazetteer.select("key", "type", F.size(parts).alias("n"), F.array_join(F.slice(parts, 1, 2), " ").alias("head")))
+    hit = d.join(gz, "head").filter((F.col("n") <= 2) | (F.array_join(F.transform(F.slice("x.ahead", 1, F.col("n")), lambda a: a["t"]), " ") == F.col("key")))
+    return hit.select("_id", F.col("x.k").alias("k"), F.get("x.ahead", F.col("n") - 1)["k"].alias("last"), "type")
+
+
+def gazetteer_spans(words: Column, hits: Column) -> Column:
+    """hits: array<struct<k,last,type>> -> entity structs; ``words``: the text split at each white space, a column."""
+    def start(k: Column) -> Column:
+        return F.aggregate(F.slice(words, 1, k - 1), F.lit(0), lambda a, w: a + F.length(w)) + k - 1
+
+    def lead(w: Column) -> Column:
+        return F.length(w) - F.length(F.regexp_replace(w, LEAD_PUNCT, ""))
 
-    # One Generate for every n-gram length (a union per length would re-derive
-    # the documents once per branch). Grams with an empty token never match.
-    def grams_of(n: int) -> Column:
-        ks = F.when(F.size("_t") >= n, F.sequence(F.lit(1), F.size("_t") - n + 1)).otherwise(F.array().cast("array<int>"))
-        return F.transform(ks, lambda k: F.struct(k.alias("k"), F.lit(n).alias("n"),
-                                                   F.array_join(F.slice(F.col("_t"), k, n), " ").alias("key")))
-
-    allg = d.select("_id", F.explode(F.concat(*[grams_of(n) for n in range(1, max_tokens + 1)])).alias("g"))
-    allg = allg.select("_id", "g.k", "g.n", "g.key")
-    gz = broadcast_if_small(gazetteer.select("key", "type"))
-    return allg.join(gz, "key").select("_id", "k", "n", "type")
-
-
-def _substring_index(s: Column, count: Column) -> Column:
-    return F.call_function("substring_index", s, F.lit(" "), count)
-
-
-def _word_start(text: Column, k: Column) -> Column:
-    """0-based offset of word k (1-based) of a single-spaced text."""
-    return F.when(k == 1, F.lit(0)).otherwise(F.length(_substring_index(text, k - 1)) + 1)
-
-
-def _word(text: Column, k: Column) -> Column:
-    return _substring_index(_substring_index(text, k), F.lit(-1))
-
-
-def gazetteer_spans(text: Column, hits: Column) -> Column:
-    """hits: array<struct<k,n,type>> -> entity structs with offsets."""
     def span(h):
-        first, last = _word(text, h["k"]), _word(text, h["k"] + h["n"] - 1)
-        lead_first = F.length(first) - F.length(F.regexp_replace(first, LEAD_PUNCT, ""))
-        lead_last = F.length(last) - F.length(F.regexp_replace(last, LEAD_PUNCT, ""))
-        start = _word_start(text, h["k"]) + lead_first
-        end = _word_start(text, h["k"] + h["n"] - 1) + lead_last + F.length(F.regexp_replace(last, EDGE_PUNCT, ""))
+        first, last = F.get(words, h["k"] - 1), F.get(words, h["last"] - 1)
+        end = start(h["last"]) + lead(last) + F.length(F.regexp_replace(last, EDGE_PUNCT, ""))
         return F.struct(F.lit(None).cast("string").alias("text"), h["type"].alias("type"),
-                        start.cast("int").alias("start_char"), end.cast("int").alias("end_char"))
+                        (start(h["k"]) + lead(first)).cast("int").alias("start_char"), end.cast("int").alias("end_char"))
 
     return F.transform(hits, span)
 
 
 def resolve_overlaps(cands: Column) -> Column:
-    """Order by (start, longer first, type); drop a candidate reached by an earlier one."""
+    """Order by (start, longer first, type); drop a candidate reached by an earlier one that is kept."""
     srt = F.array_sort(cands, lambda a, b: F.when(a["start_char"] != b["start_char"],
                                                   F.when(a["start_char"] < b["start_char"], -1).otherwise(1))
                        .when(a["end_char"] != b["end_char"], F.when(a["end_char"] > b["end_char"], -1).otherwise(1))
                        .when(a["type"] < b["type"], -1).when(a["type"] > b["type"], 1).otherwise(0))
     init = F.struct(F.lit(-1).alias("maxend"), F.array().cast(f"array<{ENTITY_TYPE}>").alias("out"))
     return F.aggregate(srt, init, lambda acc, e: F.struct(
-        F.greatest(acc["maxend"], e["end_char"]).alias("maxend"),
+        F.when(acc["maxend"] > e["start_char"], acc["maxend"]).otherwise(e["end_char"]).alias("maxend"),
         F.when(acc["maxend"] > e["start_char"], acc["out"]).otherwise(F.array_append(acc["out"], e)).alias("out"),
     ))["out"]
 
@@ -165,9 +148,9 @@ def tag_entities(docs: DataFrame, id_col: str, text_col: str, gazetteer: DataFra
         if max_tokens is None:
             max_tokens = int(gazetteer.agg(F.max("n_tokens")).first()[0] or 1)
         hits = gazetteer_matches(docs, id_col, text_col, gazetteer, max_tokens)
-        per_doc = hits.groupBy("_id").agg(F.collect_list(F.struct("k", "n", "type")).alias("_hits"))
-        docs = docs.join(per_doc, docs[id_col] == per_doc["_id"], "left").drop("_id")
-        gz = gazetteer_spans(F.col(text_col), F.coalesce(F.col("_hits"), F.array().cast("array<struct<k:int,n:int,type:string>>")))
+        per_doc = hits.groupBy("_id").agg(F.collect_list(F.struct("k", "last", "type")).alias("_hits"))
+        docs = docs.join(per_doc, docs[id_col] == per_doc["_id"], "left").drop("_id").withColumn("_words", F.split(F.col(text_col), WS))
+        gz = gazetteer_spans(F.col("_words"), F.coalesce(F.col("_hits"), F.array().cast("array<struct<k:int,last:int,type:string>>")))
         cands = F.concat(rules, gz)
     else:
         cands = rules
@@ -180,7 +163,7 @@ def tag_entities(docs: DataFrame, id_col: str, text_col: str, gazetteer: DataFra
         tl = F.array(*[F.lit(t) for t in types])
         with_text = F.filter(with_text, lambda e: F.array_contains(tl, e["type"]))
     out = docs.withColumn(out_col, with_text)
-    return out.drop("_hits") if gazetteer is not None else out
+    return out.drop("_hits", "_words") if gazetteer is not None else out
 
 
 def entity_words(entities: Column) -> Column:
