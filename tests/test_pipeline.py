@@ -5,7 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from tests.conftest import SF_SMALL
 
 
 def _articles(spark):
@@ -35,26 +35,54 @@ def test_upsert_keeps_created_at(spark, tmp_dir):
     from textforge.sinks.writers import read_table, upsert
 
     t = f"{tmp_dir}/table"
-    v1 = spark.createDataFrame([("a", "one"), ("b", "two")], "document_id string, cleaned_text string")
-    upsert(spark, v1, t, now="2024-01-01 00:00:00")
-    v2 = spark.createDataFrame([("b", "TWO", 1), ("b", "TWO-final", 2), ("c", "three", 1)],
-                               "document_id string, cleaned_text string, seq int")
-    upsert(spark, v2.drop("seq").join(v2.select("document_id", "seq"), "document_id").dropDuplicates(["document_id", "cleaned_text"]),
-           t, order_col=None, now="2024-02-01 00:00:00")
+    v1 = spark.createDataFrame([("a", "one", 1), ("b", "two", 1)], "document_id string, cleaned_text string, seq int")
+    upsert(spark, v1, t, order_col="seq", now="2024-01-01 00:00:00")
+    v2 = spark.createDataFrame([("b", "TWO-final", 2), ("b", "TWO", 1), ("c", "three", 1)], v1.schema)
+    for _ in range(2):  # repeating a batch changes nothing but updated_at
+        upsert(spark, v2, t, order_col="seq", now="2024-02-01 00:00:00")
     cur = {r.document_id: r for r in read_table(spark, t).collect()}
-    assert set(cur) == {"a", "b", "c"}
+    assert set(cur) == {"a", "b", "c"} and cur["b"].cleaned_text == "TWO-final"
     assert str(cur["b"].created_at).startswith("2024-01-01") and str(cur["b"].updated_at).startswith("2024-02-01")
     assert str(cur["c"].created_at).startswith("2024-02-01")
 
 
-def test_upsert_latest_in_batch(spark, tmp_dir):
-    from textforge.sinks.writers import read_table, upsert
+def test_upsert_touches_only_its_buckets_and_cleans_up(spark, tmp_dir):
+    from textforge.sinks.writers import _read_manifest, read_table, upsert, versions
+
+    t = f"{tmp_dir}/table"
+    many = spark.range(200).selectExpr("cast(id as string) as document_id", "id as v", "1 as _order")
+    upsert(spark, many, t, order_col="_order", keep_order=False, buckets=8)
+    before = _read_manifest(spark, t, versions(spark, t)[-1])["paths"]
+    for n in range(4):
+        upsert(spark, many.filter("document_id = '7'").withColumn("v", F.lit(1000 + n).cast("long")), t, order_col="_order", keep_order=False)
+    after = _read_manifest(spark, t, versions(spark, t)[-1])["paths"]
+    assert sum(before[b] != after[b] for b in before) == 1 and len(versions(spark, t)) == 2
+    assert len(os.listdir(f"{t}/data")) <= 3
+    rows = {r.document_id: r.v for r in read_table(spark, t).collect()}
+    assert len(rows) == 200 and rows["7"] == 1003 and rows["8"] == 8 and "_order" not in read_table(spark, t).columns
+
 
-    t = f"{tmp_dir}/table2"
-    b = spark.createDataFrame([("x", "old", 1), ("x", "new", 2)], "document_id string, v string, seq int")
-    upsert(spark, b, t, order_col="seq", now="2024-01-01 00:00:00")
-    rows = read_table(spark, t).collect()
-    assert len(rows) == 1 and rows[0].v == "new"
+def test_upsert_that_stops_loses_nothing(spark, tmp_dir, monkeypatch):
+    import pytest
+
+    from textforge.sinks import writers
+
+    t = f"{tmp_dir}/table"
+    row = lambda k: spark.createDataFrame([(k, 1)], "document_id string, seq int")
+    writers.upsert(spark, row("x"), t, order_col="seq")
+    add = writers._add_manifest
+    with monkeypatch.context() as m:  # stops after the data are written, before the manifest
+        m.setattr(writers, "_add_manifest", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+        with pytest.raises(KeyboardInterrupt):
+            writers.upsert(spark, row("y"), t, order_col="seq")
+    assert {r.document_id for r in writers.read_table(spark, t).collect()} == {"x"}
+    writers.upsert(spark, row("z"), t, order_col="seq")
+    assert {r.document_id for r in writers.read_table(spark, t).collect()} == {"x", "z"}
+    with pytest.raises(RuntimeError):  # a version is never written twice
+        add(spark, t, writers.versions(spark, t)[-1], {})
+    os.makedirs(f"{tmp_dir}/other/data/abc")
+    with pytest.raises(ValueError):
+        writers.read_table(spark, f"{tmp_dir}/other")
 
 
 def test_sink_selection():
@@ -62,7 +90,7 @@ def test_sink_selection():
 
     assert select_backends(None, ["jsonl"]) == ["jsonl"]
     assert select_backends(["postgresql", "jsonl"], ["jsonl", "table"]) == ["jsonl"]
-    assert select_backends(["nope"], ["jsonl"]) == []
+    assert select_backends(["nope"], ["table"]) == ["jsonl"] == select_backends(None, [])
 
 
 def test_jsonl_and_index_sinks(spark, tmp_dir):
@@ -77,7 +105,7 @@ def test_jsonl_and_index_sinks(spark, tmp_dir):
     back = spark.read.json(f"{tmp_dir}/out")
     assert back.count() == 5 and "processed_data" in back.columns
     counts = write_index_bulk(p, f"{tmp_dir}/bulk")
-    assert counts.agg(F.sum("success")).first()[0] == 5
+    assert [(r.success, r.errors) for r in counts.collect()] and counts.agg(F.sum("success"), F.sum("errors")).first()[:] == (5, 0)
     lines = spark.read.text(f"{tmp_dir}/bulk").collect()
     assert len(lines) == 10 and json.loads(lines[0].value)["index"]["_id"].startswith("doc-")
 

@@ -5,7 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from tests.conftest import SF_SMALL
 
 
 def _processed(spark):
@@ -25,7 +25,9 @@ def test_fan_out_and_report(spark, tmp_dir):
     p = _processed(spark)
     fan_out(p, {"jsonl": {"path": f"{tmp_dir}/out"},
                 "daily_jsonl": {"folder": f"{tmp_dir}/daily", "run_date": "2024-06-01"},
-                "table": {"table_path": f"{tmp_dir}/tbl"}})
+                "table": {"table_path": f"{tmp_dir}/tbl", "order_col": "cleaned_publication_date"}})
+    assert fan_out(p, {}, ["nope"], default_path=f"{tmp_dir}/default") == ["jsonl"]
+    assert spark.read.json(f"{tmp_dir}/default").count() == 7
     assert spark.read.json(f"{tmp_dir}/out").count() == 7
     assert os.path.isdir(f"{tmp_dir}/daily/ingest_date=2024-06-01")
     assert read_table(spark, f"{tmp_dir}/tbl").count() == 7
@@ -34,7 +36,9 @@ def test_fan_out_and_report(spark, tmp_dir):
 
     lines = spark.createDataFrame([(1, '{"document_id":"a","text":"t"}'), (2, "oops")], "line_number long, value string")
     c = classify(lines)
-    write_error_report(run_summary(c), quarantine(c), f"{tmp_dir}/report")
+    assert write_error_report(run_summary(c), quarantine(c), f"{tmp_dir}/report")
+    fine = c.filter("status = 'valid'")
+    assert not write_error_report(run_summary(fine), quarantine(fine), f"{tmp_dir}/none") and not os.path.exists(f"{tmp_dir}/none")
     s = spark.read.json(f"{tmp_dir}/report/summary").first()
     assert s.total_errors == 1 and s.success_rate == "50.0%"
     assert spark.read.json(f"{tmp_dir}/report/errors").first().error_type == "JSONDecodeError"
@@ -50,5 +54,6 @@ def test_admission(spark, tmp_dir):
     assert batches == {0: (1000, True), 1: (1, True)}
     whole = {r.batch_id: r.accepted for r in admission(lines, 2000).collect()}
     assert whole == {0: False}
+    assert not file_admission(spark, f"{tmp_dir}/a.jsonl", max_bytes=100).first().accepted
     files = file_admission(spark, f"{tmp_dir}/a.jsonl").collect()
     assert len(files) == 1 and files[0].accepted and files[0].file_size > 0

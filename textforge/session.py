@@ -31,7 +31,7 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", os.environ.get("TEXTFORGE_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("TEXTFORGE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for k, v in REQUIRED_CONF.items():
@@ -54,6 +54,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share: intermediate tables go there")
         # Local runs and tests only: a cluster names its shared folder.
         d = tempfile.mkdtemp(prefix="textforge-ckpt-", dir="/tmp")
         try:

@@ -1,22 +1,22 @@
 """K1-K8: sinks for processed articles and run reports.
 
-All writers are distributed Spark writes (no driver-side row loops). Keyed
-upserts are set-based: new snapshot = (current minus updated keys) + latest
-version of each incoming key, written to a fresh folder; the ``_CURRENT``
-pointer is swapped afterwards, so readers never see a half-written table and
-a failed job leaves the previous snapshot in place (re-running a batch is
-idempotent by key).
+All writers are distributed Spark writes (no driver-side row loops). A keyed table is a set of hash buckets: an upsert
+reads and rewrites the buckets its batch touches, into a new folder, and then adds a numbered manifest that names the
+folder of every bucket. Manifests are written under another name and renamed, never changed; the highest number counts. So
+a job that stops anywhere leaves the table as it was, a reader sees one version, and repeating a batch changes nothing.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from typing import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textforge.plans.preprocess import OUTPUT_COLUMNS
+from textforge.session import materialize
 
 BULK_SIZE = 500  # documents per bulk request (K5)
 
@@ -61,92 +61,126 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def current_snapshot(spark: SparkSession, table_path: str) -> str | None:
-    fs, p = _fs(spark, f"{table_path}/_CURRENT")
-    if not fs.exists(p):
-        return None
+MANIFEST = "_manifest-"
+KEEP_VERSIONS = 2  # a reader of the version before may still be at work
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    return [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def _read_manifest(spark: SparkSession, table_path: str, number: int) -> dict:
+    fs, p = _fs(spark, f"{table_path}/{MANIFEST}{number:012d}.json")
     stream = fs.open(p)
     try:
-        reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream))
-        name = reader.readLine()
+        return json.loads(bytes(stream.readAllBytes()).decode("utf-8"))
     finally:
         stream.close()
-    return f"{table_path}/{name.strip()}" if name else None
 
 
-def _set_current(spark: SparkSession, table_path: str, name: str) -> None:
-    fs, p = _fs(spark, f"{table_path}/_CURRENT.tmp")
-    out = fs.create(p, True)
+def versions(spark: SparkSession, table_path: str) -> list[int]:
+    """Numbers of the complete manifests, in order."""
+    names = [n for n in _children(spark, table_path) if n.startswith(MANIFEST) and n.endswith(".json")]
+    found = sorted(int(n[len(MANIFEST):-len(".json")]) for n in names)
+    if not found and "data" in _children(spark, table_path):
+        raise ValueError(f"{table_path} holds data but no manifest: it is no table, or its manifests were removed")
+    return found
+
+
+def _add_manifest(spark: SparkSession, table_path: str, number: int, manifest: dict) -> None:
+    fs, p = _fs(spark, f"{table_path}/.{MANIFEST}{uuid.uuid4().hex}")
+    out = fs.create(p, False)
     try:
-        out.write(bytearray(name.encode("utf-8")))
+        out.write(bytearray(json.dumps(manifest).encode("utf-8")))
     finally:
         out.close()
-    _, final = _fs(spark, f"{table_path}/_CURRENT")
-    if fs.exists(final):
-        fs.delete(final, False)
-    fs.rename(p, final)
+    _, final = _fs(spark, f"{table_path}/{MANIFEST}{number:012d}.json")
+    if fs.exists(final) or not fs.rename(p, final):
+        raise RuntimeError(f"version {number} of {table_path} was written by another job; repeat the batch")
+
+
+def _clean_up(spark: SparkSession, table_path: str) -> None:
+    """Removes versions and data folders that none of the last versions uses."""
+    numbers = versions(spark, table_path)
+    kept = numbers[-KEEP_VERSIONS:]
+    used = {path.split("/")[1] for n in kept for path in _read_manifest(spark, table_path, n)["paths"].values()}
+    for n in numbers[:-KEEP_VERSIONS]:
+        fs, p = _fs(spark, f"{table_path}/{MANIFEST}{n:012d}.json")
+        fs.delete(p, False)
+    for name in _children(spark, f"{table_path}/data"):
+        if name not in used:
+            fs, p = _fs(spark, f"{table_path}/data/{name}")
+            fs.delete(p, True)
+
+
+def _read_paths(spark: SparkSession, table_path: str, paths: Iterable[str]) -> DataFrame | None:
+    found = [f"{table_path}/{x}" for x in paths]
+    return spark.read.option("mergeSchema", "true").parquet(*found) if found else None
 
 
 def read_table(spark: SparkSession, table_path: str) -> DataFrame | None:
-    snap = current_snapshot(spark, table_path)
-    return spark.read.parquet(snap) if snap else None
+    numbers = versions(spark, table_path)
+    return _read_paths(spark, table_path, _read_manifest(spark, table_path, numbers[-1])["paths"].values()) if numbers else None
 
 
-def upsert(spark: SparkSession, batch: DataFrame, table_path: str, key: str = "document_id",
-           order_col: str | None = None, now: str | None = None) -> DataFrame:
+def upsert(spark: SparkSession, batch: DataFrame, table_path: str, key: str = "document_id", *, order_col: str,
+           now: str | None = None, keep_order: bool = True, buckets: int = 64) -> DataFrame:
     """K3: keyed upsert, last write wins; ``created_at`` set on insert, kept on update.
 
-    ``order_col`` orders versions of one key inside the batch (latest wins);
-    without it, any one of the duplicates wins (same as arrival order).
-    """
+    ``order_col`` orders the versions of one key inside the batch (the latest wins; of equal ones, the later row);
+    ``keep_order=False`` leaves it out of the table. ``buckets`` holds for a new table."""
     ts = F.to_timestamp(F.lit(now)) if now else F.current_timestamp()
-    if order_col:
-        # max_by is a hash aggregate with map-side partial aggregation: a key
-        # repeated in a large share of the batch never lands whole in one task.
-        others = [c for c in batch.columns if c != key]
-        packed = F.struct(*[F.col(c) for c in others])
-        latest = batch.groupBy(key).agg(F.max_by(packed, F.col(order_col)).alias("_v")).select(key, "_v.*")
-    else:
-        latest = batch.dropDuplicates([key])
-    latest = latest.drop("created_at", "updated_at")
-    cur = read_table(spark, table_path)
+    numbers = versions(spark, table_path)
+    if not numbers:
+        _add_manifest(spark, table_path, 0, {"buckets": buckets, "paths": {}})
+        numbers = [0]
+    manifest = _read_manifest(spark, table_path, numbers[-1])
+    bucket = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(manifest["buckets"])).cast("int")
+    rows = materialize(batch.drop("created_at", "updated_at").withColumn("_row", F.monotonically_increasing_id()).withColumn("_bucket", bucket), "upsert-batch")
+    # the latest version is found on small rows; the wide ones follow by row number
+    latest = rows.groupBy(key).agg(F.max(F.struct(order_col, "_row")).alias("_v")).select(F.col("_v._row").alias("_row"))
+    latest = rows.join(latest, "_row").drop("_row")
+    if not keep_order:
+        latest = latest.drop(order_col)
+    touched = {str(r[0]) for r in rows.select("_bucket").distinct().collect()}  # at most ``buckets``
+    cur = _read_paths(spark, table_path, [x for b, x in manifest["paths"].items() if b in touched])
     if cur is None:
         new = latest.withColumn("created_at", ts).withColumn("updated_at", ts)
     else:
-        kept_created = cur.select(key, "created_at")
-        upd = (latest.join(kept_created, key, "left")
+        upd = (latest.join(cur.select(key, "created_at"), key, "left")
                .withColumn("created_at", F.coalesce(F.col("created_at"), ts)).withColumn("updated_at", ts))
-        untouched = cur.join(latest.select(key), key, "left_anti")
-        new = untouched.unionByName(upd.select(*untouched.columns))
-    name = f"snapshot-{uuid.uuid4().hex[:12]}"
-    new.write.mode("overwrite").parquet(f"{table_path}/{name}")
-    _set_current(spark, table_path, name)
-    return spark.read.parquet(f"{table_path}/{name}")
+        untouched = cur.join(latest.select(key), key, "left_anti").withColumn("_bucket", bucket)
+        new = untouched.unionByName(upd, allowMissingColumns=True)
+    folder = f"data/{uuid.uuid4().hex}"
+    new.repartition("_bucket").write.partitionBy("_bucket").parquet(f"{table_path}/{folder}")
+    written = {x.partition("=")[2]: f"{folder}/{x}" for x in _children(spark, f"{table_path}/{folder}") if x.startswith("_bucket=")}
+    _add_manifest(spark, table_path, numbers[-1] + 1, {**manifest, "paths": {**manifest["paths"], **written}})
+    _clean_up(spark, table_path)
+    return read_table(spark, table_path)
 
 
 # ---------------------------------------------------------------- K5
 def write_index_bulk(processed: DataFrame, folder: str, index: str = "news_articles",
                      fmt: str | None = None, options: dict | None = None) -> DataFrame:
-    """K5: documents keyed by ``_id = document_id``.
+    """K5: documents keyed by ``_id = document_id``; returns (bulk, success, errors).
 
-    With a connector ``fmt`` (e.g. an Elasticsearch Spark format) the rows are
-    written through it with the id mapping; otherwise bulk-API NDJSON files
-    (action line + source line) are written, ``BULK_SIZE`` documents per
-    bulk, numbered per partition. Returns per-bulk counts (success/errors).
+    With a connector ``fmt`` (e.g. an Elasticsearch Spark format) the rows are written through it with the id mapping; it
+    fails the job on errors. Otherwise bulk-API NDJSON files are written, each one bulk of at most ``BULK_SIZE`` documents
+    (action line + source line); the counts are read from these files: an action without its source is an error.
     """
     src = processed.select(*OUTPUT_COLUMNS)
     if fmt:
         (src.write.format(fmt).options(**{"es.mapping.id": "document_id", **(options or {})})
          .mode("append").save(index))
-        return src.agg(F.count("*").alias("success"), F.lit(0).alias("errors"))
+        return src.agg(F.lit(None).cast("string").alias("bulk"), F.count("*").alias("success"), F.lit(0).cast("bigint").alias("errors"))
     action = F.to_json(F.struct(F.struct(F.lit(index).alias("_index"), F.col("document_id").alias("_id")).alias("index")))
     body = F.to_json(F.struct(*[F.col(c) for c in OUTPUT_COLUMNS]), {"ignoreNullFields": "false"})
-    lines = src.select(F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("mid"),
-                       F.concat_ws("\n", action, body).alias("value"))
-    w = Window.partitionBy("part").orderBy("mid")
-    lines = lines.withColumn("bulk", F.floor((F.row_number().over(w) - 1) / BULK_SIZE))
-    lines.select("value").write.mode("overwrite").text(folder)
-    return lines.groupBy("part", "bulk").agg(F.count("*").alias("success"), F.lit(0).alias("errors"))
+    lines = src.select(F.concat_ws("\n", action, body).alias("value"))
+    lines.write.mode("overwrite").option("maxRecordsPerFile", BULK_SIZE).text(folder)
+    is_action = F.col("value").startswith('{"index":{"_index":')
+    back = processed.sparkSession.read.text(folder).select(F.col("_metadata.file_name").alias("bulk"), "value")
+    return back.groupBy("bulk").agg(F.count_if(~is_action).alias("success"), (F.count_if(is_action) - F.count_if(~is_action)).alias("errors"))
 
 
 # ---------------------------------------------------------------- K6 / K7
@@ -161,35 +195,38 @@ def register_sink(name: str, factory: Callable[..., SinkFn]) -> None:
 
 register_sink("jsonl", lambda path, **_: (lambda df: write_results_jsonl(df, path)))
 register_sink("daily_jsonl", lambda folder, run_date, **_: (lambda df: write_daily_jsonl(df, folder, run_date)))
-register_sink("table", lambda table_path, spark=None, **_: (
-    lambda df: upsert(spark or df.sparkSession, df, table_path)))
+register_sink("table", lambda table_path, order_col, **_: (
+    lambda df: upsert(df.sparkSession, df, table_path, order_col=order_col)))
 register_sink("index", lambda folder, **_: (lambda df: write_index_bulk(df, folder)))
 
 
 def select_backends(requested: Iterable[str] | None, enabled: Iterable[str]) -> list[str]:
-    """K6: requested ∩ enabled (unknown names skipped); default ``jsonl``."""
+    """K6: requested and enabled sinks (unknown names skipped), all enabled ones by default; ``jsonl`` if none is left."""
     enabled = [e for e in enabled if e in _SINKS]
-    if not requested:
-        return [e for e in enabled] or ["jsonl"]
-    return [r for r in requested if r in enabled]
+    return [r for r in (requested or enabled) if r in enabled] or ["jsonl"]
 
 
-def fan_out(processed: DataFrame, backends: dict[str, dict]) -> None:
-    """K6: compute once (persisted), write to every selected sink."""
-    p = processed.persist()
-    try:
-        for name, opts in backends.items():
-            _SINKS[name](**opts)(p)
-    finally:
-        p.unpersist()
+def fan_out(processed: DataFrame, backends: dict[str, dict], requested: Iterable[str] | None = None,
+            default_path: str | None = None) -> list[str]:
+    """K6: compute once, write to every selected sink; returns their names.
+
+    ``default_path``: where results go when none of the requested sinks is enabled and ``jsonl`` has no options."""
+    names = select_backends(requested, backends)
+    options = {**({"jsonl": {"path": default_path}} if default_path else {}), **backends}
+    p = materialize(processed, "fan-out")
+    for name in names:
+        _SINKS[name](**options[name])(p)
+    return names
 
 
 # ---------------------------------------------------------------- K8
-def write_error_report(summary: DataFrame, quarantine: DataFrame, folder: str) -> None:
-    """K8: ``summary`` (one row) and all ``errors`` under one report folder.
+def write_error_report(summary: DataFrame, quarantine: DataFrame, folder: str) -> bool:
+    """K8: ``summary`` (one row) and all ``errors`` under one report folder, if the summary counts errors; whether it did.
 
-    Errors are written by every task in parallel, not gathered into one file;
-    callers write the report only when the summary counts errors.
-    """
+    Errors are written by every task in parallel, not gathered into one file."""
+    row = summary.first()
+    if not row or not row["total_errors"]:
+        return False
     summary.coalesce(1).write.mode("overwrite").json(f"{folder}/summary")
     quarantine.write.mode("overwrite").json(f"{folder}/errors")
+    return True

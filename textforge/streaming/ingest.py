@@ -18,6 +18,7 @@ from textforge.config import PipelineConfig
 from textforge.operators.validate import ARTICLE_FIELDS
 from textforge.plans import ingest as I
 from textforge.plans.preprocess import preprocess
+from textforge.session import materialize
 from textforge.sinks.writers import upsert
 from textforge.sources.jsonl import number_lines
 
@@ -43,6 +44,8 @@ def process_batch(batch: DataFrame, batch_id: int, table_path: str, quarantine_p
     lines = number_lines(raw)
     classified = I.classify(lines).withColumn("batch_id", F.lit(batch_id))
     classified = classified.withColumn("line_key", F.concat_ws(":", F.col("file"), F.col("line_number")))
+    # two sinks read it: repair and validation run once
+    classified = materialize(classified, "stream-classified")
     q = I.quarantine(classified).withColumn("batch_id", F.lit(batch_id))
     q.write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
     valid = I.valid_articles(classified).select("line_key", "file", "line_number", *ARTICLE_FIELDS)
@@ -51,7 +54,7 @@ def process_batch(batch: DataFrame, batch_id: int, table_path: str, quarantine_p
     out = out.withColumn("batch_id", F.lit(batch_id))
     # Latest version of a key inside one batch: highest (file, line) wins.
     out = out.withColumn("_order", F.concat_ws(":", F.col("file"), F.lpad(F.col("line_number").cast("string"), 20, "0")))
-    upsert(spark, out.drop("file", "line_number"), table_path, key="document_id", order_col="_order")
+    upsert(spark, out.drop("file", "line_number"), table_path, key="document_id", order_col="_order", keep_order=False)
 
 
 def start_ingest_stream(spark: SparkSession, input_dir: str, table_path: str, quarantine_path: str,
