@@ -38,4 +38,4 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True)
 
 def _load_all() -> None:
     # Importing the modules fills QUERIES.
-    from textforge.plans import q_clean, q_enrich, q_entities, q_ingest, q_language, q_preprocess, q_reports, q_typo  # noqa: F401
+    from textforge.plans import q_clean, q_enrich, q_entities, q_ingest, q_language, q_preprocess, q_reports, q_sinks, q_typo  # noqa: F401
