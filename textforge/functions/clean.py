@@ -21,7 +21,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from textforge.config import CleaningConfig
-from textforge.functions.patterns import DIGIT, WS
+from textforge.functions.patterns import DIGIT, WS, WS_RUN
 
 ColFn = Callable[[Column], Column]
 
@@ -40,7 +40,7 @@ def remove_html_tags(col: Column | str) -> Column:
 def normalize_whitespace(col: Column | str) -> Column:
     """Collapse whitespace runs (Python's Unicode set) to one space and strip."""
     # After the collapse only U+0020 can sit at either end, so trim() suffices.
-    return F.trim(F.regexp_replace(_c(col), f"{WS}+", " "))
+    return F.trim(F.regexp_replace(_c(col), WS_RUN, " "))
 
 
 # C4 / C5 -------------------------------------------------------------------
@@ -147,6 +147,15 @@ def standardize_units(col: Column | str) -> Column:
     return c
 
 
+# Texts without any of these have nothing for the currency and unit rules.
+AMOUNT_GATE = rf"{DIGIT}|[$€£%]|(?iU:\b(?:usd|us dollar|eur|gbp|pounds?sterling))"
+
+
+def where_needed(col: Column, pattern: str, fn: ColFn) -> Column:
+    """``fn`` only for texts that match ``pattern``; the text is bound once, so it is computed once."""
+    return F.get(F.transform(F.array(col), lambda x: F.when(x.rlike(pattern), fn(x)).otherwise(x)), 0)
+
+
 # User-registered steps ------------------------------------------------
 _STEP_REGISTRY: dict[str, ColFn] = {}
 
@@ -160,7 +169,7 @@ def get_step(name: str) -> ColFn:
     return _STEP_REGISTRY[name]
 
 
-# Example extension: emoji removal (the reference's documented recipe).
+# Example extension: emoji removal.
 EMOJI_PATTERN = (
     r"[\x{1F600}-\x{1F64F}\x{1F300}-\x{1F5FF}\x{1F680}-\x{1F6FF}\x{1F1E0}-\x{1F1FF}"
     r"\x{2702}-\x{27B0}\x{24C2}-\x{1F251}]+"
@@ -190,10 +199,9 @@ def clean_text_before_typos(col: Column | str, cfg: CleaningConfig, python_ok: b
         from textforge.functions.encoding import fix_encoding, fix_encoding_native
 
         c = fix_encoding(c) if python_ok else fix_encoding_native(c)
-    if cfg.standardize_currency:
-        c = standardize_currency(c)
-    if cfg.standardize_units:
-        c = standardize_units(c)
+    rules = [f for on, f in ((cfg.standardize_currency, standardize_currency), (cfg.standardize_units, standardize_units)) if on]
+    if rules:
+        c = where_needed(c, AMOUNT_GATE, lambda x: rules[-1](rules[0](x)) if len(rules) > 1 else rules[0](x))
     if cfg.normalize_punctuation:
         c = _dashes_and_quotes(c, cfg.normalize_unicode_dashes, cfg.normalize_smart_quotes)
         c = remove_non_printable(c)

@@ -133,7 +133,7 @@ def fix_encoding_native(col: Column) -> Column:
 
 def fix_encoding(col: Column) -> Column:
     """Native repair for every row; Arrow UDF only where the gate fires."""
-    gated = F.when(col.rlike(NEEDS_PYTHON), col)
+    gated = F.get(F.transform(F.array(col), lambda x: F.when(x.rlike(NEEDS_PYTHON), x)), 0)
     return F.coalesce(_fix_text_udf(gated), fix_encoding_native(col))
 
 

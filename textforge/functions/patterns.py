@@ -12,6 +12,8 @@ WS_CHARS = (
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 )
 WS = f"[{WS_CHARS}]"
+# A run of white space that is not already one space.
+WS_RUN = f"(?:[{WS_CHARS.replace(' ', '')}]{WS}*| {WS}+)"
 # Python's \d on str = Unicode decimal digits.
 DIGIT = r"\p{Nd}"
 # Characters that count as "word" characters for Python's \b (str.isalnum or _).

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from textforge.config import PipelineConfig
 from textforge.functions import clean as C
 from textforge.functions.dates import normalize_date, reference_date
-from textforge.functions.metrics import reading_time, word_count
+from textforge.functions.metrics import reading_time, supplied_or, word_count
 from textforge.operators import metadata as M
 from textforge.operators.entities import entity_words, first_date_text, tag_entities
 from textforge.operators.language import detect_language
@@ -39,10 +39,10 @@ OUTPUT_COLUMNS = (
 def preprocess(articles: DataFrame, cfg: PipelineConfig | None = None, run_date: str = "1970-01-01",
                dictionary: DataFrame | None = None, gazetteer: DataFrame | None = None,
                profiles: DataFrame | None = None, key_col: str = "document_id",
-               keep: tuple[str, ...] = ()) -> DataFrame:
+               keep: tuple[str, ...] = (), override: dict | None = None) -> DataFrame:
+    """``override``: cleaning settings of this call; they hold for the text, not for the metadata."""
     cfg = cfg or PipelineConfig()
-    cc = cfg.cleaning
-    meta_cfg = cc.merge({"enable_typo_correction": False})
+    cc, meta_cfg = cfg.cleaning.merge(override), cfg.cleaning
     df = articles
 
     # E3 -> T7: entity words of the raw text protect names from typo correction.
@@ -77,8 +77,7 @@ def preprocess(articles: DataFrame, cfg: PipelineConfig | None = None, run_date:
         df = materialize(df, "cleaned")
 
     # Word count: the supplied value wins; else whitespace tokens of the cleaned text.
-    wc = F.when(F.col("word_count").isNotNull(), F.col("word_count")).otherwise(
-        word_count(F.col("cleaned_text"), whitespace_normalized=cc.normalize_whitespace))
+    wc = supplied_or(F.col("word_count"), word_count(F.col("cleaned_text"), whitespace_normalized=cc.normalize_whitespace))
     df = df.withColumn("cleaned_word_count", wc.cast("int"))
 
     am = F.col("additional_metadata")
@@ -95,10 +94,14 @@ def preprocess(articles: DataFrame, cfg: PipelineConfig | None = None, run_date:
     else:
         df = df.withColumn("_detected", F.lit(None).cast("string"))
 
-    rt = F.when(has_rt, M.clean_metadata_value(orig_rt, meta_cfg)).otherwise(
+    clean = M.in_row(meta_cfg)
+    if meta_cfg.fix_encoding or (meta_cfg.enable_typo_correction and dictionary is not None):
+        df, clean = M.relational(df, key_col, meta_cfg, dictionary)
+
+    rt = F.when(has_rt, M.clean_metadata_value(orig_rt, clean, "additional_metadata", "reading_time")).otherwise(
         reading_time(F.col("cleaned_word_count"), cfg.words_per_minute).cast("variant"))
-    lang = F.when(has_lang, M.clean_metadata_value(orig_lang, meta_cfg)).otherwise(F.col("_detected").cast("variant"))
-    meta = M.merge_computed(M.clean_additional_metadata(am, meta_cfg),
+    lang = F.when(has_lang, M.clean_metadata_value(orig_lang, clean, "additional_metadata", "language")).otherwise(F.col("_detected").cast("variant"))
+    meta = M.merge_computed(M.clean_additional_metadata(am, clean, "additional_metadata"),
                             {"cleaned_reading_time": rt, "cleaned_language": lang})
 
     date_text = first_date_text(F.col("entities"), F.col("cleaned_text"))
@@ -110,20 +113,20 @@ def preprocess(articles: DataFrame, cfg: PipelineConfig | None = None, run_date:
         F.lit(VERSION).alias("version"),
         F.col("text").alias("original_text"),
         "cleaned_text",
-        M.clean_string(F.col("title"), meta_cfg).alias("cleaned_title"),
-        M.clean_string(F.col("excerpt"), meta_cfg).alias("cleaned_excerpt"),
-        M.clean_string(F.col("author"), meta_cfg).alias("cleaned_author"),
+        M.clean_string(F.col("title"), clean, "title").alias("cleaned_title"),
+        M.clean_string(F.col("excerpt"), clean, "excerpt").alias("cleaned_excerpt"),
+        M.clean_string(F.col("author"), clean, "author").alias("cleaned_author"),
         F.col("publication_date").alias("cleaned_publication_date"),
         F.col("revision_date").alias("cleaned_revision_date"),
         F.col("source_url").alias("cleaned_source_url"),
-        M.clean_string_list(F.col("categories"), meta_cfg).alias("cleaned_categories"),
-        M.clean_string_list(F.col("tags"), meta_cfg).alias("cleaned_tags"),
+        M.clean_string_list(F.col("categories"), clean, "categories").alias("cleaned_categories"),
+        M.clean_string_list(F.col("tags"), clean, "tags").alias("cleaned_tags"),
         F.col("media_asset_urls").alias("cleaned_media_asset_urls"),
-        M.clean_variant_object(F.col("geographical_data"), meta_cfg).alias("cleaned_geographical_data"),
+        M.clean_variant_object(F.col("geographical_data"), clean, "geographical_data").alias("cleaned_geographical_data"),
         F.col("embargo_date").alias("cleaned_embargo_date"),
-        M.clean_string(F.col("sentiment"), meta_cfg).alias("cleaned_sentiment"),
+        M.clean_string(F.col("sentiment"), clean, "sentiment").alias("cleaned_sentiment"),
         "cleaned_word_count",
-        M.clean_string(F.col("publisher"), meta_cfg).alias("cleaned_publisher"),
+        M.clean_string(F.col("publisher"), clean, "publisher").alias("cleaned_publisher"),
         temporal.alias("temporal_metadata"),
         "entities",
         F.to_variant_object(meta).alias("cleaned_additional_metadata"),

@@ -62,6 +62,7 @@ def language_detect_documents(spark, sf_dir):
   count_if(detected IS NULL) AS n_undetected FROM x GROUP BY lang""",
 )
 def language_accuracy_documents(spark, sf_dir):
+    """In-sample: the profiles come from the rows that are scored."""
     x = _detected(spark, sf_dir)
     return x.groupBy("lang").agg(F.count("*").alias("n_docs"), F.count_if(F.col("detected") == F.col("lang")).alias("n_correct"),
                                  F.count_if(F.col("detected").isNull()).alias("n_undetected"))

@@ -227,3 +227,23 @@ def error_report_documents(spark, sf_dir):
     other = K.write_error_report(I.run_summary(fine), I.quarantine(fine), f"{path}/none")
     errors = spark.read.schema("error_type string").json(f"{path}/all/errors")
     return errors.agg(F.count("*").alias("n_errors"), F.lit(wrote).alias("written"), F.lit(other).alias("written_without_errors"))
+
+
+@register(
+    "metadata_typos_documents",
+    sql=f"""SELECT {SQL_ID} AS document_id, 'the weekly report' AS title, 'the desk|{chr(39)}{chr(39)}quoted{chr(39)}{chr(39)} news' AS tags, 'north region' AS zone, 'the wire' AS desk,
+  'the first|second' AS list, 'teh text' AS cleaned_text FROM documents""",
+)
+def metadata_typos_documents(spark, sf_dir):
+    """M1-M5 with typo correction and encoding repair of strings, lists and maps; the call's override is for the text only."""
+    words = spark.createDataFrame([(w, 50) for w in "the weekly report desk quoted news north region wire first second text".split()], "word string, freq long")
+    a = articles(spark, sf_dir).withColumns({
+        "text": F.lit("teh text"), "title": F.lit("teh weekly  reoprt"), "tags": F.array(F.lit("teh desk"), F.lit("\u2018quoted\u2019 nwes"), F.lit("")),
+        "geographical_data": F.parse_json(F.lit('{"zone": "norht region", "n": 1}')),
+        "additional_metadata": F.parse_json(F.lit('{"desk": "teh wire", "list": ["teh first", 5, "secnod"]}'))})
+    cfg = PipelineConfig(cleaning=CleaningConfig.settings_default(), entity_recognition=False)
+    p = preprocess(a, cfg, RUN_DATE, dictionary=words, key_col="doc_id", override={"enable_typo_correction": False})
+    meta, geo = F.col("cleaned_additional_metadata"), F.col("cleaned_geographical_data")
+    return p.select("document_id", F.col("cleaned_title").alias("title"), F.array_join("cleaned_tags", "|").alias("tags"),
+                    F.try_variant_get(geo, "$.zone", "string").alias("zone"), F.try_variant_get(meta, "$.cleaned_desk", "string").alias("desk"),
+                    F.array_join(F.try_variant_get(meta, "$.cleaned_list", "array<string>"), "|").alias("list"), "cleaned_text")
