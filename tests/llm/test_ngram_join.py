@@ -70,7 +70,7 @@ def sample(seed, docs=150):
     return rows + [(1000, None), (1001, ""), (1002, " \n"), (1003, "one Two"), (1004, "ONE two"), (1005, "one two three"), (None, "one two"), (1006, "a " * 3000), (1007, "a " * 40)]
 
 
-@pytest.mark.parametrize("seed,size,percent", [(1, 5, 80), (2, 5, 80), (3, 3, 80), (4, 2, 60), (5, 1, 70), (6, 5, 90)])
+@pytest.mark.parametrize("seed,size,percent", [(1, 5, 80), (3, 3, 80), (4, 2, 60), (5, 1, 70)])
 def test_against_brute_force(spark, seed, size, percent):
     rows = sample(seed)
     assert run(spark, rows, size, percent, bucket_bytes=3000) == expected(rows, size, percent)

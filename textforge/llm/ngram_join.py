@@ -218,8 +218,8 @@ def store_sets(texts: DataFrame, classes: DataFrame, join: Join, size: int, amou
         n = np.bincount(np.minimum(c[c > 1], 1000).astype(np.int64), weights=c[c > 1].astype(float), minlength=1001)
         return pa.table({"bucket": pa.array([b], pa.int32()), "weights": pa.array([n.astype(np.int64).tolist()], pa.list_(pa.int64()))})
 
-    counted = kept.mapInArrow(count_exactly, PACKED).groupBy("bucket").applyInArrow(add, "bucket int, weights array<long>").collect()
-    shared_by = sorted(r.bucket for r in counted)
+    counted = materialize(kept.mapInArrow(count_exactly, PACKED).groupBy("bucket").applyInArrow(add, "bucket int, weights array<long>"), "ngram-counts")
+    shared_by = sorted(r.bucket for r in counted.select("bucket").collect())
 
     def deal(batches):
         known = SortedFiles(folder, "shingle", bits, shared_by, ["df"])
@@ -256,7 +256,9 @@ def store_sets(texts: DataFrame, classes: DataFrame, join: Join, size: int, amou
 
     stored = sorted(r.bucket for r in kept.mapInArrow(deal, PACKED).groupBy("bucket").applyInArrow(store, DONE).collect())
     # pivots of the global order: about equal shares of all occurrences
-    weights = np.sum([r.weights for r in counted], axis=0) if counted else np.zeros(1001)
+    weights = np.zeros(1001)
+    for r in counted.select(F.posexplode("weights").alias("df", "n")).groupBy("df").agg(F.sum("n").alias("n")).collect():  # 1001 rows
+        weights[r.df] = r.n
     share, pivots = np.cumsum(weights) / max(1, weights.sum()), []
     for i in range(1, 8):
         df = int(np.searchsorted(share, i / 8))
