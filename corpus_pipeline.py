@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textforge.llm.common import small_side
 from textforge.session import materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -28,8 +29,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keeps one document, that with the smallest doc_id, of each group linked by shingles (operator 1)."""
     from textforge.llm.ngram_join import join_documents
 
-    kept = join_documents(docs, size=5, percent=80).filter("doc_id = component_id").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    joined = materialize(join_documents(docs, size=5, percent=80).select("doc_id", "component_id"), "pipeline-components")
+    gone = joined.filter("doc_id <> component_id").select("doc_id")
+    return docs.filter("doc_id is not null").join(small_side(gone, gone.count()), "doc_id", "left_anti").select(*COLUMNS)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,8 +47,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     from textforge.llm.decontaminate import decontaminate
 
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    hit = decontaminate(docs, items, window=10).filter("n_hit > 0").select("doc_id")
-    return docs.join(hit, "doc_id", "left_anti").select(*COLUMNS)
+    hit = materialize(decontaminate(docs, items, window=10).filter("n_hit > 0").select("doc_id"), "pipeline-contaminated")
+    return docs.join(small_side(hit, hit.count()), "doc_id", "left_anti").select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

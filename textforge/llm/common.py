@@ -53,6 +53,14 @@ def unkept(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).alias(c.removeprefix("keep_")) for c in df.columns])
 
 
+MOST_BROADCAST_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame, rows: int, most: int = MOST_BROADCAST_ROWS) -> DataFrame:
+    """A broadcast hint for a side of ``rows`` counted small rows, if these are at most ``most``; a shuffle join beyond."""
+    return F.broadcast(df) if rows <= most else df
+
+
 # ---------------------------------------------------------------- hashing
 def mix(h: np.ndarray) -> np.ndarray:
     """64-bit finaliser (bijective), so that every bit of a rolling sum reaches the high bits."""

@@ -6,7 +6,8 @@ so no shared span of that length is missed. An item with fewer words is one wind
 (there are fewer than ``window``) the documents' fingerprints are all their grams of that length.
 
 1. The documents' fingerprints are joined with the benchmark's. Spark broadcasts the benchmark's side only when its size
-   is below the session's broadcast threshold, else both sides are shuffled.
+   is below the session's broadcast threshold, else both sides are shuffled. The same holds, by a count of rows, for
+   the hits in step 2.
 2. Every hit is extended to all windows of the document that contain it. Their 128-bit digests are joined with those of
    the items' windows, which leaves exactly the shared windows.
 3. A document's hit words are the union of its shared windows, summed with a window function over their sorted starts.
@@ -28,7 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from textforge._ship import by_value
-from textforge.llm.common import ALNUM, id_text, rolling, text_rows, window_min, word_hashes
+from textforge.llm.common import ALNUM, id_text, rolling, small_side, text_rows, window_min, word_hashes
 from textforge.session import materialize
 
 by_value(__name__)
@@ -129,7 +130,8 @@ def shared_windows(docs: DataFrame, items: DataFrame, window: int = 10, k: int =
     found = fingerprints(texts, kinds, False).join(known, ["len", "h"], "left").filter("known or len = 0")
     found = materialize(found.select("doc_id", "len", "pos"), "decontaminate-hits")
     hits = found.filter("len > 0").groupBy("doc_id").agg(F.collect_set(F.struct("len", "pos")).alias("hits"))
-    inside = window_digests(texts.join(hits, "doc_id"), kinds)
+    # the texts stay where they are while the hits are few
+    inside = window_digests(texts.join(small_side(hits, found.filter("len > 0").count()), "doc_id"), kinds)
     whole = window_digests(items.withColumn("hits", F.lit(None).cast("array<struct<len:int,pos:long>>")), kinds)
     whole = whole.select(F.col("doc_id").alias("item_id"), "len", "digest").distinct()
     return found.filter("len = 0").select("doc_id", F.col("pos").alias("n_words")), inside.join(whole, ["len", "digest"]).select("doc_id", "start", "len", "item_id")
