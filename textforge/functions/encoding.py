@@ -29,7 +29,7 @@ LIGATURES = (
     ("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl"),
     ("ﬅ", "st"), ("ﬆ", "st"), ("Ĳ", "IJ"), ("ĳ", "ij"), ("ŉ", "'n"),
     ("Ǆ", "DŽ"), ("ǅ", "Dž"), ("ǆ", "dž"), ("Ǉ", "LJ"), ("ǈ", "Lj"),
-    ("ǉ", "lj"), ("Ǌ", "NJ"), ("ǋ", "Nj"), ("ǌ", "nj"),
+    ("ǉ", "lj"), ("Ǌ", "NJ"), ("ǋ", "Nj"), ("ǌ", "nj"), ("Ǳ", "DZ"), ("ǲ", "Dz"), ("ǳ", "dz"),
 )
 # Full-width ASCII variants U+FF01..U+FF5E map 1:1 onto U+0021..U+007E; the
 # ideographic space U+3000 becomes a plain space.

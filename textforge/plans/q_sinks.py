@@ -9,6 +9,7 @@ from textforge.config import CleaningConfig, PipelineConfig
 from textforge.plans import ingest as I
 from textforge.plans.catalog import register, table
 from textforge.plans.preprocess import preprocess
+from textforge.plans.q_ingest import EXPECTED, derived_lines
 from textforge.session import scratch_path
 from textforge.sinks import writers as K
 
@@ -172,8 +173,6 @@ def sink_fan_out_documents(spark, sf_dir):
 # ---------------------------------------------------------------- files
 def _write_lines(spark, sf_dir, name):
     """The derived lines as several JSONL files, one for each ``doc_id % 4``, in doc_id order within each."""
-    from textforge.plans.q_ingest import derived_lines
-
     path = scratch_path(spark, name)
     lines = derived_lines(spark, sf_dir).withColumn("part", (F.col("line_number") - 1) % 4)
     lines.repartition(4, "part").sortWithinPartitions("part", "line_number").select("part", "value").write.partitionBy("part").text(path)
@@ -247,3 +246,65 @@ def metadata_typos_documents(spark, sf_dir):
     return p.select("document_id", F.col("cleaned_title").alias("title"), F.array_join("cleaned_tags", "|").alias("tags"),
                     F.try_variant_get(geo, "$.zone", "string").alias("zone"), F.try_variant_get(meta, "$.cleaned_desk", "string").alias("desk"),
                     F.array_join(F.try_variant_get(meta, "$.cleaned_list", "array<string>"), "|").alias("list"), "cleaned_text")
+
+
+# ---------------------------------------------------------------- encoding, user steps, find by id, validation messages, streams
+@register("encoding_repair_documents", sql="SELECT doc_id, text AS repaired FROM documents")
+def encoding_repair_documents(spark, sf_dir):
+    """Texts whose UTF-8 bytes were read as Latin-1, once or twice, come back as they were."""
+    from textforge.functions.encoding import fix_encoding
+
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    damage = lambda c: F.decode(F.encode(c, "UTF-8"), "ISO-8859-1")
+    once = damage(F.col("text"))
+    d = d.select("doc_id", F.when(F.col("doc_id") % 2 == 0, once).otherwise(damage(once)).alias("t"))
+    return d.select("doc_id", fix_encoding(F.col("t")).alias("repaired"))
+
+
+@register("user_step_documents", sql=f"SELECT doc_id, {O.sql_clean('text', CFG.cleaning)} AS cleaned FROM documents")
+def user_step_documents(spark, sf_dir):
+    """A registered step takes symbols out that were put in."""
+    from textforge.functions.clean import clean_text
+
+    cfg = CFG.cleaning.merge({"extra_steps": ["remove_emoji"], "normalize_punctuation": False})
+    plain = CFG.cleaning
+    d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("\U0001F600"), "text", F.lit("\U0001F680")).alias("t"))
+    d = d.select("doc_id", clean_text("t", cfg).alias("t"))
+    return d.select("doc_id", clean_text("t", plain).alias("cleaned"))
+
+
+@register("find_document_by_id", sql=f"SELECT document_id, cleaned_title, cleaned_text FROM ({PROCESSED}) WHERE document_id = 'doc-7'")
+def find_document_by_id(spark, sf_dir):
+    """One processed record by its id."""
+    return processed(spark, sf_dir).filter("document_id = 'doc-7'").select("document_id", "cleaned_title", "cleaned_text")
+
+
+@register(
+    "validation_messages_jsonl",
+    sql="""SELECT line_number, loc, msg FROM (SELECT doc_id + 1 AS line_number, CASE doc_id % 10 WHEN 4 THEN 'text' WHEN 5 THEN 'document_id'
+  WHEN 0 THEN CASE WHEN doc_id % 40 = 0 THEN 'publication_date' ELSE 'word_count' END END AS loc, CASE doc_id % 10 WHEN 4 THEN 'Field required' WHEN 5 THEN 'Input should be a valid string'
+  WHEN 0 THEN CASE WHEN doc_id % 40 = 0 THEN 'Input should be a valid date' ELSE 'Input should be a valid integer' END END AS msg
+FROM documents WHERE doc_id % 10 IN (4, 5) OR doc_id % 40 = 0 OR doc_id % 50 = 20) ORDER BY line_number LIMIT 10""",
+)
+def validation_messages_jsonl(spark, sf_dir):
+    """The first ten validation messages (the report's limit), in line order."""
+    c = I.classify(derived_lines(spark, sf_dir), repair=False).filter("error_type = 'ValidationError'")
+    first = c.orderBy("line_number").limit(10)
+    e = F.get("errors", F.lit(0))
+    return first.select("line_number", e["loc"].alias("loc"), e["msg"].alias("msg"))
+
+
+@register(
+    "stream_ingest_documents",
+    sql=f"""WITH x AS ({EXPECTED})
+SELECT document_id, {O.sql_clean('text', CFG.cleaning)} AS cleaned_text FROM x WHERE status = 'valid'""",
+)
+def stream_ingest_documents(spark, sf_dir):
+    """The lines as files through the stream, batch by batch, into the keyed table: the same as one batch."""
+    from textforge.streaming.ingest import start_ingest_stream
+
+    base = scratch_path(spark, "stream")
+    source = _write_lines(spark, sf_dir, "stream-in")
+    query = start_ingest_stream(spark, source, f"{base}/table", f"{base}/quarantine", f"{base}/checkpoint", CFG, RUN_DATE, max_files_per_trigger=2)
+    query.awaitTermination()
+    return K.read_table(spark, f"{base}/table").select("document_id", "cleaned_text")
