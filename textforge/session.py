@@ -21,6 +21,8 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Texts go to Python workers in batches of this many rows: the batches take memory beside the heap, for each task.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
