@@ -143,6 +143,18 @@ def load_array(folder: str, name: str) -> np.ndarray:
     return np.load(f"{folder}/{name}.npy", mmap_mode="r")
 
 
+class Files(dict):
+    """Memory-mapped arrays ``name-bucket`` of a folder, opened when they are first asked for."""
+
+    def __init__(self, folder: str, name: str):
+        super().__init__()
+        self.folder, self.name = folder, name
+
+    def __missing__(self, bucket: int) -> np.ndarray:
+        self[bucket] = found = load_array(self.folder, f"{self.name}-{bucket}")
+        return found
+
+
 # ---------------------------------------------------------------- packed exchange
 # Numbers by the million travel as one binary row for each batch and bucket, not as a row each.
 PACKED = "bucket int, payload binary"
@@ -209,9 +221,9 @@ class SortedFiles:
     """Memory-mapped arrays of a folder: sorted hashes by bucket, and columns beside them."""
 
     def __init__(self, folder: str, name: str, bits: int, present: list[int], columns: list[str]):
-        self.bits = bits
-        self.keys = {b: load_array(folder, f"{name}-{b}") for b in present}
-        self.columns = {c: {b: load_array(folder, f"{c}-{b}") for b in present} for c in columns}
+        self.bits, self.present = bits, np.array(sorted(present), np.int64)
+        self.keys = Files(folder, name)
+        self.columns = {c: Files(folder, c) for c in columns}
 
     def find(self, hashes: np.ndarray, second: np.ndarray | None = None, check: str | None = None) -> dict[str, np.ndarray]:
         """``found`` and the columns' values (0 if not found) for hashes in any order.
@@ -220,12 +232,13 @@ class SortedFiles:
         order = np.argsort(hashes, kind="stable")
         h = hashes[order]
         found = np.zeros(len(h), bool)
-        out = {c: np.zeros(len(h), next(iter(x.values())).dtype if x else np.int64) for c, x in self.columns.items()}
+        out: dict[str, np.ndarray] = {}
         edges = edges_of(h, self.bits)
-        for b, keys in self.keys.items():
-            x, y = edges[b], edges[b + 1]
-            if x == y or not len(keys):
-                continue
+        for b in self.present[edges[self.present] < edges[self.present + 1]].tolist():  # those that hashes fall into
+            x, y, keys = edges[b], edges[b + 1], self.keys[b]
+            for c, values in self.columns.items():
+                if c not in out:
+                    out[c] = np.zeros(len(h), values[b].dtype)
             at = np.searchsorted(keys, h[x:y])
             rest = np.arange(x, y)
             while len(rest):
@@ -240,7 +253,7 @@ class SortedFiles:
                 at, rest = at[~hit] + 1, rest[~hit]
         back = np.empty_like(order)
         back[order] = np.arange(len(order))
-        return {"found": found[back], **{c: v[back] for c, v in out.items()}}
+        return {"found": found[back], **{c: out[c][back] if c in out else np.zeros(len(h), np.int64) for c in self.columns}}
 
 
 # ---------------------------------------------------------------- worker memory
@@ -311,10 +324,11 @@ class Sketch:
 
         return sorted(r.bucket for r in packed_rows.groupBy("bucket").applyInArrow(merge, "bucket int").collect())
 
-    def open(self, present: list[int]) -> dict[int, np.ndarray]:
-        return {b: load_array(self.folder, f"sketch-{b}") for b in present}
+    def open(self, present: list[int]) -> tuple[Files, set[int]]:
+        return Files(self.folder, "sketch"), set(present)
 
-    def repeated(self, files: dict[int, np.ndarray], hashes: np.ndarray) -> np.ndarray:
+    def repeated(self, opened: tuple[Files, set[int]], hashes: np.ndarray) -> np.ndarray:
+        files, present = opened
         out = np.ones(len(hashes), bool)
         low = np.uint64(self.cell_bits - self.bits)
         for row in range(self.rows):
@@ -326,7 +340,7 @@ class Sketch:
             for b, (x, y) in enumerate(zip(edges, edges[1:])):
                 if y > x:
                     c = cells[x:y] - (np.uint64(b) << low)
-                    bits = files.get(row << self.bits | b)
+                    bits = files[row << self.bits | b] if row << self.bits | b in present else None
                     hit = np.zeros(y - x, bool) if bits is None else ((bits[(c >> np.uint64(3)).astype(np.int64)] >> (7 - (c & np.uint64(7))).astype(np.uint8)) & 1).astype(bool)
                     out[left[order[x:y]]] = hit
         return out

@@ -30,8 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textforge._ship import by_value
-from textforge.llm.common import (PACKED, arrays_of, bucket_bits, id_text, load_array, pack_arrays, packed_batch, save_array, shared_dir, summed,
-                                  total_bytes, unpack_arrays, word_batches, word_hashes)
+from textforge.llm.common import (PACKED, Files, arrays_of, bucket_bits, id_text, pack_arrays, packed_batch, save_array, shared_dir, summed,
+                                  total_bytes, word_batches, word_hashes)
 from textforge.session import materialize
 
 by_value(__name__)
@@ -62,16 +62,17 @@ class Words:
         self.folder, self.bits = folder, bits
         self.first = np.append(0, np.cumsum(sizes)).astype(np.int64)
         self.total = int(self.first[-1])
-        self.hashes = [load_array(folder, f"words-{b}") for b in range(1 << bits)]
+        self.hashes = Files(folder, "words")
+        self.columns: dict[str, Files] = {}
 
     def ids(self, sorted_hashes: np.ndarray) -> np.ndarray:
         """Ids of sorted hashes; -1 for an unknown word."""
         out = np.full(len(sorted_hashes), -1, np.int64)
         edges = np.searchsorted(sorted_hashes, np.arange(1, 1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits))
         edges = np.concatenate([[0], edges, [len(sorted_hashes)]])
-        for b, have in enumerate(self.hashes):
-            part = sorted_hashes[edges[b] : edges[b + 1]]
-            if len(part) and len(have):
+        for b in np.flatnonzero(edges[:-1] < edges[1:]).tolist():
+            part, have = sorted_hashes[edges[b] : edges[b + 1]], self.hashes[b]
+            if len(have):
                 at = np.minimum(np.searchsorted(have, part), len(have) - 1)
                 out[edges[b] : edges[b + 1]] = np.where(have[at] == part, at + self.first[b], -1)
         return out
@@ -80,9 +81,9 @@ class Words:
         """Entries of an array by sorted ids (-1: 0)."""
         out = np.zeros(len(ids), np.int64)
         edges = np.searchsorted(ids, self.first)
-        for b in range(1 << self.bits):
-            if edges[b] < edges[b + 1]:
-                out[edges[b] : edges[b + 1]] = load_array(self.folder, f"{name}-{b}")[ids[edges[b] : edges[b + 1]] - self.first[b]]
+        files = self.columns.setdefault(name, Files(self.folder, name))
+        for b in np.flatnonzero(edges[:-1] < edges[1:]).tolist():
+            out[edges[b] : edges[b + 1]] = files[b][ids[edges[b] : edges[b + 1]] - self.first[b]]
         return out
 
     def bucket(self, ids: np.ndarray) -> np.ndarray:
@@ -103,6 +104,12 @@ def discounts(n: list[int]) -> list[float]:
     return [min(max(x, 0.0), float(i)) for i, x in enumerate(d)]
 
 
+def sums(notes: DataFrame, kind: str, n: int) -> list[int]:
+    """Sums over the buckets of the ``n`` numbers of a kind of note."""
+    row = notes.filter(F.col("kind") == kind).agg(*[F.sum(F.get("numbers", F.lit(i))).alias(f"s{i}") for i in range(n)]).first()
+    return [int(x or 0) for x in row]
+
+
 def train(docs: DataFrame, bucket_bytes: int = 16_000_000) -> dict:
     """Counts the training rows into sorted arrays in a shared folder; returns what scoring needs to open them."""
     texts = id_text(docs)
@@ -182,15 +189,16 @@ def train(docs: DataFrame, bucket_bytes: int = 16_000_000) -> dict:
         return pa.table({"bucket": pa.array(t, pa.int32()), "kind": pa.array(k, pa.string()), "numbers": pa.array(v, pa.list_(pa.int64())), "payload": pa.array(p, pa.binary())})
 
     merged = materialize(texts.mapInArrow(count_pairs, PACKED).groupBy("bucket").applyInArrow(merge_pairs, MANIFEST + ", payload binary"), "kneser-ney-pairs")
-    notes = merged.filter("kind <> 'follow'").select("bucket", "kind", "numbers").collect()
-    have = {r.bucket for r in notes if r.kind == "counts"}
+    have = {r.bucket for r in merged.filter("kind = 'counts'").select("bucket").collect()}
     for b in {*range(buckets)} - have:
         save_array(folder, f"pairs-{b}", np.zeros(0, np.uint64))
         save_array(folder, f"pair_counts-{b}", np.zeros(0, np.uint8))
         for name in ("n1", "n2", "n3"):
             save_array(folder, f"{name}-{b}", np.zeros(sizes[b], np.uint32))
-    pair_counts = [sum(r.numbers[i] for r in notes if r.kind == "counts") for i in range(5)]
-    hot = {name: [sum(r.numbers[1] for r in notes if r.kind == name and r.numbers[0] == x) for x in frequent.tolist()] for name in ("n1", "n2", "n3")}
+    pair_counts = sums(merged, "counts", 5)
+    hot = {name: np.zeros(len(frequent), np.int64) for name in ("n1", "n2", "n3")}  # of the frequent contexts
+    for r in merged.filter("kind in ('n1', 'n2', 'n3')").groupBy("kind", F.get("numbers", F.lit(0)).alias("word")).agg(F.sum(F.get("numbers", F.lit(1))).alias("n")).collect():
+        hot[r.kind][np.searchsorted(frequent, r.word)] = r.n
 
     # 3. continuations
     def merge_follow(table: pa.Table) -> pa.Table:
@@ -201,10 +209,10 @@ def train(docs: DataFrame, bucket_bytes: int = 16_000_000) -> dict:
         save_array(folder, f"follow-{b}", dense)
         return manifest([(b, "follow", [int((n == i).sum()) for i in (1, 2, 3, 4)] + [len(n), int(n.sum())])])
 
-    follow = merged.filter("kind = 'follow'").select("bucket", "payload").groupBy("bucket").applyInArrow(merge_follow, MANIFEST).collect()
-    for b in {*range(buckets)} - {r.bucket for r in follow}:
+    follow = materialize(merged.filter("kind = 'follow'").select("bucket", "payload").groupBy("bucket").applyInArrow(merge_follow, MANIFEST), "kneser-ney-follow")
+    for b in {*range(buckets)} - {r.bucket for r in follow.select("bucket").collect()}:
         save_array(folder, f"follow-{b}", np.zeros(sizes[b], np.uint32))
-    words_with = [sum(r.numbers[i] for r in follow) for i in range(6)]
+    words_with = sums(follow, "follow", 6)
     d1 = discounts(words_with[:4])
     kinds = words_with[5]
     spare = (d1[1] * words_with[0] + d1[2] * words_with[1] + d1[3] * (words_with[4] - words_with[0] - words_with[1])) / kinds if kinds else 1.0
@@ -219,8 +227,7 @@ class Model:
         self.__dict__.update(model)
         self.words = Words(self.folder, self.bits, self.sizes)
         self.frequent = np.array(self.frequent, np.int64)
-        self.pairs = [load_array(self.folder, f"pairs-{b}") for b in range(1 << self.bits)]
-        self.counts = [load_array(self.folder, f"pair_counts-{b}") for b in range(1 << self.bits)]
+        self.pairs, self.counts = Files(self.folder, "pairs"), Files(self.folder, "pair_counts")
         self.end = self.words.ids(np.array([END]))[0]
 
     def pair_counts(self, u: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -230,9 +237,9 @@ class Model:
         b = spread(self.words, self.frequent, u[known], w[known])
         order = known[np.argsort(b, kind="stable")]
         edges = np.searchsorted(np.sort(b), np.arange((1 << self.bits) + 1))
-        for n, (x, y) in enumerate(zip(edges, edges[1:])):
-            have, o = self.pairs[n], order[x:y]
-            if y > x and len(have):
+        for n in np.flatnonzero(edges[:-1] < edges[1:]).tolist():
+            have, o = self.pairs[n], order[edges[n] : edges[n + 1]]
+            if len(have):
                 key = (u[o].astype(np.uint64) << np.uint64(32)) | w[o].astype(np.uint64)
                 at = np.minimum(np.searchsorted(have, key), len(have) - 1)
                 out[o] = np.where(have[at] == key, self.counts[n][at], 0)
@@ -248,9 +255,10 @@ class Model:
         back = np.argsort(order, kind="stable")
         value = lambda name: self.words.values(name, ids[order])[back]  # noqa: E731  of each distinct word
         count, follow, n1, n2, n3 = (value(x) for x in ("counts", "follow", "n1", "n2", "n3"))
-        for i, x in enumerate(self.frequent.tolist()):
-            for name, n in (("n1", n1), ("n2", n2), ("n3", n3)):
-                n[ids == x] = self.hot[name][i]
+        place = np.minimum(np.searchsorted(self.frequent, ids), max(0, len(self.frequent) - 1))
+        often = self.frequent[place] == ids if len(self.frequent) else np.zeros(len(ids), bool)
+        for name, n in (("n1", n1), ("n2", n2), ("n3", n3)):
+            n[often] = self.hot[name][place[often]]
         vocabulary = self.words.total
         base = np.log10((count + 1) / (self.tokens + vocabulary + 1))
         d1, d2 = np.array(self.d1), np.array(self.d2)

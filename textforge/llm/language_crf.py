@@ -21,7 +21,6 @@ order; a null lang is never learned from; empty tables work; further columns are
 from __future__ import annotations
 
 import re
-import sys
 import uuid
 import zlib
 
@@ -240,10 +239,23 @@ def train(docs: DataFrame, sample_rows: int = 250, sample_chars: int = 20_000, b
 
 
 # ---------------------------------------------------------------- prediction
+def joined_batches(batches, most_bytes: int = 24_000_000):
+    """Arrow batches put together, so that long texts share the steps of the chain."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= most_bytes:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 class Emissions:
     """Label scores of words, kept for the words seen; starts anew when full."""
 
-    def __init__(self, model: dict, most: int = 600_000):
+    def __init__(self, model: dict, most: int = 400_000):
         self.model, self.most = model, most
         self.clear()
 
@@ -301,7 +313,7 @@ def predict(docs: DataFrame, model: dict, with_spans: bool = False, keep: list[s
                     out[i] = (labels[b], min(1.0, float(row[b])), runs)
             return out
 
-        for batch in batches:
+        for batch in joined_batches(batches):
             out: list = [None] * batch.num_rows
             # long texts wait for one another: a step of the chain takes as long for one text as for many
             waiting: dict[bool, list] = {False: [], True: []}

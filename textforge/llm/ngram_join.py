@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textforge._ship import by_value
-from textforge.llm.common import (MULT, PACKED, Sketch, SortedFiles, arrays_of, bucket_bits, edges_of, id_text, load_array, mix, pack_arrays,
+from textforge.llm.common import (MULT, PACKED, Files, Sketch, SortedFiles, arrays_of, bucket_bits, edges_of, id_text, mix, pack_arrays,
                                   packed_batch, rolling, save_array, shared_dir, summed, total_bytes, unpack_arrays, word_batches, word_hashes)
 from textforge.llm.components import components
 from textforge.session import materialize
@@ -104,9 +104,12 @@ def save_rows(df: DataFrame, folder: str, bits: int, key: str, columns: list[str
 class Sets:
     """The kept documents' sets in the shared folder: sorted by key of the doc_id; shingles in the global order."""
 
-    def __init__(self, folder: str, bits: int, present: list[int]):
+    def __init__(self, folder: str, bits: int):
         self.bits = bits
-        self.files = {b: tuple(load_array(folder, f"{x}-{b}") for x in ("set", "set_doc", "set_size", "set_end", "set_shingle", "set_df")) for b in present}
+        self.columns = [Files(folder, x) for x in ("set", "set_doc", "set_size", "set_end", "set_shingle", "set_df")]
+
+    def file(self, bucket: int) -> list[np.ndarray]:
+        return [c[bucket] for c in self.columns]
 
     def get(self, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(n of each document; the position in ``docs``, shingle and its df of every shared shingle)."""
@@ -116,7 +119,7 @@ class Sets:
         bucket = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
         for b in np.unique(bucket).tolist():
             at = np.flatnonzero(bucket == b)
-            k, _, size, end, shingle, df = self.files[b]
+            k, _, size, end, shingle, df = self.file(b)
             i = np.searchsorted(k, keys[at])
             n[at] = size[i]
             stop = end[i].astype(np.int64)
@@ -130,7 +133,7 @@ class Sets:
 
     def scan(self, bucket: int) -> tuple[np.ndarray, ...]:
         """(doc_ids, n, sizes of the shared part, shingles, df) of a bucket."""
-        _, doc, size, end, shingle, df = self.files[bucket]
+        _, doc, size, end, shingle, df = self.file(bucket)
         return np.asarray(doc), np.asarray(size), np.diff(np.asarray(end), prepend=0), np.asarray(shingle), np.asarray(df)
 
 
@@ -286,11 +289,11 @@ def overlaps(pairs: DataFrame, join: Join) -> DataFrame:
     m0 to m3 are a bitmap, by hash, of the shared shingles of y that x lacks: its bits are at most as many as these."""
 
     def partial(batches):
-        sets = Sets(join.folder, join.bits, join.stored)
+        sets = Sets(join.folder, join.bits)
         for batch in batches:
             xs, ys = batch.column("x").to_numpy(), batch.column("y").to_numpy()
-            for at in range(0, len(xs), 20_000):
-                x, y = xs[at : at + 20_000], ys[at : at + 20_000]
+            for at in range(0, len(xs), 4_000):
+                x, y = xs[at : at + 4_000], ys[at : at + 4_000]
                 docs, place = np.unique(np.concatenate([x, y]), return_inverse=True)
                 n, who, what, df = sets.get(docs)
                 order = np.argsort(who, kind="stable")
@@ -346,7 +349,7 @@ def leader_pairs(spark, join: Join) -> tuple[Join, DataFrame]:
     folder, bits = join.folder, join.bits
 
     def candidates(batches):
-        sets = Sets(folder, bits, join.stored)
+        sets = Sets(folder, bits)
         for batch in batches:
             for b in batch.column("b").to_pylist():
                 docs, n, m, shingle, _ = sets.scan(b)
@@ -373,7 +376,7 @@ def leader_pairs(spark, join: Join) -> tuple[Join, DataFrame]:
     join = join._replace(led=sorted(r.bucket for r in join.buckets(spark).mapInArrow(candidates, PACKED).groupBy("bucket").applyInArrow(lead, DONE).collect()))
 
     def pairs(batches):
-        sets, posts = Sets(folder, bits, join.stored), SortedFiles(folder, "post", bits, join.led, ["lead", "lead_size"])
+        sets, posts = Sets(folder, bits), SortedFiles(folder, "post", bits, join.led, ["lead", "lead_size"])
         for batch in batches:
             for b in batch.column("b").to_pylist():
                 docs, n, m, shingle, _ = sets.scan(b)
@@ -428,7 +431,7 @@ def bounded_pairs(spark, join: Join) -> tuple[Join, DataFrame]:
     low, high = np.iinfo(np.int64).min // 2, np.iinfo(np.int64).max // 2
 
     def extremes(batches):
-        sets, bounds = Sets(folder, bits, join.stored), Bounds(join)
+        sets, bounds = Sets(folder, bits), Bounds(join)
         for batch in batches:
             for b in batch.column("b").to_pylist():
                 docs, n, m, shingle, _ = sets.scan(b)
@@ -461,7 +464,7 @@ def bounded_pairs(spark, join: Join) -> tuple[Join, DataFrame]:
     join = join._replace(ruled=sorted(r.bucket for r in join.buckets(spark).mapInArrow(extremes, PACKED).groupBy("bucket").applyInArrow(rule, DONE).collect()))
 
     def send(batches):
-        sets, bounds = Sets(folder, bits, join.stored), Bounds(join)
+        sets, bounds = Sets(folder, bits), Bounds(join)
         rules = SortedFiles(folder, "rule", bits, join.ruled, ["in_need", "in_reach", "out_need", "out_reach", "out_count"])
         for batch in batches:
             for b in batch.column("b").to_pylist():

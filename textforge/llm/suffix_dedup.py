@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from textforge._ship import by_value
-from textforge.llm.common import (INV, MULT, PACKED, Sketch, SortedFiles, arrays_of, bucket_bits, edges_of, id_text, kept_slices, let_go, mix,
+from textforge.llm.common import (INV, MULT, PACKED, Files, Sketch, SortedFiles, arrays_of, bucket_bits, edges_of, id_text, kept_slices, let_go, mix,
                                   pack_arrays, packed_batch, powers, save_array, shared_dir, text_rows, total_bytes, unkept, unpack_arrays,
                                   window_min, with_kept)
 from textforge.session import materialize
@@ -421,7 +421,7 @@ def compare_suffixes(texts: DataFrame, plan: Plan) -> Plan:
                         for w in range(f, e - length + 1):
                             string = data[w : w + length]
                             entries.append((hashlib.blake2b(string, digest_size=8).digest() + string, b"", 0, 0, int(ids[d]), w + s))
-                if len(entries) >= 150_000:
+                if len(entries) >= 50_000:
                     yield flush(entries, flags)
                     entries, flags = [], []
         if entries:
@@ -450,7 +450,7 @@ def compare_suffixes(texts: DataFrame, plan: Plan) -> Plan:
         doc, start, end = intervals(doc, start, start + size)
         key = mix(doc.view(np.uint64))
         order = np.argsort(key, kind="stable")
-        for name, x in (("flag", key), ("flag_doc", doc), ("flag_start", start), ("flag_end", end)):
+        for name, x in (("flag", key), ("flag_start", start), ("flag_end", end)):
             save_array(folder, f"{name}-{bucket}", x[order])
         return pa.table({"bucket": pa.array([bucket], pa.int32())})
 
@@ -487,7 +487,7 @@ def dedup(docs: DataFrame, length: int = 100, k: int = 32, crowd: int = 2048, wi
 
     def remove(batches):
         files, owners = plan.sketch.open(plan.sketched), owners_of(plan)
-        flags = {b: [np.load(f"{folder}/{x}-{b}.npy", mmap_mode="r") for x in ("flag", "flag_doc", "flag_start", "flag_end")] for b in plan.found}
+        flags, flagged = [Files(folder, x) for x in ("flag", "flag_start", "flag_end")], set(plan.found)
         for batch, row, held in ((b, n, h) for b in batches for n, h in numbered(batches_of([b]))):
             ids = np.array([d for d, _ in held], np.int64)
             parts = []
@@ -498,11 +498,12 @@ def dedup(docs: DataFrame, length: int = 100, k: int = 32, crowd: int = 2048, wi
                 parts.append((c.doc[at], c.first[at] + c.shift[at], c.end[at] + c.shift[at]))
             keys = mix(ids.view(np.uint64))
             for i, key in enumerate(keys.tolist()):
-                f = flags.get(key >> (64 - plan.bits))
-                if f:
-                    x, y = np.searchsorted(f[0], np.array([key], np.uint64))[0], np.searchsorted(f[0], np.array([key], np.uint64), side="right")[0]
+                bucket = key >> (64 - plan.bits)
+                if bucket in flagged:  # the key is a bijection of the doc_id
+                    found, first, last = (f[bucket] for f in flags)
+                    x, y = np.searchsorted(found, np.uint64(key)), np.searchsorted(found, np.uint64(key), side="right")
                     if y > x:
-                        parts.append((np.full(y - x, i), f[2][x:y], f[3][x:y]))
+                        parts.append((np.full(y - x, i), first[x:y], last[x:y]))
             doc, start, end = intervals(*(np.concatenate(x).astype(np.int64) for x in zip(*parts))) if parts else (np.zeros(0, np.int64),) * 3
             edges = np.searchsorted(doc, np.arange(len(held) + 1))
             rows = []
