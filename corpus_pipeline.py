@@ -7,11 +7,13 @@ doc_id leave the pipeline in the first stage, as no decision on them could be na
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textforge.llm.common import small_side
-from textforge.session import materialize
+from textforge.session import ensure_conf, materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -58,13 +60,17 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs, seq_len=2048, vocabulary="word_bpe_49k.json", end_id=0)
 
 
-STAGES = [
-    ("language_id", language_id),
-    ("near_duplicates", near_duplicates),
-    ("substrings", substrings),
-    ("decontamination", decontamination),
-    ("packing", packing),
-]
+def configured(stage):
+    """The stage with the session settings that the operators rely on."""
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ensure_conf(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+STAGES = [(stage.__name__, configured(stage)) for stage in (language_id, near_duplicates, substrings, decontamination, packing)]
 ORACLE_SQL = None  # a trained model and a tokenizer are beyond SQL; tests hold every stage against brute force
 
 
