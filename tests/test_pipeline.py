@@ -161,3 +161,14 @@ def test_oracle_small(spark):
         res = con.execute(sqls[name])
         assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == \
             rows_of([d[0] for d in res.description], res.fetchall()), name
+
+
+def test_scratch_is_removed_on_request(spark):
+    from textforge import session
+
+    kept, session._SCRATCH[:] = list(session._SCRATCH), []
+    df = session.materialize(spark.range(5), "scratch-test")
+    path = session._SCRATCH[0].removeprefix("file://")
+    assert df.count() == 5 and os.path.isdir(path)
+    assert session.remove_scratch(spark) == 1 and not os.path.exists(path) and session.remove_scratch(spark) == 0
+    session._SCRATCH[:] = kept

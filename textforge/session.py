@@ -74,7 +74,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+_SCRATCH: list[str] = []  # folders of this driver process
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Deletes the intermediate tables that this process wrote; call it when no result that reads them is needed any more.
+
+    Returns how many folders it removed."""
+    removed = 0
+    while _SCRATCH:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        removed += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return removed
 
 
 def materialize(df, name: str):
