@@ -61,11 +61,11 @@ def test_language_detection(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     prof = train_profiles(docs.filter(F.col("doc_id") % 2 == 0), "text", "lang")
     test = docs.filter(F.col("doc_id") % 2 == 1)
-    out = detect_language(test, "doc_id", "text", prof, out_col="det")
+    out = detect_language(test, "text", prof, out_col="det")
     n, ok = out.count(), out.filter(F.col("det") == F.col("lang")).count()
     assert n > 50 and ok / n > 0.9
     short = spark.createDataFrame([(1, "...")], "doc_id int, text string")
-    assert detect_language(short, "doc_id", "text", prof).first().language is None
+    assert detect_language(short, "text", prof).first().language is None
 
 
 def test_entities_keep_only_rule_and_white_space(spark):

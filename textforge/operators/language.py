@@ -15,10 +15,12 @@ from __future__ import annotations
 import re
 from collections import Counter
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.functions import pandas_udf
 
 from textforge._ship import by_value
 
@@ -58,7 +60,7 @@ def train_profiles(labelled: DataFrame, text_col: str, lang_col: str, top_k: int
     return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_k).drop("cnt")
 
 
-def detect_language(docs: DataFrame, id_col: str, text_col: str, profiles: DataFrame, top_k: int = TOP_K,
+def detect_language(docs: DataFrame, text_col: str, profiles: DataFrame, top_k: int = TOP_K,
                     out_col: str = "language", min_chars: int = MIN_CHARS) -> DataFrame:
     """Adds ``out_col`` (null when too short or undetected)."""
     rows = profiles.select("lang", "gram", "rank").limit(MAX_PROFILE_ROWS + 1).collect()
@@ -79,11 +81,9 @@ def detect_language(docs: DataFrame, id_col: str, text_col: str, profiles: DataF
                 gain[lang] += top_k - abs(rank - other)
         return min(gain, key=lambda x: (-gain[x], x)) if gain else None
 
-    at = docs.columns.index(text_col)
+    @pandas_udf(T.StringType())
+    def language(texts: pd.Series) -> pd.Series:
+        return texts.map(detect, na_action="ignore")
 
-    def run(batches):
-        for batch in batches:
-            found = pa.array([detect(t) for t in batch.column(at).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, out_col])
-
-    return docs.mapInArrow(run, T.StructType(docs.schema.fields + [T.StructField(out_col, T.StringType())]))
+    # nondeterministic only so that Catalyst does not copy the call
+    return docs.withColumn(out_col, language.asNondeterministic()(F.col(text_col)))

@@ -26,6 +26,7 @@ from textforge.operators.entities import entity_words, first_date_text, tag_enti
 from textforge.operators.language import detect_language
 from textforge.operators.typo import correct_typos
 from textforge.session import materialize
+from textforge.sources.jsonl import once
 
 VERSION = "1.0"
 OUTPUT_COLUMNS = (
@@ -43,7 +44,10 @@ def preprocess(articles: DataFrame, cfg: PipelineConfig | None = None, run_date:
     """``override``: cleaning settings of this call; they hold for the text, not for the metadata."""
     cfg = cfg or PipelineConfig()
     cc, meta_cfg = cfg.cleaning.merge(override), cfg.cleaning
-    df = articles
+    df, clean = articles, M.in_row(meta_cfg)
+    # first, while nothing else hangs on the plan: the branch over metadata strings reads the articles only
+    if meta_cfg.fix_encoding or (meta_cfg.enable_typo_correction and dictionary is not None):
+        df, clean = M.relational(df, key_col, meta_cfg, dictionary)
 
     # E3 -> T7: entity words of the raw text protect names from typo correction.
     ew_col = None
@@ -70,12 +74,10 @@ def preprocess(articles: DataFrame, cfg: PipelineConfig | None = None, run_date:
         df = materialize(df, "cleaned-text")
     if cfg.entity_recognition:
         df = tag_entities(df, key_col, "cleaned_text", gazetteer, types=cfg.entity_types, out_col="entities")
+        df = df.withColumn("entities", once(F.col("entities")))
     else:
         df = df.withColumn("entities", F.array().cast("array<struct<text:string,type:string,start_char:int,end_char:int>>"))
 
-    if cfg.materialize and (profiles is not None or cfg.entity_recognition):
-        df = materialize(df, "cleaned")
-
     # Word count: the supplied value wins; else whitespace tokens of the cleaned text.
     wc = supplied_or(F.col("word_count"), word_count(F.col("cleaned_text"), whitespace_normalized=cc.normalize_whitespace))
     df = df.withColumn("cleaned_word_count", wc.cast("int"))
@@ -87,17 +89,12 @@ def preprocess(articles: DataFrame, cfg: PipelineConfig | None = None, run_date:
     has_lang = orig_lang.isNotNull() & (F.schema_of_variant(orig_lang) != "VOID")
 
     if profiles is not None:
-        need = df.filter(~has_lang & F.col("cleaned_text").isNotNull() & (F.col("cleaned_text") != ""))
-        det = detect_language(need.select(F.col(key_col).alias("_lk"), "cleaned_text"), "_lk", "cleaned_text",
-                              profiles, out_col="_detected", min_chars=cfg.language_min_chars).select("_lk", "_detected")
-        df = df.join(det, df[key_col] == det["_lk"], "left").drop("_lk")
+        # in the row: the entities and the text before it are computed once, as input of the Arrow function
+        df = df.withColumn("_undetected", F.when(~has_lang, F.col("cleaned_text")))
+        df = detect_language(df, "_undetected", profiles, out_col="_detected", min_chars=cfg.language_min_chars)
     else:
         df = df.withColumn("_detected", F.lit(None).cast("string"))
 
-    clean = M.in_row(meta_cfg)
-    if meta_cfg.fix_encoding or (meta_cfg.enable_typo_correction and dictionary is not None):
-        df, clean = M.relational(df, key_col, meta_cfg, dictionary)
-
     rt = F.when(has_rt, M.clean_metadata_value(orig_rt, clean, "additional_metadata", "reading_time")).otherwise(
         reading_time(F.col("cleaned_word_count"), cfg.words_per_minute).cast("variant"))
     lang = F.when(has_lang, M.clean_metadata_value(orig_lang, clean, "additional_metadata", "language")).otherwise(F.col("_detected").cast("variant"))

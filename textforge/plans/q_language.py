@@ -48,7 +48,7 @@ FROM te LEFT JOIN best USING (doc_id)"""
 def _detected(spark, sf_dir):
     c = _cleaned(spark, sf_dir)
     profiles = train_profiles(c, "cleaned", "lang")
-    return detect_language(c, "doc_id", "cleaned", profiles, out_col="detected").select("doc_id", "lang", "detected")
+    return detect_language(c, "cleaned", profiles, out_col="detected").select("doc_id", "lang", "detected")
 
 
 @register("language_detect_documents", sql=SQL_LANG)
