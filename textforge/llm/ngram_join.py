@@ -152,11 +152,13 @@ class Join(NamedTuple):
         return n + (-self.percent * n) // 100 + 1
 
     def prefixes(self, n: np.ndarray, m: np.ndarray, shingle: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(document index, shingle) of the shared shingles in the prefixes; unique ones come first in the order."""
+        """(document index, key of a shingle) of the shared shingles in the prefixes; unique ones come first in the order.
+
+        Prefixes have the lesser hashes; mixed once more, they spread evenly over the buckets."""
         q = np.minimum(self.prefix(n) - (n - m), m)
         first = np.cumsum(m) - m
         take = np.repeat(first - (np.cumsum(q) - q), q) + np.arange(q.sum())
-        return groups_of(q), shingle[take]
+        return groups_of(q), mix(shingle[take])
 
     def buckets(self, spark) -> DataFrame:
         """One row for each bucket of stored sets, dealt over tasks."""

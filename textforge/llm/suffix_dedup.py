@@ -131,7 +131,8 @@ def contexts(pieces, length: int, k: int) -> Contexts | None:
     lasts = np.append(begins[1:], len(p)) - 1
     place, first, own = p[begins], ok[begins], piece[ok[begins]]
     shift = np.array([at for _, at, _ in pieces]) - (ends - sizes)
-    return Contexts(data, sums, np.array([i for i, _, _ in pieces])[own], shift[own], first, place, ok[lasts] + length, h[place])
+    # anchors have the least hashes; mixed once more, they spread evenly over buckets and cells again
+    return Contexts(data, sums, np.array([i for i, _, _ in pieces])[own], shift[own], first, place, ok[lasts] + length, mix(h[place] ^ np.uint64(MULT)))
 
 
 # ---------------------------------------------------------------- sorted runs
