@@ -18,6 +18,7 @@ DEFAULT_ENTITY_TYPES = ("PERSON", "ORG", "GPE", "LOC", "DATE", "TIME", "MONEY",
 
 @dataclass(frozen=True)
 class CleaningConfig:
+    # Setting names and their defaults.
     remove_html_tags: bool = True
     normalize_whitespace: bool = True
     fix_encoding: bool = True
@@ -50,6 +51,7 @@ class CleaningConfig:
         names = {f.name for f in fields(self)}
         upd: dict[str, Any] = {}
         nested = override.get("typo_correction") or {}
+        # Names inside the nested block.
         nested_map = {
             "min_word_length": "typo_min_length",
             "max_word_length": "typo_max_length",
