@@ -123,7 +123,23 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(table(spark, sf_dir, "documents"), window=50).drop("spans")
 
 
-@register("op6_suffix_dedup")
+# Two hexadecimal digits stand for a byte; s counts bytes from 0.
+OP6_SQL = """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h, octet_length(encode(coalesce(text, ''))) as n from documents),
+w as (select doc_id, s, md5(h[2 * s + 1 : 2 * s + 200]) as g from (select doc_id, h, unnest(range(0, n - 99)) as s from d where n >= 100)),
+gone as (select doc_id, s from (select *, row_number() over (partition by g order by doc_id, s) as r from w) where r > 1),
+runs as (select doc_id, s, sum(fresh) over (partition by doc_id order by s) as run from (
+  select doc_id, s, case when s <= lag(s) over (partition by doc_id order by s) + 100 then 0 else 1 end as fresh from gone)),
+spans as (select doc_id, min(s) as b, max(s) + 100 as e from runs group by doc_id, run),
+between_ as (select doc_id, b, e, coalesce(lag(e) over (partition by doc_id order by b), 0) as before from spans),
+kept as (select d.doc_id, any_value(n) as n, sum(e - b) as removed, count(*) as spans, string_agg(h[2 * before + 1 : 2 * b], '' order by b) as parts, max(e) as last
+  from between_ join d using (doc_id) group by d.doc_id)
+select d.doc_id, d.n as n_bytes, cast(coalesce(removed, 0) as bigint) as n_removed, coalesce(spans, 0) as n_spans,
+  sha256(unhex(case when removed is null then d.h else concat(parts, d.h[2 * last + 1 :]) end)) as kept_sha256
+from d left join kept using (doc_id)"""
+
+
+@register("op6_suffix_dedup", OP6_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textforge.llm.suffix_dedup import dedup
 
