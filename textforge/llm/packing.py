@@ -113,7 +113,7 @@ def word_cache(vocabulary: str, most_words: int) -> WordCache:
 
 
 def token_pieces(docs: DataFrame, seq_len: int, vocabulary: str, end_id: int = 0, with_ids: bool = False,
-                 cache_words: int = 1_000_000) -> DataFrame:
+                 cache_words: int = 700_000) -> DataFrame:
     """Pieces of at most ``seq_len`` tokens; only documents that are longer are cut. ``with_ids`` adds the ids."""
 
     def run(batches):
