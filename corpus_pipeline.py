@@ -18,9 +18,9 @@ from textforge.session import ensure_conf, materialize
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str, least: float = 0.5) -> DataFrame:
-    """Keeps documents with a language (operator 4), which becomes their ``lang``; those without a letter, or whose best
-    language has a mean probability under ``least``, go."""
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str, least: float = 0.0) -> DataFrame:
+    """Keeps documents with a language (operator 4), which becomes their ``lang``; those without a letter go. A document that
+    switches between languages has a low score for each and stays; ``least`` would reject by score."""
     from textforge.llm.language_crf import identify
 
     found = identify(docs, keep=["text", "source", "n_chars"]).filter((F.col("lang_pred") != "und") & (F.col("score") >= least))
