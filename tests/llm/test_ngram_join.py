@@ -76,6 +76,27 @@ def test_against_brute_force(spark, seed, size, percent):
     assert run(spark, rows, size, percent, bucket_bytes=3000) == expected(rows, size, percent)
 
 
+def test_links_whose_leader_has_an_unfit_size(spark):
+    """All shared prefix shingles of the near copies 1 and 2 are led by 3, which is twice as long; its rest is more frequent."""
+    text, other = [f"a{i}" for i in range(400)], [f"b{i}" for i in range(400)]
+    change = lambda at: " ".join(text[:at] + [f"new{at}"] + text[at + 1 :])
+    rows = [(1, change(100)), (2, change(300)), (3, " ".join(text + other))]
+    rows += [(d, " ".join(other + [f"end{d}"])) for d in (4, 5, 6)]
+    assert run(spark, rows) == expected(rows, 5, 80) == [(1, 396, 1), (2, 396, 1), (3, 796, 3), (4, 397, 4), (5, 397, 4), (6, 397, 4)]
+
+
+def test_leaders_of_many_sizes_against_brute_force(spark):
+    """Parts of few texts, of all sizes: pairs with one, two or no overlap counted with the leader."""
+    rng = np.random.default_rng(11)
+    bases = [[f"{b}-{i}" for i in range(300)] for b in range(4)]
+    rows = [(i, " ".join(b)) for i, b in enumerate(bases)]
+    for d in range(10, 170):
+        b = bases[rng.integers(0, 4)]
+        w = b[(at := int(rng.integers(0, 60))) : at + int(rng.integers(60, 240))]
+        rows.append((d, edited(rng, w, rng.integers(0, 4))))
+    assert run(spark, rows, bucket_bytes=3000) == expected(rows, 5, 80)
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None)], [(2, "a b c d e f"), (1, "a b c d e f")]])
 def test_few_rows(spark, rows):
     assert run(spark, rows) == expected(rows, 5, 80)

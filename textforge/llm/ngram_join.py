@@ -392,6 +392,9 @@ def leader_pairs(spark, join: Join) -> tuple[Join, DataFrame]:
     return join, join.buckets(spark).mapInArrow(pairs, "x long, y long")
 
 
+UNKNOWN = -1
+
+
 class Bounds:
     """Step 4: what the known overlaps with a prefix shingle's leader say about a document's overlap with others."""
 
@@ -407,24 +410,23 @@ class Bounds:
 
     def of(self, docs, n, m, shingle):
         """Of all prefix shingles with several documents: document index, shingle, inside (in the leader's component), need and
-        reach, then the overlap with the leader, the shared shingles outside it, and the bitmap of what is lacking of it.
-        A pair can only link if need of the one is at most reach of the other, both ways."""
+        reach, then the overlap with the leader (UNKNOWN: not counted, the whole shared part is given as outside), the shared
+        shingles outside it, and the bitmap of what is lacking of it. A pair can only link if need of the one is at most reach of the other, both ways."""
         t = self.join.percent
         who, h = self.join.prefixes(n, m, shingle)
         at = self.posts.find(h)
         ok = at["found"]
         who, h, lead = who[ok], h[ok], at["lead"][ok]
         hit = self.known.find(pair_key(docs[who], lead), lead, "known_y")
-        # without a counted overlap (sizes too different) nothing is known but the shared part itself
+        # without a counted overlap (sizes too different) nothing is known but the shared part itself: it bounds either
         none = ~hit["found"] & (lead != docs[who])
-        overlap = np.where(lead == docs[who], m[who], hit["known_overlap"])
-        outside = m[who] - overlap
-        need = np.where(none, np.iinfo(np.int64).min // 4, t * n[who] - (100 + t) * outside)
-        reach = np.where(none, np.iinfo(np.int64).max // 4, (100 + t) * overlap - t * n[who])
+        overlap = np.where(none | (lead == docs[who]), m[who], hit["known_overlap"])
+        outside = np.where(none, m[who], m[who] - overlap)
+        need = t * n[who] - (100 + t) * outside
+        reach = (100 + t) * overlap - t * n[who]
         inside = self.component(docs)[who] == self.component(lead)
-        huge = np.iinfo(np.int64).max // 4
         lacks = [hit[f"known_{w}"] for w in WORDS]
-        return who, h, inside, need, reach, np.where(none, huge, overlap), np.where(none, huge, outside), *lacks
+        return who, h, inside, need, reach, np.where(none, UNKNOWN, overlap), outside, *lacks
 
 
 def bounded_pairs(spark, join: Join) -> tuple[Join, DataFrame]:
@@ -488,6 +490,8 @@ def bounded_pairs(spark, join: Join) -> tuple[Join, DataFrame]:
         lacks = np.stack(lacks, axis=1).view(np.uint64)
         lacking = np.bitwise_count(lacks).sum(axis=1).astype(np.int64)
         t = join.percent
+        unknown = overlap == UNKNOWN
+        shared = np.where(unknown, outside_lead, overlap + outside_lead)
         edges = np.append(np.flatnonzero(np.append(True, h[1:] != h[:-1])), len(h))
         xs, ys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for s, e in zip(edges, edges[1:]):
@@ -499,6 +503,8 @@ def bounded_pairs(spark, join: Join) -> tuple[Join, DataFrame]:
                 either = np.bitwise_count(lacks[at] | lacks[i]).sum(axis=1).astype(np.int64)
                 within = np.minimum(overlap[at] - (either - lacking[at]), overlap[i] - (either - lacking[i]))
                 most = within + np.minimum(outside_lead[at], outside_lead[i])
+                # a bitmap that was never counted says nothing: only the shared parts bound such a pair
+                most = np.where(unknown[at] | unknown[i], np.minimum(shared[at], shared[i]), most)
                 y = doc[at[(100 + t) * most >= t * (n[at] + n[i])]]
                 xs.append(np.minimum(y, doc[i]))
                 ys.append(np.maximum(y, doc[i]))
