@@ -2,7 +2,7 @@ import re
 
 import pytest
 
-from textforge.llm.license_scan import BASE, scan
+from textforge.llm.license_scan import BASE, NOTICES, scan
 
 SCHEMA = "doc_id long, text string, label string, pos int, h long"
 
@@ -44,6 +44,23 @@ def test_neighbouring_diagonals_merge(spark):
     assert r.labels == "bsd-text" and 0.8 <= r.score < 1 and r.spans[0].start == 0
 
 
+def test_notices_with_one_edit_are_found(spark):
+    """Every word of every notice changed, left out, or preceded by another one."""
+    rows, want = [], []
+    for phrase, label in NOTICES.items():
+        w = phrase.split()
+        for i in range(len(w)):
+            for new in (w[:i] + ["Other"] + w[i + 1 :], w[:i] + w[i + 1 :], w[:i] + ["other"] + w[i:]):
+                if label == "mit-notice" and "mit" not in new:  # another licence
+                    continue
+                rows.append((len(rows), " ".join(["before", *new, "and", "after"])))
+                want.append((label, 1.0 if len(new) > len(w) and i == 0 else (len(w) - 1) / len(w)))
+    for r in scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert (want[r.doc_id][0], want[r.doc_id][1]) in [(s.label, s.score) for s in r.spans], rows[r.doc_id]
+    got = scan(spark.createDataFrame([(1, TEXTS[8]), (2, "licensed under a mit style license and the mit license"), (3, "Licensed under the BSD license")], "doc_id long, text string"))
+    assert {r.doc_id: r.labels for r in got.collect()} == {1: "apache-notice", 2: "", 3: ""}
+
+
 @pytest.mark.parametrize("rows", [[], [(None, "cc by"), (3, "a cc by"), (3, "cc by b")]])
 def test_empty_null_and_repeated_ids(spark, rows):
     got = {r.doc_id: (r.n_words, r.n_base) for r in scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
