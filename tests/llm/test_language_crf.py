@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 import pytest
 
-from textforge.llm.language_crf import identify, marginals, predict, ragged_marginals, train
+from textforge.llm.language_crf import identify, letter_words, marginals, predict, ragged_marginals, train
 
 SCHEMA = "doc_id long, text string, lang string, score string, held_out int"
 
@@ -62,3 +62,13 @@ def test_switch_of_language_within_a_text(spark):
     spans = predict(mixed, model, with_spans=True).collect()[0].spans
     assert spans[0].lang == "es" and spans[-1].lang == "de" and len(spans) <= 8
     assert sum(s.words for s in spans) == spans[-1]["first"] + spans[-1].words
+
+
+def test_text_without_separators_is_read_to_its_end(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = train(docs.select("doc_id", "text", "lang"), sample_rows=80)
+    glued = {r.lang: "".join(letter_words(r.text.encode()))[:2000] for r in docs.filter("n_chars > 3000").collect()}
+    rows = [(1, glued["es"][:40] + glued["de"]), (2, glued["de"][:40] + glued["es"])]
+    got = predict(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()
+    assert {r.doc_id: r.lang_pred for r in got} == {1: "de", 2: "es"}
+    assert "".join(letter_words(rows[0][1].encode())) == rows[0][1] and max(map(len, letter_words(rows[0][1].encode()))) == 40

@@ -1,6 +1,7 @@
 """Language identification by a linear-chain conditional random field over words.
 
-Every word (a run of letters, lower-cased) has a label, its language; the chain's transitions let a text switch between
+Every word (a run of letters, lower-cased; a run of over 40 letters, as in text without separators, is cut into words of 40
+that together cover it) has a label, its language; the chain's transitions let a text switch between
 languages. Features of a word: prefixes and suffixes of one to three letters, its letter trigrams with word ends, and the
 languages in which the lexicon knows it. Forward-backward gives each word's label probabilities; a document's language is
 the label with the largest mean probability, and that mean is its score.
@@ -35,7 +36,7 @@ from textforge.llm.common import PACKED, id_text, kept_slices, packed_batch, tex
 
 by_value(__name__)
 
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS = re.compile(r"[^\W\d_]{1,40}")
 BLOCK = 1 << 14
 
 
@@ -48,7 +49,7 @@ def features(word: str, bits: int) -> list[int]:
     size, crc = (1 << bits) - 1, zlib.crc32
     w = word.encode()
     out = [crc(word[:i].encode(), 11) & size for i in (1, 2, 3)] + [crc(word[-i:].encode(), 29) & size for i in (1, 2, 3)]
-    t = "^" + word + "$" if len(word) < 40 else "^" + word[:40] + "$"
+    t = "^" + word + "$"
     return out + [crc(t[i : i + 3].encode(), 47) & size for i in range(len(t) - 2)] + [crc(w, 83) & size]
 
 
