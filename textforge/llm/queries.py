@@ -163,3 +163,33 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textforge.llm.ngram_join import join_documents
 
     return join_documents(table(spark, sf_dir, "documents"), size=5, percent=80).drop("class_id")
+
+
+# Filters fail or not once per document; each order applies the letters from left to right.
+OP13_SQL = r"""
+with recursive o as (select '' as p union all select p || x from o, (values ('A'), ('B'), ('C'), ('D'), ('E')) v(x) where not contains(p, x)),
+step as (select p as filter_order, cast(s as integer) as step, p[s] as f, p[1 : s - 1] as before from o, range(1, 6) r(s) where len(p) = 5),
+d as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as t from documents),
+w as (select *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as w, min(doc_id) over (partition by t) as first from d),
+l as (select doc_id, max(coalesce(quality = 1, false)) as good, max(coalesce(toxic = 1, false)) as toxic from labels group by 1),
+m as (select part, coalesce(good, false) as good, coalesce(toxic, false) as toxic, concat(case when len(w) < 50 then 'A' else '' end,
+    case when 100 * len(list_distinct(w)) < 65 * len(w) then 'B' else '' end,
+    case when 100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * len(t) then 'C' else '' end,
+    case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end, case when doc_id > first then 'E' else '' end) as fails
+  from w left join l using (doc_id)),
+cell as (select part, fails, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic from m group by 1, 2),
+x as (select *, contains(fails, f) as bad, len(translate(before, fails, '')) < len(before) as gone from cell, step),
+r as (select part, filter_order, step, f, sum(case when not bad and not gone then n else 0 end) as kept, sum(case when bad and not gone then n else 0 end) as removed,
+    sum(case when bad and gone then n else 0 end) as redundant, sum(case when fails = f then n else 0 end) as unique_fails,
+    sum(case when bad and not gone then good else 0 end) as good_lost, sum(case when bad and not gone then toxic else 0 end) as toxic_lost
+  from x group by 1, 2, 3, 4)
+select part, filter_order, step, cast(kept as bigint) as kept, cast(removed as bigint) as removed, cast(redundant as bigint) as redundant,
+  cast(unique_fails as bigint) as unique_fails, cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost,
+  cast(sum(removed) over (partition by part, f) as bigint) as shapley from r"""
+
+
+@register("op13_filter_audit", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textforge.llm.filter_audit import audit
+
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
