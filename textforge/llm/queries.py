@@ -193,3 +193,14 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textforge.llm.filter_audit import audit
 
     return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP12_SQL = OP1_SQL.replace("least(5, len(w))", "least(3, len(w))").replace(">= 80 *", ">= 85 *").replace(
+    "coalesce(c.b, d.doc_id) as component_id", "coalesce(c.b, d.doc_id) as component_id, coalesce(c.b, d.doc_id) = d.doc_id as kept")
+
+
+@register("op12_minhash_dedup", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textforge.llm.tensor_minhash import near_dedup
+
+    return near_dedup(table(spark, sf_dir, "documents"), size=3, percent=85).drop("class_id")
