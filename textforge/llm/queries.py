@@ -204,3 +204,10 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textforge.llm.tensor_minhash import near_dedup
 
     return near_dedup(table(spark, sf_dir, "documents"), size=3, percent=85).drop("class_id")
+
+
+@register("op11_embedding_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textforge.llm.whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"), components=32)
