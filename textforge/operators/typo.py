@@ -79,17 +79,6 @@ def deletes_upto2(word: Column) -> Column:
                                      F.when(n >= 2, two).otherwise(F.array())))
 
 
-def build_dictionary(docs: DataFrame, text_col: str = "text", min_rate: float = 2e-4) -> DataFrame:
-    """(word, freq): lower-case ASCII words that make up at least ``min_rate`` of all words.
-
-    A rate, not a count: at any corpus size a word is known because it is common, not because the corpus is large."""
-    w = docs.select(F.explode(F.split(F.lower(F.col(text_col)), r"[^a-zA-Z]+")).alias("word"))
-    counts = w.filter(F.length("word") > 0).groupBy("word").agg(F.count("*").alias("freq"))
-    total = counts.agg(F.sum("freq").alias("total"))
-    # one row on the other side
-    return counts.join(F.broadcast(total), F.col("freq") >= min_rate * F.col("total")).select("word", "freq")
-
-
 # Deletion keys this short are shared by very many words: they are dealt over salts.
 SHORT_KEY, SALTS = 1, 16
 
@@ -173,9 +162,15 @@ def _capitalize_like(tok: Column, correction: Column) -> Column:
 
 
 def correct_typos(df: DataFrame, id_col: str, text_col: str, dictionary: DataFrame,
-                  cfg: CleaningConfig, entity_words_col: str | None = None, out_col: str | None = None) -> DataFrame:
+                  cfg: CleaningConfig, entity_words_col: str | None = None, out_col: str | None = None,
+                  lang_col: str | None = None) -> DataFrame:
     """Replace ``text_col`` (or write ``out_col``) with the typo-corrected text.
 
+    ``dictionary`` is a word table (word, freq): unknown words get their best
+    candidate. Or it is a learned one with a column ``correction``
+    (``noisy_channel``): only the words it names are replaced, in texts of
+    their language if ``lang_col`` is given; no candidates are searched here.
+
     ``df`` must be unique on ``id_col``. Per document only the *distinct*
     eligible lower-case words are exploded and joined with the correction map;
     the matches come back as a small word -> correction map per document and
@@ -187,10 +182,15 @@ def correct_typos(df: DataFrame, id_col: str, text_col: str, dictionary: DataFra
     ew = F.col(entity_words_col) if entity_words_col else None
     toks = tokens_of(F.col(text_col))
     words = F.array_distinct(F.transform(F.filter(toks, lambda t: eligible(t, cfg, ew)), lambda t: F.lower(t)))
-    per_doc_words = df.select(F.col(id_col).alias("_id"), F.explode(words).alias("word"))
-    unknown = per_doc_words.select("word").distinct().join(dictionary.select("word"), "word", "left_anti")
-    cmap = correction_map(unknown, dictionary, cfg)
-    fixes = per_doc_words.join(cmap, "word")
+    by = ["lang", "word"] if lang_col else ["word"]
+    langs = [F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang")] if lang_col else []
+    per_doc_words = df.select(F.col(id_col).alias("_id"), *langs, F.explode(words).alias("word"))
+    if "correction" in dictionary.columns:
+        cmap = dictionary.filter(F.col("correction").isNotNull() & (F.abs(F.length("correction") - F.length("word")) <= F.lit(cfg.typo_max_len_diff))).select(*by, "correction")
+    else:
+        unknown = per_doc_words.select("word").distinct().join(dictionary.select("word"), "word", "left_anti")
+        cmap = correction_map(unknown, dictionary, cfg)
+    fixes = per_doc_words.join(cmap, by)
     per_doc = fixes.groupBy("_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "correction"))).alias("_fixes"))
     joined = df.join(per_doc, df[id_col] == per_doc["_id"], "left").drop("_id")
     fx = F.col("_fixes")
