@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 import pytest
 
-from textforge.llm.language_crf import identify, letter_words, marginals, predict, ragged_marginals, train
+from textforge.llm.language_crf import LETTERS, Emissions, exponentials, identify, letter_words, marginals, predict, ragged_marginals, train
 
 SCHEMA = "doc_id long, text string, lang string, score string, held_out int"
 
@@ -25,7 +25,7 @@ def test_forward_backward_against_all_paths():
     trans, start = rng.normal(size=(3, 3)), rng.normal(size=3)
     lengths = np.array([4, 1, 6, 2, 6, 3])
     emit = rng.normal(size=(lengths.sum(), 3)) * 2
-    mean, each = ragged_marginals(emit, lengths, trans, start, True)
+    mean, each = ragged_marginals(exponentials(emit), np.arange(len(emit)), lengths, trans, start, True)
     at = 0
     for i, n in enumerate(lengths):
         p = by_paths(emit[at : at + n], trans, start)
@@ -34,6 +34,32 @@ def test_forward_backward_against_all_paths():
         at += n
 
 
+def test_long_chains_keep_their_scale():
+    """Factors are scaled every few steps only; sharp scores over 400 words give what scaling at each step gives."""
+    rng = np.random.default_rng(2)
+    trans, start = rng.normal(size=(4, 4)) * 3, rng.normal(size=4)
+    emit = rng.normal(size=(800, 4)) * 25
+    lengths = np.array([400, 3, 397])
+    _, each = ragged_marginals(exponentials(emit), np.arange(800), lengths, trans, start, True)
+    for at, n in ((0, 400), (400, 3), (403, 397)):
+        assert np.allclose(each[at : at + n], marginals(emit[None, at : at + n], trans, start)[0][0])
+
+
+def test_generations_of_words_change_nothing():
+    rng = np.random.default_rng(3)
+    model = {"labels": ["a", "b"], "bits": 10, "lexicon_bits": 8, "weights": rng.normal(size=(1 << 10, 2)).astype(np.float32), "lexicon": rng.normal(size=(1 << 8, 2)).astype(np.float32)}
+    whole, small = Emissions(model), Emissions(model)
+    for _ in range(8):
+        words = [f"w{n}" if n % 3 else f"é{n}" for n in rng.zipf(1.3, 300) % 1000]
+        assert (whole.rows[whole.numbers(words)] == small.rows[small.numbers(words)]).all()
+        small.next_generation()
+
+
+@pytest.mark.parametrize("text", ["Plain Words, 12 and_more x" + "y" * 95, "tab\tand\x00nul é Größe" + "ü" * 90, "", " \n1", "I'm a-b"])
+def test_words_of_ascii_and_other_texts(text):
+    assert letter_words(text.encode()) == LETTERS.findall(text.lower())
+
+
 def test_held_out_accuracy_and_cases(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     extra = [(10_001, None, "en", "x", 1), (10_002, "", "de", "x", 1), (10_003, "123 !? _ 45", "fr", "x", 1), (None, "the", "en", "x", 1), (10_004, "the of and", None, "x", 1), (10_004, "die und der", None, "x", 1)]

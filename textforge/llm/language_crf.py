@@ -40,14 +40,27 @@ LETTERS = re.compile(r"[^\W\d_]{1,40}")
 BLOCK = 1 << 14
 
 
+ASCII_LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 else 32 for c in range(256))  # small letters; all else a space
+
+
 def letter_words(text: bytes | None) -> list[str]:
-    return LETTERS.findall(text.decode("utf-8", "replace").lower()) if text else []
+    if not text:
+        return []
+    if text.isascii():
+        words = text.translate(ASCII_LETTERS).decode("ascii").split()
+        if not words or max(map(len, words)) <= 40:
+            return words
+    return LETTERS.findall(text.decode("utf-8", "replace").lower())
 
 
 def features(word: str, bits: int) -> list[int]:
     """Hashed affixes and n-grams of a word."""
     size, crc = (1 << bits) - 1, zlib.crc32
     w = word.encode()
+    if len(w) == len(word):  # a letter is a byte
+        t = b"^" + w + b"$"
+        return [crc(w[:1], 11) & size, crc(w[:2], 11) & size, crc(w[:3], 11) & size, crc(w[-1:], 29) & size, crc(w[-2:], 29) & size, crc(w[-3:], 29) & size,
+                *[crc(t[i : i + 3], 47) & size for i in range(len(t) - 2)], crc(w, 83) & size]
     out = [crc(word[:i].encode(), 11) & size for i in (1, 2, 3)] + [crc(word[-i:].encode(), 29) & size for i in (1, 2, 3)]
     t = "^" + word + "$"
     return out + [crc(t[i : i + 3].encode(), 47) & size for i in range(len(t) - 2)] + [crc(w, 83) & size]
@@ -83,32 +96,45 @@ def marginals(emit: np.ndarray, trans: np.ndarray, start: np.ndarray) -> tuple[n
     return out, pairs
 
 
-def ragged_marginals(emit: np.ndarray, lengths: np.ndarray, trans: np.ndarray, start: np.ndarray, keep: bool = False):
+def exponentials(emit: np.ndarray) -> np.ndarray:
+    """Label scores of words as the factors of the chain, the largest of a word being 1."""
+    emit = emit.astype(np.float64)
+    return np.exp(emit - emit.max(axis=1, keepdims=True))
+
+
+SCALE_EVERY = 4  # steps between which the factors cannot leave the range of a double
+
+
+def ragged_marginals(factors: np.ndarray, ids: np.ndarray, lengths: np.ndarray, trans: np.ndarray, start: np.ndarray, keep: bool = False):
     """Mean label probabilities of each sequence of a ragged batch (and, if ``keep``, those of every word).
 
-    ``emit`` has the words of the sequences one after another. Step t works on all sequences longer than t at once."""
+    ``ids`` are the rows in ``factors`` (``exponentials``) of the words of the sequences, one sequence after another. Step t works
+    on all sequences longer than t at once."""
     rank = np.argsort(-lengths, kind="stable")
     sizes = lengths[rank]
     steps = int(sizes[0])
     active = np.searchsorted(-sizes, -np.arange(1, steps + 1), side="right")  # sequences with more than t words
     first = np.cumsum(active) - active
-    place = np.empty(len(emit), np.int64)  # of each word in step order
     begin = (np.cumsum(lengths) - lengths)[rank]
     seq = np.repeat(np.arange(len(sizes)), sizes)
-    t = np.arange(len(emit)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    t = np.arange(len(ids)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    place = np.empty(len(ids), np.int64)  # of each word in step order
     place[np.repeat(begin, sizes) + t] = first[t] + seq
-    e = np.empty_like(emit)
-    e[place] = np.exp(emit - emit.max(axis=1, keepdims=True))
+    ordered = np.empty_like(ids)
+    ordered[place] = ids
+    e = factors[ordered]
     m, alpha = np.exp(trans), np.empty_like(e)
+    back = np.ascontiguousarray(m.T)
     now = e[: active[0]] * np.exp(start)
-    now /= now.sum(axis=1, keepdims=True)
     alpha[: active[0]] = now
+    active, first = active.tolist(), first.tolist()
     for i in range(1, steps):
         a, f = active[i], first[i]
         now = (now[:a] @ m) * e[f : f + a]
-        now /= now.sum(axis=1, keepdims=True)
+        if i % SCALE_EVERY == 0:
+            now /= now.sum(axis=1, keepdims=True)
         alpha[f : f + a] = now
-    total = np.zeros((len(sizes), emit.shape[1]))
+    total = np.zeros((len(sizes), e.shape[1]))
     beta = np.ones_like(total)
     for i in range(steps - 1, -1, -1):
         a, f = active[i], first[i]
@@ -118,34 +144,46 @@ def ragged_marginals(emit: np.ndarray, lengths: np.ndarray, trans: np.ndarray, s
         if keep:
             alpha[f : f + a] = p
         if i:
-            back = (e[f : f + a] * beta[:a]) @ m.T
-            beta[:a] = back / back.sum(axis=1, keepdims=True)
+            right = (e[f : f + a] * beta[:a]) @ back
+            if i % SCALE_EVERY == 0:
+                right /= right.sum(axis=1, keepdims=True)
+            beta[:a] = right
     mean = np.empty_like(total)
     mean[rank] = total / sizes[:, None]
     return (mean, alpha[place]) if keep else (mean, None)
 
 
 # ---------------------------------------------------------------- training
+class Slots(dict):
+    """Lexicon slots of the words seen."""
+
+    def __init__(self, bits: int):
+        super().__init__()
+        self.bits = bits
+
+    def __missing__(self, word: str) -> int:
+        self[word] = slot = lexicon_slot(word, self.bits)
+        return slot
+
+
 def lexicon(rows: DataFrame, labels: list[str], bits: int) -> np.ndarray:
     """Counts of hashed words by language, of all training rows."""
     number = {x: i for i, x in enumerate(labels)}
     size = 1 << bits
 
     def count(batches):
-        table = np.zeros((size, len(labels)), np.uint32)
-        seen: dict[str, int] = {}
+        table = np.zeros((len(labels), size), np.uint32)
+        seen = Slots(bits)
         for batch in batches:
-            langs = batch.column("lang").to_pylist()
-            for lang, (_, text) in zip(langs, text_rows([batch])):
-                slots = []
-                for w in letter_words(text):
-                    s = seen.get(w)
-                    if s is None:
-                        if len(seen) > 500_000:
-                            seen.clear()
-                        s = seen[w] = lexicon_slot(w, bits)
-                    slots.append(s)
-                table[:, number[lang]] += np.bincount(np.array(slots, np.int64), minlength=size).astype(np.uint32)
+            slots: list[list[int]] = [[] for _ in labels]
+            for lang, (_, text) in zip(batch.column("lang").to_pylist(), text_rows([batch])):
+                slots[number[lang]].extend(map(seen.__getitem__, letter_words(text)))
+                if len(seen) > 500_000:
+                    seen.clear()
+            for row, s in zip(table, slots):
+                if s:
+                    np.add(row, np.bincount(np.array(s, np.int64), minlength=size), out=row, casting="unsafe")
+        table = np.ascontiguousarray(table.T)
         if table.any():
             yield packed_batch([(b, table[b * BLOCK : (b + 1) * BLOCK].astype(kind := np.min_scalar_type(int(table[b * BLOCK : (b + 1) * BLOCK].max()))).tobytes() + bytes([kind.itemsize])) for b in range(size // BLOCK)])
 
@@ -253,34 +291,58 @@ def joined_batches(batches, most_bytes: int = 24_000_000):
         yield pa.concat_batches(held)
 
 
+class Numbers(dict):
+    """Numbers of words, in the order in which they come; words of the generation before are found in it."""
+
+    def __init__(self, before: dict[str, int]):
+        super().__init__()
+        self.before, self.new, self.known = before, [], []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        old = self.before.get(word)
+        if old is None:
+            self.new.append((number, word))
+        else:
+            self.known.append((number, old))
+        return number
+
+
 class Emissions:
-    """Label scores of words, kept for the words seen; starts anew when full."""
+    """The factors of words, kept for the words seen. When ``most`` are held a new generation begins, which takes over the words
+    that it meets again; so rare words go and frequent ones are never computed twice."""
 
     def __init__(self, model: dict, most: int = 400_000):
         self.model, self.most = model, most
-        self.clear()
+        self.seen = Numbers({})
+        self.rows = self.old_rows = np.zeros((1 << 12, len(model["labels"])))
 
-    def clear(self) -> None:
-        self.seen: dict[str, int] = {}
-        self.rows = np.zeros((1 << 12, len(self.model["labels"])), np.float32)
+    def next_generation(self) -> None:
+        self.seen, self.old_rows = Numbers(dict(self.seen)), self.rows
+        self.rows = np.zeros((1 << 12, self.rows.shape[1]))
 
     def numbers(self, words: list[str]) -> np.ndarray:
         seen = self.seen
-        before = len(seen)
-        at = [seen.setdefault(w, len(seen)) for w in words]
-        if len(seen) > before:
-            self.learn([w for _, w in zip(range(len(seen) - before), reversed(seen))][::-1], before)
-        return np.array(at, np.int64)
-
-    def learn(self, words: list[str], at: int) -> None:
+        at = np.fromiter(map(seen.__getitem__, words), np.int64, len(words))
+        if seen.new or seen.known:
+            while len(self.rows) < len(seen):
+                self.rows = np.resize(self.rows, (2 * len(self.rows), self.rows.shape[1]))
+            if seen.known:
+                to, old = zip(*seen.known)
+                self.rows[list(to)] = self.old_rows[list(old)]
+            if seen.new:
+                to, new = zip(*seen.new)
+                self.rows[list(to)] = self.factors(new)
+            seen.new, seen.known = [], []
+        return at
+
+    def factors(self, words: list[str]) -> np.ndarray:
         m = self.model
         found = [features(w, m["bits"]) for w in words]
         width = np.fromiter(map(len, found), np.int64, len(found))
         flat = np.fromiter((x for f in found for x in f), np.int64, int(width.sum()))
-        while len(self.rows) < at + len(words):
-            self.rows = np.resize(self.rows, (2 * len(self.rows), self.rows.shape[1]))
         slots = np.fromiter((lexicon_slot(w, m["lexicon_bits"]) for w in words), np.int64, len(words))
-        self.rows[at : at + len(words)] = np.add.reduceat(m["weights"][flat], np.cumsum(width) - width) + m["lexicon"][slots]
+        return exponentials(np.add.reduceat(m["weights"][flat], np.cumsum(width) - width) + m["lexicon"][slots])
 
 
 def predict(docs: DataFrame, model: dict, with_spans: bool = False, keep: list[str] | None = None) -> DataFrame:
@@ -301,7 +363,7 @@ def predict(docs: DataFrame, model: dict, with_spans: bool = False, keep: list[s
             if full and labels:
                 m = table.model
                 lengths = np.array([len(parts[i]) for i in full], np.int64)
-                mean, each = ragged_marginals(table.rows[np.concatenate([parts[i] for i in full])].astype(np.float64), lengths, m["trans"], m["start"], with_spans)
+                mean, each = ragged_marginals(table.rows, np.concatenate([parts[i] for i in full]), lengths, m["trans"], m["start"], with_spans)
                 best = mean.argmax(axis=1)
                 at = 0
                 for i, n, b, row in zip(full, lengths.tolist(), best.tolist(), mean):
@@ -336,7 +398,7 @@ def predict(docs: DataFrame, model: dict, with_spans: bool = False, keep: list[s
                     flush(long)
                 if table and len(table.seen) > table.most:
                     flush(False, True)
-                    table.clear()
+                    table.next_generation()
             flush(False, True)
             cols = list(zip(*out))[: 3 if with_spans else 2] or [(), (), ()][: 3 if with_spans else 2]
             more, more_names = kept_slices(batch, 0, batch.num_rows)
