@@ -1,16 +1,15 @@
 """Entity tagging with character offsets.
 
-(a) Gazetteer: every token looks up phrases by their first two words (or the only one) in a ``(phrase, type)`` table
-    (broadcast when its size estimate is under the cap, shuffle join otherwise); longer phrases are compared on the few
-    hits. Only the matches are grouped back per document.
+(a) Gazetteer: an automaton over words finds all phrases of a ``(phrase, type)`` table in one pass of the text
+    (``phrases``).
 (b) Rules: DATE / TIME / MONEY / PERCENT regexes, matched in-row.
+(c) Model: a trained sequence tagger (``tagger``), if one is given.
 
-Gazetteer tokens are the words between white space, with leading/trailing punctuation stripped; a hit's offset is summed
-from the word lengths. Rule offsets come from ``regexp_extract_all`` + ``split`` on the same pattern, folded in one
-``aggregate`` pass. Offsets are code points, end exclusive. Overlaps: candidates are ordered by (start, longer first,
+Gazetteer tokens are the words between white space, with leading/trailing punctuation stripped. Rule offsets come from
+``regexp_extract_all`` + ``split`` on the same pattern, folded in one ``aggregate`` pass. Offsets are code points, end exclusive. Overlaps: candidates are ordered by (start, longer first,
 type); a candidate is dropped when a kept one reaches past its start (one ``aggregate``).
 
-Lambdas only capture arrays that are columns already: Catalyst would re-evaluate a captured expression per element.
+Rules, phrases and model give candidates alike; the overlap rule decides between them.
 """
 
 from __future__ import annotations
@@ -19,8 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textforge.config import DEFAULT_ENTITY_TYPES
-from textforge.functions.patterns import WS
-from textforge.sources.sizing import broadcast_if_small
+from textforge.operators.phrases import with_phrases
+from textforge.operators.tagger import spans_udf
 
 # Leading/trailing characters stripped from a word to get its token.
 EDGE_PUNCT = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
@@ -94,38 +93,6 @@ def gazetteer_table(pairs: list[tuple[DataFrame, str, str]]) -> DataFrame:
             .withColumn("n_tokens", F.size(F.split("key", " "))).dropDuplicates(["key", "type"]))
 
 
-def gazetteer_matches(docs: DataFrame, id_col: str, text_col: str, gazetteer: DataFrame, max_tokens: int) -> DataFrame:
-    """(id, k, last, type): words k to last (1-based, between white space; edge punctuation stripped) equal a phrase."""
-    words = F.transform(F.split(F.col(text_col), WS), lambda w, i: F.struct(F.regexp_replace(w, EDGE_PUNCT, "").alias("t"), (i + 1).alias("k"), w.alias("w")))
-    d = docs.select(F.col(id_col).alias("_id"), F.filter(words, lambda x: x["w"] != "").alias("_t"))
-    # one row for each token and head; the words of the longest phrase travel with it, not a row for each length
-    ahead = F.transform("_t", lambda x, i: F.struct(x["t"].alias("t"), x["k"].alias("k"), F.slice("_t", i + 1, max_tokens).alias("ahead")))
-    d = d.select("_id", F.explode(ahead).alias("x")).filter(F.col("x.t") != "")
-    two = F.concat_ws(" ", F.col("x.t"), F.get("x.ahead", F.lit(1))["t"])
-    d = d.select("_id", "x", F.explode(F.array(F.col("x.t"), F.when(F.size("x.ahead") > 1, two))).alias("head")).filter("head is not null")
-    parts = F.split("key", " ")
-    gz = broadcast_if_small(gazetteer.select("key", "type", F.size(parts).alias("n"), F.array_join(F.slice(parts, 1, 2), " ").alias("head")))
-    hit = d.join(gz, "head").filter((F.col("n") <= 2) | (F.array_join(F.transform(F.slice("x.ahead", 1, F.col("n")), lambda a: a["t"]), " ") == F.col("key")))
-    return hit.select("_id", F.col("x.k").alias("k"), F.get("x.ahead", F.col("n") - 1)["k"].alias("last"), "type")
-
-
-def gazetteer_spans(words: Column, hits: Column) -> Column:
-    """hits: array<struct<k,last,type>> -> entity structs; ``words``: the text split at each white space, a column."""
-    def start(k: Column) -> Column:
-        return F.aggregate(F.slice(words, 1, k - 1), F.lit(0), lambda a, w: a + F.length(w)) + k - 1
-
-    def lead(w: Column) -> Column:
-        return F.length(w) - F.length(F.regexp_replace(w, LEAD_PUNCT, ""))
-
-    def span(h):
-        first, last = F.get(words, h["k"] - 1), F.get(words, h["last"] - 1)
-        end = start(h["last"]) + lead(last) + F.length(F.regexp_replace(last, EDGE_PUNCT, ""))
-        return F.struct(F.lit(None).cast("string").alias("text"), h["type"].alias("type"),
-                        (start(h["k"]) + lead(first)).cast("int").alias("start_char"), end.cast("int").alias("end_char"))
-
-    return F.transform(hits, span)
-
-
 def resolve_overlaps(cands: Column) -> Column:
     """Order by (start, longer first, type); drop a candidate reached by an earlier one that is kept."""
     srt = F.array_sort(cands, lambda a, b: F.when(a["start_char"] != b["start_char"],
@@ -140,20 +107,17 @@ def resolve_overlaps(cands: Column) -> Column:
 
 
 def tag_entities(docs: DataFrame, id_col: str, text_col: str, gazetteer: DataFrame | None,
-                 types: tuple[str, ...] | None = DEFAULT_ENTITY_TYPES, out_col: str = "entities",
-                 max_tokens: int | None = None) -> DataFrame:
-    """Adds ``out_col``: array of entity structs on ``text_col``."""
-    rules = rule_entities(F.col(text_col))
+                 types: tuple[str, ...] | None = DEFAULT_ENTITY_TYPES, out_col: str = "entities", model: dict | None = None) -> DataFrame:
+    """Adds ``out_col``: array of entity structs on ``text_col`` (E1, E2): rules, phrases of the gazetteer, and what a trained
+    ``model`` (``tagger.train``) finds."""
+    cands = rule_entities(F.col(text_col))
+    untexted = lambda h: F.struct(F.lit(None).cast("string").alias("text"), h["type"].alias("type"), h["start_char"].alias("start_char"), h["end_char"].alias("end_char"))
     if gazetteer is not None:
-        if max_tokens is None:
-            max_tokens = int(gazetteer.agg(F.max("n_tokens")).first()[0] or 1)
-        hits = gazetteer_matches(docs, id_col, text_col, gazetteer, max_tokens)
-        per_doc = hits.groupBy("_id").agg(F.collect_list(F.struct("k", "last", "type")).alias("_hits"))
-        docs = docs.join(per_doc, docs[id_col] == per_doc["_id"], "left").drop("_id").withColumn("_words", F.split(F.col(text_col), WS))
-        gz = gazetteer_spans(F.col("_words"), F.coalesce(F.col("_hits"), F.array().cast("array<struct<k:int,last:int,type:string>>")))
-        cands = F.concat(rules, gz)
-    else:
-        cands = rules
+        docs = with_phrases(docs, id_col, text_col, gazetteer, "_hits")
+        cands = F.concat(cands, F.transform("_hits", untexted))
+    if model is not None:
+        docs = docs.withColumn("_found", spans_udf(docs.sparkSession, model)(F.col(text_col)))
+        cands = F.concat(cands, F.transform("_found", untexted))
     kept = resolve_overlaps(cands)
     with_text = F.transform(kept, lambda e: F.struct(
         F.substring(F.col(text_col), e["start_char"] + 1, e["end_char"] - e["start_char"]).alias("text"),
@@ -162,8 +126,7 @@ def tag_entities(docs: DataFrame, id_col: str, text_col: str, gazetteer: DataFra
     if types is not None:
         tl = F.array(*[F.lit(t) for t in types])
         with_text = F.filter(with_text, lambda e: F.array_contains(tl, e["type"]))
-    out = docs.withColumn(out_col, with_text)
-    return out.drop("_hits", "_words") if gazetteer is not None else out
+    return docs.withColumn(out_col, with_text).drop("_hits", "_found")
 
 
 def entity_words(entities: Column) -> Column:
