@@ -170,6 +170,17 @@ def sink_fan_out_documents(spark, sf_dir):
     return read("jsonl").union(read("default")).union(daily)
 
 
+@register("sink_user_documents", sql=f"SELECT split_part(document_id, '-', 1) AS prefix, document_id, length(cleaned_text) AS n_chars FROM ({PROCESSED})")
+def sink_user_documents(spark, sf_dir):
+    """K7: a sink that a user registers, beside a built-in one."""
+    path = scratch_path(spark, "sink-user")
+    short = lambda df: df.select("document_id", F.length("cleaned_text").cast("long").alias("n_chars"), F.split_part("document_id", F.lit("-"), F.lit(1)).alias("prefix"))
+    K.register_sink("lengths", lambda folder, **_: (lambda df: short(df).write.partitionBy("prefix").parquet(folder)))
+    done = K.fan_out(processed(spark, sf_dir), {"lengths": {"folder": f"{path}/lengths"}, "jsonl": {"path": f"{path}/jsonl"}}, ["lengths", "jsonl"])
+    assert done == ["lengths", "jsonl"]
+    return spark.read.schema("document_id string, n_chars long, prefix string").parquet(f"{path}/lengths").select("prefix", "document_id", "n_chars")
+
+
 # ---------------------------------------------------------------- files
 def _write_lines(spark, sf_dir, name):
     """The derived lines as several JSONL files, one for each ``doc_id % 4``, in doc_id order within each."""

@@ -1,17 +1,23 @@
 """K1-K8: sinks for processed articles and run reports.
 
-All writers are distributed Spark writes (no driver-side row loops). A keyed table is a set of hash buckets: an upsert
-reads and rewrites the buckets its batch touches, into a new folder, and then adds a numbered manifest that names the
-folder of every bucket. Manifests are written under another name and renamed, never changed; the highest number counts. So
-a job that stops anywhere leaves the table as it was, a reader sees one version, and repeating a batch changes nothing.
+All writers are distributed Spark writes (no driver-side row loops). A keyed table is a set of hash buckets by extendible hashing: a
+bucket is named by the leading bits of its keys' hashes and splits when its files pass ``max_bytes``. An upsert writes only
+the batch, as a delta of the buckets it touches; a reader merges a bucket's deltas by version. A bucket is written anew when its
+deltas pass a quarter of it or grow many. So a batch of a hundredth of the table writes a hundredth of it.
+
+A numbered manifest names the folders of every bucket. Manifests are written under another name, appear at once under their own,
+are never changed, and only one job can add a number; the highest counts. A job that stops anywhere leaves the table as it was, a
+reader sees one version, and repeating a batch changes nothing but ``updated_at``. Rows without a key are one key.
 """
 
 from __future__ import annotations
 
 import json
+import math
 import uuid
 from typing import Callable, Iterable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,6 +95,8 @@ def versions(spark: SparkSession, table_path: str) -> list[int]:
 
 
 def _add_manifest(spark: SparkSession, table_path: str, number: int, manifest: dict) -> None:
+    """Adds a version; fails if it is there. Where a rename would replace a file (local and mounted folders) a link is made, which
+    never does."""
     fs, p = _fs(spark, f"{table_path}/.{MANIFEST}{uuid.uuid4().hex}")
     out = fs.create(p, False)
     try:
@@ -96,22 +104,41 @@ def _add_manifest(spark: SparkSession, table_path: str, number: int, manifest: d
     finally:
         out.close()
     _, final = _fs(spark, f"{table_path}/{MANIFEST}{number:012d}.json")
-    if fs.exists(final) or not fs.rename(p, final):
+    if fs.getUri().getScheme() == "file":
+        local = lambda x: spark._jvm.java.io.File(x.toUri().getPath()).toPath()
+        try:
+            spark._jvm.java.nio.file.Files.createLink(local(final), local(p))
+            done = True
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" not in str(e.java_exception):
+                raise
+            done = False
+        fs.delete(p, False)
+    else:
+        done = not fs.exists(final) and fs.rename(p, final)
+    if not done:
         raise RuntimeError(f"version {number} of {table_path} was written by another job; repeat the batch")
 
 
 def _clean_up(spark: SparkSession, table_path: str) -> None:
-    """Removes versions and data folders that none of the last versions uses."""
+    """Removes versions, and bucket folders that none of the last versions uses."""
     numbers = versions(spark, table_path)
-    kept = numbers[-KEEP_VERSIONS:]
-    used = {path.split("/")[1] for n in kept for path in _read_manifest(spark, table_path, n)["paths"].values()}
-    for n in numbers[:-KEEP_VERSIONS]:
-        fs, p = _fs(spark, f"{table_path}/{MANIFEST}{n:012d}.json")
-        fs.delete(p, False)
+    used = {path for n in numbers[-KEEP_VERSIONS:] for paths in _read_manifest(spark, table_path, n)["paths"].values() for path in paths}
+    folders = {path.split("/")[1] for path in used}
+    gone = [f"{MANIFEST}{n:012d}.json" for n in numbers[:-KEEP_VERSIONS]]
     for name in _children(spark, f"{table_path}/data"):
-        if name not in used:
-            fs, p = _fs(spark, f"{table_path}/data/{name}")
-            fs.delete(p, True)
+        if name not in folders:
+            gone.append(f"data/{name}")
+        else:
+            gone += [f"data/{name}/{x}" for x in _children(spark, f"{table_path}/data/{name}") if "=" in x and f"data/{name}/{x}" not in used]
+    for x in gone:
+        fs, p = _fs(spark, f"{table_path}/{x}")
+        fs.delete(p, True)
+
+
+MAX_BUCKET_BYTES = 256 << 20
+MOST_DELTAS = 8
+META = ("_version", "_hash")
 
 
 def _read_paths(spark: SparkSession, table_path: str, paths: Iterable[str]) -> DataFrame | None:
@@ -119,43 +146,98 @@ def _read_paths(spark: SparkSession, table_path: str, paths: Iterable[str]) -> D
     return spark.read.option("mergeSchema", "true").parquet(*found) if found else None
 
 
+def _merged(rows: DataFrame, key: str) -> DataFrame:
+    """The latest version of each key, with the first one's ``created_at``. Found on small rows; the wide ones follow."""
+    last = rows.groupBy(F.col(key).alias("_key")).agg(F.max("_version").alias("_last"), F.min_by("created_at", "_version").alias("_created"))
+    found = rows.join(last, rows[key].eqNullSafe(last["_key"]) & (rows["_version"] == last["_last"]))
+    return found.withColumn("created_at", F.col("_created")).drop("_key", "_last", "_created")
+
+
 def read_table(spark: SparkSession, table_path: str) -> DataFrame | None:
     numbers = versions(spark, table_path)
-    return _read_paths(spark, table_path, _read_manifest(spark, table_path, numbers[-1])["paths"].values()) if numbers else None
+    if not numbers:
+        return None
+    manifest = _read_manifest(spark, table_path, numbers[-1])
+    whole = _read_paths(spark, table_path, [p[0] for p in manifest["paths"].values() if len(p) == 1])
+    several = _read_paths(spark, table_path, [x for p in manifest["paths"].values() if len(p) > 1 for x in p])
+    parts = ([whole] if whole is not None else []) + ([_merged(several, manifest["key"])] if several is not None else [])
+    if not parts:
+        return None
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+    return rows.drop(*META)
+
+
+def _bucketed(rows: DataFrame, leaves: list[str]) -> DataFrame:
+    """rows with ``_bucket``: the leaf whose bits begin their hash."""
+    bits = F.lpad(F.bin("_hash"), 64, "0")
+    depths = sorted({len(x) for x in leaves})
+    if len(depths) == 1:
+        return rows.withColumn("_bucket", F.substr(bits, F.lit(1), F.lit(depths[0])))
+    deepest = rows.sparkSession.createDataFrame([(x,) for x in leaves], "_bucket string")
+    tried = rows.withColumn("_bucket", F.explode(F.array(*[F.substr(bits, F.lit(1), F.lit(d)) for d in depths])))
+    return tried.join(deepest, "_bucket", "left_semi")  # exactly one is a leaf
+
+
+def _write_buckets(rows: DataFrame, table_path: str, max_bytes: int, size: int, buckets: int) -> dict[str, tuple[str, int]]:
+    """Writes rows with ``_bucket``; (folder, bytes) of each bucket. Large buckets are dealt over several tasks by hash."""
+    spark, folder = rows.sparkSession, f"data/{uuid.uuid4().hex}"
+    ways = max(1, -(-size // (max_bytes * max(1, buckets))))
+    rows.repartition(F.col("_bucket"), F.pmod("_hash", F.lit(ways))).write.partitionBy("_bucket").parquet(f"{table_path}/{folder}")
+    out = {}
+    for x in _children(spark, f"{table_path}/{folder}"):
+        if x.startswith("_bucket="):
+            fs, p = _fs(spark, f"{table_path}/{folder}/{x}")
+            out[x.partition("=")[2]] = (f"{folder}/{x}", fs.getContentSummary(p).getLength())
+    return out
+
+
+def _halved(leaf: str, size: int, max_bytes: int) -> list[str]:
+    """A leaf, or the leaves that it splits into so that each has about ``max_bytes`` at most."""
+    more = math.ceil(math.log2(size / max_bytes)) if size > max_bytes else 0
+    return [leaf + (format(i, f"0{more}b") if more else "") for i in range(1 << more)]
 
 
 def upsert(spark: SparkSession, batch: DataFrame, table_path: str, key: str = "document_id", *, order_col: str,
-           now: str | None = None, keep_order: bool = True, buckets: int = 64) -> DataFrame:
+           now: str | None = None, keep_order: bool = True, buckets: int = 64, max_bytes: int = MAX_BUCKET_BYTES) -> DataFrame:
     """K3: keyed upsert, last write wins; ``created_at`` set on insert, kept on update.
 
     ``order_col`` orders the versions of one key inside the batch (the latest wins; of equal ones, the later row);
-    ``keep_order=False`` leaves it out of the table. ``buckets`` holds for a new table."""
+    ``keep_order=False`` leaves it out of the table. ``buckets`` (a power of two) holds for a new table."""
     ts = F.to_timestamp(F.lit(now)) if now else F.current_timestamp()
     numbers = versions(spark, table_path)
     if not numbers:
-        _add_manifest(spark, table_path, 0, {"buckets": buckets, "paths": {}})
+        depth = max(0, (buckets - 1).bit_length())
+        _add_manifest(spark, table_path, 0, {"key": key, "leaves": [format(i, f"0{depth}b") if depth else "" for i in range(1 << depth)], "paths": {}, "bytes": {}})
         numbers = [0]
-    manifest = _read_manifest(spark, table_path, numbers[-1])
-    bucket = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(manifest["buckets"])).cast("int")
-    rows = materialize(batch.drop("created_at", "updated_at").withColumn("_row", F.monotonically_increasing_id()).withColumn("_bucket", bucket), "upsert-batch")
+    number, manifest = numbers[-1] + 1, _read_manifest(spark, table_path, numbers[-1])
+    if manifest["key"] != key:
+        raise ValueError(f"{table_path} is keyed by {manifest['key']}, not {key}")
+    hashed = batch.drop("created_at", "updated_at", *META).withColumn("_row", F.monotonically_increasing_id()).withColumn("_hash", F.xxhash64(F.col(key).cast("string")))
+    rows = materialize(hashed, "upsert-batch")
     # the latest version is found on small rows; the wide ones follow by row number
     latest = rows.groupBy(key).agg(F.max(F.struct(order_col, "_row")).alias("_v")).select(F.col("_v._row").alias("_row"))
     latest = rows.join(latest, "_row").drop("_row")
     if not keep_order:
         latest = latest.drop(order_col)
-    touched = {str(r[0]) for r in rows.select("_bucket").distinct().collect()}  # at most ``buckets``
-    cur = _read_paths(spark, table_path, [x for b, x in manifest["paths"].items() if b in touched])
-    if cur is None:
-        new = latest.withColumn("created_at", ts).withColumn("updated_at", ts)
-    else:
-        upd = (latest.join(cur.select(key, "created_at"), key, "left")
-               .withColumn("created_at", F.coalesce(F.col("created_at"), ts)).withColumn("updated_at", ts))
-        untouched = cur.join(latest.select(key), key, "left_anti").withColumn("_bucket", bucket)
-        new = untouched.unionByName(upd, allowMissingColumns=True)
-    folder = f"data/{uuid.uuid4().hex}"
-    new.repartition("_bucket").write.partitionBy("_bucket").parquet(f"{table_path}/{folder}")
-    written = {x.partition("=")[2]: f"{folder}/{x}" for x in _children(spark, f"{table_path}/{folder}") if x.startswith("_bucket=")}
-    _add_manifest(spark, table_path, numbers[-1] + 1, {**manifest, "paths": {**manifest["paths"], **written}})
+    latest = latest.withColumn("created_at", ts).withColumn("updated_at", ts).withColumn("_version", F.lit(number).cast("long"))
+    size = sum(_fs(spark, f)[0].getContentSummary(_fs(spark, f)[1]).getLength() for f in {x.rpartition("/")[0] for x in rows.inputFiles()})
+    delta = _write_buckets(_bucketed(latest, manifest["leaves"]), table_path, max_bytes, size, len(manifest["leaves"]))
+    paths, sizes = {b: list(p) for b, p in manifest["paths"].items()}, {b: list(n) for b, n in manifest["bytes"].items()}
+    for b, (path, n) in delta.items():
+        paths.setdefault(b, []).append(path)
+        sizes.setdefault(b, []).append(n)
+    leaves = manifest["leaves"]
+    due = [b for b in delta if len(paths[b]) > 1 and (sum(sizes[b][1:]) * 4 > sizes[b][0] or len(paths[b]) > MOST_DELTAS) or sum(sizes[b]) > max_bytes]
+    if due:
+        split = {b: _halved(b, sum(sizes[b]), max_bytes) for b in due}
+        leaves = sorted(x for b in leaves for x in split.get(b, [b]))
+        old = _read_paths(spark, table_path, [x for b in due for x in paths[b]])
+        new = _write_buckets(_bucketed(_merged(old, key), leaves), table_path, max_bytes, sum(sum(sizes[b]) for b in due), sum(map(len, split.values())))
+        for b in due:
+            del paths[b], sizes[b]
+        paths |= {b: [path] for b, (path, _) in new.items()}
+        sizes |= {b: [n] for b, (_, n) in new.items()}
+    _add_manifest(spark, table_path, number, {"key": key, "leaves": leaves, "paths": paths, "bytes": sizes})
     _clean_up(spark, table_path)
     return read_table(spark, table_path)
 
