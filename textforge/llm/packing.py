@@ -6,11 +6,13 @@ is the lowest set bit at or above the piece's length. If no bin fits and the num
 fullest closes first (the lowest set bit of all).
 
 Spark tokenises documents in parallel, then deals the pieces (a few numbers each, no text) over shards of about
-``shard_tokens`` tokens by a hash of their ids; one shard is one task's group, of bounded size. Within a shard the
-long pieces come first, which leaves the short ones to fill the gaps.
+``shard_tokens`` tokens, and of ``shard_pieces`` pieces at most on average, by a hash of their ids and of their row in the written
+table; one shard is one task's group, of bounded size, also where one row is repeated very often. A shard has thousands of
+sequences, far more than ``open_bins``, so the bound decides. Pieces arrive in the order of the hash, as a stream would bring them.
 
 Defined cases: a null or empty text is one piece that holds the end id alone; a null doc_id is kept as null; repeated
-rows are packed each for itself; an empty table gives no rows; further columns are ignored.
+rows are packed each for itself; of bins with equal free space the one filled last is taken; an empty table gives no rows; further
+columns are ignored. A text of any length is tokenised whole, as one task's arrays of words and ids.
 """
 
 from __future__ import annotations
@@ -181,20 +183,21 @@ def best_fit(lengths, seq_len: int, open_bins: int) -> tuple[list[int], list[int
     return bins, offsets
 
 
-def pack(docs: DataFrame, seq_len: int = 2048, vocabulary: str = "word_bpe_49k.json", end_id: int = 0, open_bins: int = 1024,
-         shard_tokens: int = 1_000_000, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, seq_len: int = 2048, vocabulary: str = "word_bpe_49k.json", end_id: int = 0, open_bins: int = 64,
+         shard_tokens: int = 20_000_000, shard_pieces: int = 500_000, with_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids)."""
     pieces = materialize(token_pieces(docs, seq_len, vocabulary, end_id, with_ids), "packing-pieces")
-    tokens = int(pieces.agg(F.sum("length")).first()[0] or 0)
-    shards = bucket_count(tokens, shard_tokens, 1)
+    total = pieces.agg(F.sum("length").alias("tokens"), F.count("*").alias("n")).first()
+    shards = max(bucket_count(total.tokens or 0, shard_tokens, 1), bucket_count(total.n, shard_pieces, 1))
 
     def fill(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["length", "order", "doc_id", "piece"], ascending=[False, True, True, True], kind="stable")
+        part = part.sort_values(["order", "row"], kind="stable")
         bins, offsets = best_fit(part["length"].tolist(), seq_len, open_bins)
         part["sequence_id"] = part["shard"].astype("int64") * (1 << 32) + np.array(bins, np.int64)
         part["offset"] = np.array(offsets, np.int64)
-        return part.drop(columns=["order", "shard"])
+        return part.drop(columns=["order", "row", "shard"])
 
-    order = F.xxhash64("doc_id", "piece", "ids_crc32")
+    # the row tells repeated rows apart: the written table is read in the same splits by a repeated task
+    dealt = pieces.withColumn("row", F.monotonically_increasing_id()).withColumn("order", F.xxhash64("doc_id", "piece", "ids_crc32", "row"))
     schema = PIECES + ", ids array<long>" * with_ids + ", sequence_id long, offset long"
-    return pieces.withColumn("order", order).withColumn("shard", F.pmod(order, F.lit(shards)).cast("int")).groupBy("shard").applyInPandas(fill, schema)
+    return dealt.withColumn("shard", F.pmod("order", F.lit(shards)).cast("int")).groupBy("shard").applyInPandas(fill, schema)
