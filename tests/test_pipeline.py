@@ -135,6 +135,38 @@ def test_streaming_equals_batch(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/quarantine").count() == 4
 
 
+def test_files_delivered_again_are_left_out(spark, tmp_dir):
+    from textforge.config import CleaningConfig, PipelineConfig
+    from textforge.sinks.writers import read_table, versions
+    from textforge.streaming.ingest import start_ingest_stream
+
+    src, t = f"{tmp_dir}/in", f"{tmp_dir}/table"
+    os.makedirs(f"{src}/sub")
+    cfg = PipelineConfig(cleaning=CleaningConfig(fix_encoding=False, enable_typo_correction=False), entity_recognition=False)
+
+    def put(name, *texts):
+        with open(f"{src}/{name}", "w") as fh:
+            fh.write("".join(json.dumps({"document_id": t[0], "text": t}) + "\n" for t in texts))
+
+    def run():
+        start_ingest_stream(spark, src, t, f"{tmp_dir}/quarantine", f"{tmp_dir}/ckpt", cfg, "2024-06-01", max_files_per_trigger=2,
+                            redelivery_window="1 hour").awaitTermination(300)
+        return versions(spark, t)[-1], {r.document_id: r.cleaned_text for r in read_table(spark, t).collect()}
+
+    put("one.jsonl", "a first", "b first")
+    put("sub/copy.jsonl", "a first", "b first")
+    assert run() == (1, {"a": "a first", "b": "b first"})
+    put("again.jsonl", "a first", "b first")
+    put("sub/empty.jsonl")
+    number, rows = run()
+    assert rows == {"a": "a first", "b": "b first"} and number <= 2
+    put("two.jsonl", "b second", "c second")
+    put("old.jsonl", "a first", "b first")
+    day = os.path.getmtime(f"{src}/old.jsonl") - 86_400
+    os.utime(f"{src}/two.jsonl", (day, day))  # older than the window, but not late: the time that counts is that of its coming
+    assert run()[1] == {"a": "a first", "b": "b second", "c": "c second"}
+
+
 def test_entry_and_registry(spark):
     import __spark_entry__ as E
 

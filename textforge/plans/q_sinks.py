@@ -182,9 +182,9 @@ def sink_user_documents(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- files
-def _write_lines(spark, sf_dir, name):
+def _write_lines(spark, sf_dir, name, path=None):
     """The derived lines as several JSONL files, one for each ``doc_id % 4``, in doc_id order within each."""
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
     lines = derived_lines(spark, sf_dir).withColumn("part", (F.col("line_number") - 1) % 4)
     lines.repartition(4, "part").sortWithinPartitions("part", "line_number").select("part", "value").write.partitionBy("part").text(path)
     return path
@@ -319,3 +319,25 @@ def stream_ingest_documents(spark, sf_dir):
     query = start_ingest_stream(spark, source, f"{base}/table", f"{base}/quarantine", f"{base}/checkpoint", CFG, RUN_DATE, max_files_per_trigger=2)
     query.awaitTermination()
     return K.read_table(spark, f"{base}/table").select("document_id", "cleaned_text")
+
+
+@register(
+    "stream_redelivery_documents",
+    sql=f"""WITH x AS ({EXPECTED})
+SELECT document_id, {O.sql_clean('text', CFG.cleaning)} AS cleaned_text, false AS written_again FROM x WHERE status = 'valid'""",
+)
+def stream_redelivery_documents(spark, sf_dir):
+    """Every file comes twice under other names at once, and again in a later run: the table of one delivery, not written again."""
+    from textforge.streaming.ingest import start_ingest_stream
+
+    base = scratch_path(spark, "redelivery")
+
+    def deliver(*names):
+        for name in names:
+            _write_lines(spark, sf_dir, name, f"{base}/in/{name}")
+        start_ingest_stream(spark, f"{base}/in", f"{base}/table", f"{base}/quarantine", f"{base}/checkpoint", CFG, RUN_DATE, redelivery_window="7 days").awaitTermination()
+        return K.versions(spark, f"{base}/table")
+
+    first = deliver("one", "copy")
+    again = deliver("late")
+    return K.read_table(spark, f"{base}/table").select("document_id", "cleaned_text", F.lit(first != again).alias("written_again"))

@@ -7,6 +7,13 @@ validation, the full preprocess plan and a keyed upsert into a snapshot table.
 Delivery is at-least-once; the upsert is idempotent by key and every row
 carries the micro-batch id, so a replayed batch rewrites the same keys.
 Quarantined lines are appended per batch id (overwritten on replay).
+
+``redelivery_window`` guards against files that are delivered again, under any
+name: the stream is then one of files, whose content digests are kept as state
+for that long after they came (watermark on the time of ingest, so a file's own
+age does not matter but to Spark's file source, which by its option maxFileAge
+passes over files a week older than the newest). A file whose content is known is left out before its lines are
+read; a trigger that brings nothing new writes nothing.
 """
 
 from __future__ import annotations
@@ -37,6 +44,27 @@ def read_line_stream(spark: SparkSession, input_dir: str, max_files_per_trigger:
     )
 
 
+def read_new_files(spark: SparkSession, input_dir: str, redelivery_window: str, max_files_per_trigger: int | None = None,
+                   max_bytes_per_trigger: int | None = None) -> DataFrame:
+    """(file) of files whose content did not come within the window before."""
+    r = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("recursiveFileLookup", "true")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(int(max_files_per_trigger)))
+    if max_bytes_per_trigger:
+        r = r.option("maxBytesPerTrigger", str(int(max_bytes_per_trigger)))
+    files = r.load(input_dir).select(F.col("path").alias("file"), F.sha2("content", 256).alias("digest"), "length", F.current_timestamp().alias("came"))
+    return files.withWatermark("came", redelivery_window).dropDuplicatesWithinWatermark(["digest", "length"]).select("file")
+
+
+def process_files(files: DataFrame, batch_id: int, *args) -> None:
+    """The lines of a trigger's new files."""
+    spark = files.sparkSession
+    paths = [r.file for r in files.collect()]  # at most what a trigger may bring
+    if paths:
+        lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block_start"), "value")
+        process_batch(lines, batch_id, *args)
+
+
 def process_batch(batch: DataFrame, batch_id: int, table_path: str, quarantine_path: str,
                   cfg: PipelineConfig, run_date: str, dictionary=None, gazetteer=None, profiles=None) -> None:
     spark = batch.sparkSession
@@ -60,11 +88,13 @@ def process_batch(batch: DataFrame, batch_id: int, table_path: str, quarantine_p
 def start_ingest_stream(spark: SparkSession, input_dir: str, table_path: str, quarantine_path: str,
                         checkpoint: str, cfg: PipelineConfig | None = None, run_date: str = "1970-01-01",
                         dictionary=None, gazetteer=None, profiles=None, max_files_per_trigger: int | None = None,
-                        max_bytes_per_trigger: int | None = None, available_now: bool = True):
+                        max_bytes_per_trigger: int | None = None, available_now: bool = True, redelivery_window: str | None = None):
     cfg = cfg or PipelineConfig()
-    stream = read_line_stream(spark, input_dir, max_files_per_trigger, max_bytes_per_trigger)
+    if redelivery_window:
+        stream, process = read_new_files(spark, input_dir, redelivery_window, max_files_per_trigger, max_bytes_per_trigger), process_files
+    else:
+        stream, process = read_line_stream(spark, input_dir, max_files_per_trigger, max_bytes_per_trigger), process_batch
     w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda df, bid: process_batch(df, bid, table_path, quarantine_path, cfg, run_date, dictionary, gazetteer,
-                                      profiles))
+        lambda df, bid: process(df, bid, table_path, quarantine_path, cfg, run_date, dictionary, gazetteer, profiles))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
