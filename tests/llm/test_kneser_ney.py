@@ -78,3 +78,24 @@ def test_held_out_beats_the_base(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = score_held_out(docs).filter("held_out").agg({"score": "sum", "base_score": "sum"}).first()
     assert got["sum(score)"] > got["sum(base_score)"]
+
+
+def test_pair_keys_beyond_32_bits():
+    """Ids above 2**32, own and frequent contexts, in buckets as large as any: keys lead back to their pairs."""
+    from types import SimpleNamespace
+
+    from textforge.llm.kneser_ney import PairKeys
+
+    sizes = np.full(1 << 14, 1 << 20)  # 2**34 words
+    words = SimpleNamespace(first=np.append(0, np.cumsum(sizes)), total=int(sizes.sum()))
+    rng = np.random.default_rng(1)
+    frequent = np.sort(rng.choice(words.total, 500, replace=False))
+    keys = PairKeys(words, frequent)
+    for b in (0, 5000, (1 << 14) - 1):
+        low, high = int(words.first[b]), int(words.first[b + 1])
+        u = np.append(rng.integers(low, high, 300), frequent[rng.integers(0, 500, 100)])
+        w = rng.integers(0, words.total, 400)
+        k = keys.join(b, u, w)
+        back_u, back_w, own = keys.split(b, k)
+        assert (back_u == u).all() and (back_w == w).all() and (own == ~np.isin(u, frequent)).all()
+        assert len(np.unique(k)) == len({*zip(u.tolist(), w.tolist())})

@@ -96,6 +96,34 @@ def spread(words: Words, frequent: np.ndarray, u: np.ndarray, w: np.ndarray) ->
     return np.where(hot, words.bucket(w), words.bucket(u))
 
 
+class PairKeys:
+    """The pairs of a bucket as 64-bit keys: the context's place among the bucket's own words or, after these, among the frequent
+    ones, then the id of the following word. Buckets have a bounded size, so this holds for some 10^12 distinct words."""
+
+    def __init__(self, words: Words, frequent: np.ndarray):
+        self.first, self.frequent = words.first, frequent
+        self.bits = max(1, words.total.bit_length())
+        if (int(np.diff(self.first).max(initial=0)) + len(frequent)).bit_length() + self.bits > 64:
+            raise ValueError(f"{words.total} distinct words do not fit the pairs' keys")
+
+    def join(self, bucket: int, u: np.ndarray, w: np.ndarray) -> np.ndarray:
+        low, high = self.first[bucket], self.first[bucket + 1]
+        place = u - low
+        if len(self.frequent):
+            at = np.minimum(np.searchsorted(self.frequent, u), len(self.frequent) - 1)
+            place = np.where(self.frequent[at] == u, high - low + at, place)
+        return (place.astype(np.uint64) << np.uint64(self.bits)) | w.astype(np.uint64)
+
+    def split(self, bucket: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Contexts, following words, and whether the context is one of the bucket's own and not frequent."""
+        low, high = self.first[bucket], self.first[bucket + 1]
+        place, w = (keys >> np.uint64(self.bits)).astype(np.int64), (keys & np.uint64((1 << self.bits) - 1)).astype(np.int64)
+        own = place < high - low
+        u = place + low
+        u[~own] = self.frequent[place[~own] - (high - low)]
+        return u, w, own
+
+
 def discounts(n: list[int]) -> list[float]:
     """Discounts of counts 1, 2 and more (index 0: none) from the numbers of items with counts 1 to 4."""
     n1, n2, n3, n4 = n
@@ -141,22 +169,20 @@ def train(docs: DataFrame, bucket_bytes: int = 16_000_000) -> dict:
         save_array(folder, f"words-{b}", np.zeros(0, np.uint64))
         save_array(folder, f"counts-{b}", np.zeros(0, np.int64))
     first = np.append(0, np.cumsum(sizes))
-    if first[-1] >= 1 << 32:
-        raise ValueError("more than 2**32 distinct words do not fit a pair's 64 bits")
     frequent = np.array(sorted(int(first[r.bucket] + r.numbers[0]) for r in got if r.kind == "top" and r.numbers[1] * buckets > tokens), np.int64)
 
     # 2. pairs
     def count_pairs(batches):
         words = Words(folder, bits, sizes)
-        end = words.ids(np.array([END]))[0]
         for held in word_batches(batches):
-            h, lengths = token_hashes(held)
+            h, _ = token_hashes(held)
             distinct, at = np.unique(h, return_inverse=True)
-            ids = words.ids(distinct)[at]
-            pairs, c = np.unique((np.append(end, ids[:-1]) << 32) | ids, return_counts=True)
-            u, w = pairs >> 32, pairs & 0xFFFFFFFF
+            ids = words.ids(distinct)
+            # numbers of the batch's words tell its pairs apart; each text has an end, the context of the first word
+            pairs, c = np.unique(np.append(np.searchsorted(distinct, END), at[:-1]).astype(np.int64) * len(distinct) + at, return_counts=True)
+            u, w = ids[pairs // len(distinct)], ids[pairs % len(distinct)]
             b = spread(words, frequent, u, w)
-            order = np.argsort(b, kind="stable")
+            order = np.lexsort((w, u, b))
             edges = np.searchsorted(b[order], np.arange(buckets + 1))
             rows = []
             for n, (x, y) in enumerate(zip(edges, edges[1:])):
@@ -169,12 +195,12 @@ def train(docs: DataFrame, bucket_bytes: int = 16_000_000) -> dict:
         b = table.column("bucket")[0].as_py()
         words = Words(folder, bits, sizes)
         du, w, c = arrays_of(table, 3)
-        pairs, c = summed([(np.cumsum(d) << np.uint64(32)) | x for d, x in zip(du, w)], c)
+        keys = PairKeys(words, frequent)
+        pairs, c = summed([keys.join(b, np.cumsum(d).astype(np.int64), x.astype(np.int64)) for d, x in zip(du, w)], c)
         save_array(folder, f"pairs-{b}", pairs)
         save_array(folder, f"pair_counts-{b}", c.astype(np.min_scalar_type(int(c.max()))))
         rows = [(b, "counts", [int((c == i).sum()) for i in (1, 2, 3, 4)] + [len(c)])]
-        u, w = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        own = ~np.isin(u, frequent)
+        u, w, own = keys.split(b, pairs)
         low, high = words.first[b], words.first[b + 1]
         for name, has in (("n1", c == 1), ("n2", c == 2), ("n3", c > 2)):
             save_array(folder, f"{name}-{b}", np.bincount(u[own & has] - low, minlength=high - low).astype(np.uint32))
@@ -227,6 +253,7 @@ class Model:
         self.__dict__.update(model)
         self.words = Words(self.folder, self.bits, self.sizes)
         self.frequent = np.array(self.frequent, np.int64)
+        self.keys = PairKeys(self.words, self.frequent)
         self.pairs, self.counts = Files(self.folder, "pairs"), Files(self.folder, "pair_counts")
         self.end = self.words.ids(np.array([END]))[0]
 
@@ -240,7 +267,7 @@ class Model:
         for n in np.flatnonzero(edges[:-1] < edges[1:]).tolist():
             have, o = self.pairs[n], order[edges[n] : edges[n + 1]]
             if len(have):
-                key = (u[o].astype(np.uint64) << np.uint64(32)) | w[o].astype(np.uint64)
+                key = self.keys.join(n, u[o], w[o])
                 at = np.minimum(np.searchsorted(have, key), len(have) - 1)
                 out[o] = np.where(have[at] == key, self.counts[n][at], 0)
         return out
