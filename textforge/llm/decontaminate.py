@@ -16,7 +16,8 @@ Words are the runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after A-Z are low
 
 Defined cases: a null or empty text has no words and cannot be hit; documents without a doc_id, and items without an
 item_id or words, are left out; equal items all count; rows that repeat a doc_id give one result row: their word counts
-add, and a place counts once if it is hit in any of them; empty tables work; further columns are ignored.
+add, and a place counts once if it is hit in any of them; empty tables work; further columns are ignored. A text of any length
+is taken whole, as one task's arrays of words.
 """
 
 from __future__ import annotations

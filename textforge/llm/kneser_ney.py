@@ -19,7 +19,7 @@ numbers of pairs (words) with counts one to four. The order is 2: a third order'
 
 Defined cases: a null text is empty (one token, the end); rows without a doc_id are left out; rows that repeat a doc_id
 are each scored, and each learned from; without training rows every token has base probability 1 / (V + 1) = 1; an empty
-table gives no rows; further columns are ignored.
+table gives no rows; further columns are ignored. A text of any length is scored whole, as one task's arrays of words.
 """
 
 from __future__ import annotations

@@ -16,7 +16,9 @@ Hits are verified: the words themselves are compared, not only the hashes. Words
 ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after A-Z are lower-cased.
 
 Defined cases: a null or empty text has no words; rows of one doc_id (null included) give one result row, their word and
-place counts added; an empty table gives no rows; further columns are ignored.
+place counts added; an empty table gives no rows; further columns are ignored. A text of any length is one row's array of words and
+k-grams. Ties: of runs with equal edit distance the shorter one is the span, then the one that starts first; equal spans of
+different templates all count.
 """
 
 from __future__ import annotations

@@ -23,7 +23,8 @@ between different components is found.
 Defined cases: A-Z are lower-cased; a text of fewer words than ``size`` has the whole sequence as its only shingle; a null
 text, or one without words, has an empty set and links with nothing; documents without a doc_id are left out; of rows
 that repeat a doc_id one counts (that with the smallest fingerprint), so the result has each doc_id once; an empty table
-gives no rows; further columns are ignored.
+gives no rows; further columns are ignored. A text of any length is taken whole: its words and set are arrays of one task.
+Of documents that could lead a shingle alike the one with the smallest doc_id does.
 """
 
 from __future__ import annotations

@@ -11,7 +11,9 @@ of ints, the bucket in the leading bits and the tuple's hash in the rest; an emp
 
 Defined cases: a null text is empty; a text without words has an empty fingerprint, which is like another empty one
 (1.0) and unlike all others (0.0). ``with_next`` leaves rows without a doc_id out, puts rows that repeat a doc_id next to
-each other (ordered by text), takes the only row as its own next, and works on an empty table. Further columns are ignored.
+each other (ordered by text), takes the only row as its own next, and works on an empty table. Further columns are ignored. A text
+of any length is one row's array of k-mers. Equal k-mers are told apart by the number of their occurrence; numbered k-mers with
+equal hashes keep the order of the text.
 """
 
 from __future__ import annotations

@@ -14,7 +14,7 @@ A copied passage reaches a bucket once for each batch of documents, however many
 
 Defined cases: a null or empty text has no words; a text of fewer words than the window keeps all; rows without a doc_id
 are left out; rows that repeat a doc_id are each judged, and do not count as smaller than one another; empty tables work;
-further columns are ignored.
+further columns are ignored. A text of any length is taken whole: its words and windows are arrays of one task.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ files, and a magic inside a payload only makes one more candidate.
 
 Defined cases: pages without a page_id are left out; a null payload is empty; a null URL writes no header; line breaks in
 a URL are written as %0D and %0A; rows that repeat a page_id are a record each, responses if that id is the smallest; an
-empty table writes no record; further columns are ignored. A chain that breaks (a damaged file) ends there.
+empty table writes no record; further columns are ignored. A payload of any length is one record, written and read whole by one
+task. A chain that breaks (a damaged file) ends there.
 """
 
 from __future__ import annotations
