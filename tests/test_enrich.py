@@ -96,3 +96,38 @@ def test_date_grammar_of_tagged_phrases(spark):
     want = dict(cases)
     want["  last\tfriday of all"] = got["  last\tfriday of all"]  # leading space: only the start-anchored rule, by the raw text
     assert got == want
+
+
+def test_isotonic_confidence():
+    """Pooling against the max-min formula; confidences rise with the lead, steps without rows take the one below."""
+    import random
+
+    from textforge.operators.language import pooled
+
+    rng = random.Random(4)
+    for _ in range(50):
+        seen = [rng.choice([0, 0, 1, 3, 10]) for _ in range(12)]
+        right = [rng.randint(0, n) for n in seen]
+        got = pooled(right, seen)
+        full = [i for i, n in enumerate(seen) if n]
+        for i in full:
+            want = max(min(sum(right[a : b + 1]) / sum(seen[a : b + 1]) for b in full if b >= i) for a in full if a <= i)
+            assert abs(got[i] - want) < 1e-12
+        known = [x for x in got if x is not None]
+        assert known == sorted(known) and [x is None for x in got] == [i < min(full, default=99) for i in range(12)]
+
+
+def test_language_threshold_and_reliability(spark):
+    from textforge.operators.language import LEADS, calibrate, detect_language, train_profiles
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("text", F.substring("text", 1, 60))
+    prof = train_profiles(docs.filter("doc_id % 3 = 0"), "text", "lang").cache()
+    scored = detect_language(docs.filter("doc_id % 3 = 1"), "text", prof, out_col="found", lead_col="lead")
+    steps = calibrate(scored, "lang", "found", "lead")
+    assert steps.count() == LEADS + 1
+    rest = docs.filter("doc_id % 3 = 2")
+    free = detect_language(rest, "text", prof, out_col="found", calibration=steps).select("doc_id", "lang", "found", "confidence").collect()
+    sure = {r.doc_id: r for r in detect_language(rest, "text", prof, out_col="found", calibration=steps, least_confidence=0.97).collect()}
+    assert all((sure[r.doc_id].found is not None) == (r.confidence is not None and r.confidence >= 0.97) for r in free)
+    high = [r for r in free if r.confidence is not None and r.confidence >= 0.9]  # as reliable as they say, on rows never seen
+    assert len(high) > 100 and sum(r.found == r.lang for r in high) / len(high) >= sum(r.confidence for r in high) / len(high) - 0.05

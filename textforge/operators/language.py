@@ -8,6 +8,10 @@ profile is undetected (null), as is a text shorter than ``min_chars`` characters
 
 A document stays one row: its trigrams are counted and ranked within an Arrow batch, beside the profiles, which have
 languages x ``top_k`` rows and are collected only below ``MAX_PROFILE_ROWS``. Training adds up counts per task first.
+
+Confidence: the lead of the best language over the second, as a share of the largest distance possible, falls into one of
+``LEADS`` + 1 steps. On labelled rows that no profile was made of, the share of right answers by step is made to rise with the lead
+(isotonic regression by pooling neighbours); that share is the confidence of the step. Only one row for each step leaves Spark.
 """
 
 from __future__ import annotations
@@ -29,6 +33,7 @@ by_value(__name__)
 TOP_K = 300
 MIN_CHARS = 10
 MAX_PROFILE_ROWS = 1_000_000
+LEADS = 200
 _GAPS = re.compile(r"[\W\d_]+")
 
 
@@ -60,9 +65,8 @@ def train_profiles(labelled: DataFrame, text_col: str, lang_col: str, top_k: int
     return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_k).drop("cnt")
 
 
-def detect_language(docs: DataFrame, text_col: str, profiles: DataFrame, top_k: int = TOP_K,
-                    out_col: str = "language", min_chars: int = MIN_CHARS) -> DataFrame:
-    """Adds ``out_col`` (null when too short or undetected)."""
+def _detector(docs: DataFrame, profiles: DataFrame, top_k: int, min_chars: int):
+    """text -> (language, lead) or (None, None)."""
     rows = profiles.select("lang", "gram", "rank").limit(MAX_PROFILE_ROWS + 1).collect()
     if len(rows) > MAX_PROFILE_ROWS:
         raise ValueError(f"more than {MAX_PROFILE_ROWS} profile rows; lower top_k or the number of languages")
@@ -72,18 +76,72 @@ def detect_language(docs: DataFrame, text_col: str, profiles: DataFrame, top_k:
             ranks.setdefault(r.gram, []).append((r.lang, r.rank))
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
-    def detect(text: str | None) -> str | None:
+    def detect(text: str | None) -> tuple[str | None, int | None]:
         if text is None or len(text.strip(" ")) < min_chars:
-            return None
+            return None, None
         gain: Counter = Counter()
-        for rank, g in enumerate(_profile(_trigrams(text), top_k), 1):
+        profile = _profile(_trigrams(text), top_k)
+        for rank, g in enumerate(profile, 1):
             for lang, other in shared.value.get(g, ()):
                 gain[lang] += top_k - abs(rank - other)
-        return min(gain, key=lambda x: (-gain[x], x)) if gain else None
+        if not gain:
+            return None, None
+        best, *rest = sorted(gain, key=lambda x: (-gain[x], x))[:2]
+        return best, LEADS * (gain[best] - (gain[rest[0]] if rest else 0)) // (top_k * len(profile))
+
+    return detect
+
+
+def detect_language(docs: DataFrame, text_col: str, profiles: DataFrame, top_k: int = TOP_K,
+                    out_col: str = "language", min_chars: int = MIN_CHARS, lead_col: str | None = None,
+                    calibration: DataFrame | None = None, least_confidence: float = 0.0) -> DataFrame:
+    """Adds ``out_col`` (null when too short or undetected), and ``lead_col`` if it is named.
+
+    With a ``calibration`` (``calibrate``), a ``confidence`` is added, and answers below ``least_confidence`` become null."""
+    detect = _detector(docs, profiles, top_k, min_chars)
 
-    @pandas_udf(T.StringType())
-    def language(texts: pd.Series) -> pd.Series:
-        return texts.map(detect, na_action="ignore")
+    @pandas_udf(T.StructType([T.StructField("lang", T.StringType()), T.StructField("lead", T.IntegerType())]))
+    def language(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([detect(t) for t in texts], columns=["lang", "lead"]).astype({"lead": "Int32"})
 
     # nondeterministic only so that Catalyst does not copy the call
-    return docs.withColumn(out_col, language.asNondeterministic()(F.col(text_col)))
+    found = docs.withColumn("_found", language.asNondeterministic()(F.col(text_col)))
+    if calibration is not None:
+        steps = {r.lead: r.confidence for r in calibration.collect()}  # LEADS + 1 rows
+        table = F.array(*[F.lit(steps[i]) for i in range(LEADS + 1)])
+        found = found.withColumn("confidence", F.get(table, F.col("_found.lead")))
+        sure = F.col("confidence") >= least_confidence
+        found = found.withColumn(out_col, F.when(sure, F.col("_found.lang")))
+    else:
+        found = found.withColumn(out_col, F.col("_found.lang"))
+    if lead_col:
+        found = found.withColumn(lead_col, F.col("_found.lead"))
+    return found.drop("_found")
+
+
+def pooled(right: list[int], seen: list[int]) -> list[float | None]:
+    """Isotonic regression of right / seen by pooling neighbours; steps without rows take the step below (None: there is none)."""
+    blocks: list[list[int]] = []  # right, seen, last step
+    for i, (r, n) in enumerate(zip(right, seen)):
+        if n:
+            blocks.append([r, n, i])
+            while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
+                r, n, last = blocks.pop()
+                blocks[-1] = [blocks[-1][0] + r, blocks[-1][1] + n, last]
+    out: list[float | None] = []
+    for i in range(len(seen)):
+        if seen[i]:
+            out.append(next(b[0] / b[1] for b in blocks if b[2] >= i))
+        else:
+            out.append(out[-1] if out else None)
+    return out
+
+
+def calibrate(scored: DataFrame, lang_col: str, found_col: str, lead_col: str) -> DataFrame:
+    """(lead, confidence) for every step, from rows with a language that the profiles were not made of; steps below all rows have 0."""
+    steps = scored.filter(F.col(lead_col).isNotNull() & F.col(lang_col).isNotNull()).groupBy(F.col(lead_col).alias("lead")).agg(
+        F.count_if(F.col(lang_col) == F.col(found_col)).alias("right"), F.count("*").alias("seen"))
+    got = {r.lead: r for r in steps.collect()}  # LEADS + 1 rows at most
+    right, seen = ([got[i][c] if i in got else 0 for i in range(LEADS + 1)] for c in ("right", "seen"))
+    rows = [(i, 0.0 if c is None else c) for i, c in enumerate(pooled(right, seen))]
+    return scored.sparkSession.createDataFrame(rows, "lead int, confidence double")
