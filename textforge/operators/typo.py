@@ -16,6 +16,9 @@ Work is paid once per *distinct unknown word*, not per token:
 5. accepted if ``|len diff| <= (1 - confidence) * 10``;
 6. fixes are joined back per document by token position, keeping an upper-case
    first letter; the text is rebuilt with single spaces.
+
+Steps 2 to 5 are for a word table that is given. ``noisy_channel`` learns from
+the corpus which words are errors, and of which words; its table skips them.
 """
 
 from __future__ import annotations
