@@ -68,7 +68,8 @@ def _dashes_and_quotes(col: Column, dashes: bool, quotes: bool) -> Column:
     if quotes:
         src += SMART_DOUBLE + SMART_SINGLE
         dst += '""' + "''"
-    return F.translate(col, src, dst) if src else col
+    # Texts of ASCII alone have none of them.
+    return bound(col, lambda x: F.when(F.octet_length(x) > F.length(x), F.translate(x, src, dst)).otherwise(x)) if src else col
 
 
 # C6 ------------------------------------------------------------------------
@@ -110,11 +111,42 @@ CURRENCY_RULES: tuple[tuple[str, str], ...] = (
 )
 
 
+# The rules joined, as their matches never overlap and none makes a match of another but of the same outcome: one search marks
+# all matches, and the marks become words by byte searches. Texts that hold MARK themselves are left to the rules one by one.
+MARK = "\uE000"
+CURRENCY_JOINED = (
+    (rf"([$£]){WS}*({DIGIT}+(?:\.{DIGIT}{{1,2}})?)", f"{MARK}$1 $2", {"$": "USD", "£": "GBP"}),
+    (CURRENCY_RULES[1][0], CURRENCY_RULES[1][1], {}),
+    (r"(?iU)(?=[uegp])\b(?:([uU])(?:sd|s dollars?)|([eE])(?:ur|uros?)|([gG])bp|([pP])ounds?sterling)\b", f"{MARK}$1$2$3$4",
+     {"u": "USD", "U": "USD", "e": "EUR", "E": "EUR", "g": "GBP", "G": "GBP", "p": "GBP", "P": "GBP"}),
+)
+
+
+def by_rules(col: Column, rules) -> Column:
+    for pat, rep in rules:
+        col = F.regexp_replace(col, pat, rep)
+    return col
+
+
+def by_marks(col: Column, joined) -> Column:
+    for pat, rep, words in joined:
+        col = F.regexp_replace(col, pat, rep)
+        for mark, word in words.items():
+            col = F.replace(col, F.lit(MARK + mark), F.lit(word))
+    return col
+
+
+def bound(col: Column, fn: ColFn) -> Column:
+    """``fn`` of a column that is computed once, however often ``fn`` names it."""
+    return F.get(F.transform(F.array(col), fn), 0)
+
+
+def marked(x: Column, rules, joined) -> Column:
+    return F.when(x.contains(MARK), by_rules(x, rules)).otherwise(by_marks(x, joined))
+
+
 def standardize_currency(col: Column | str) -> Column:
-    c = _c(col)
-    for pat, rep in CURRENCY_RULES:
-        c = F.regexp_replace(c, pat, rep)
-    return c
+    return bound(_c(col), lambda x: marked(x, CURRENCY_RULES, CURRENCY_JOINED))
 
 
 # C11 -----------------------------------------------------------------------
@@ -140,11 +172,15 @@ def unit_rules() -> list[tuple[str, str]]:
     return rules
 
 
+# A number's digits before the point stay as they are, so the percent rule needs none of them.
+UNITS_JOINED = ((
+    rf"(?U)({DIGIT}+){WS}*(%|(?:{'|'.join(suffix for suffix, _ in UNIT_WORDS)})\b)", f"$1 {MARK}$2{MARK}",
+    {"%" + MARK: "percent"} | {suffix + MARK: word for suffix, word in UNIT_WORDS},
+),)
+
+
 def standardize_units(col: Column | str) -> Column:
-    c = _c(col)
-    for pat, rep in unit_rules():
-        c = F.regexp_replace(c, pat, rep)
-    return c
+    return bound(_c(col), lambda x: marked(x, unit_rules(), UNITS_JOINED))
 
 
 # Texts without any of these have nothing for the currency and unit rules.
@@ -153,7 +189,7 @@ AMOUNT_GATE = rf"{DIGIT}|[$€£%]|(?iU:\b(?:usd|us dollar|eur|gbp|pounds?sterli
 
 def where_needed(col: Column, pattern: str, fn: ColFn) -> Column:
     """``fn`` only for texts that match ``pattern``; the text is bound once, so it is computed once."""
-    return F.get(F.transform(F.array(col), lambda x: F.when(x.rlike(pattern), fn(x)).otherwise(x)), 0)
+    return bound(col, lambda x: F.when(x.rlike(pattern), fn(x)).otherwise(x))
 
 
 # User-registered steps ------------------------------------------------
@@ -199,9 +235,10 @@ def clean_text_before_typos(col: Column | str, cfg: CleaningConfig, python_ok: b
         from textforge.functions.encoding import fix_encoding, fix_encoding_native
 
         c = fix_encoding(c) if python_ok else fix_encoding_native(c)
-    rules = [f for on, f in ((cfg.standardize_currency, standardize_currency), (cfg.standardize_units, standardize_units)) if on]
-    if rules:
-        c = where_needed(c, AMOUNT_GATE, lambda x: rules[-1](rules[0](x)) if len(rules) > 1 else rules[0](x))
+    steps = [s for on, *s in ((cfg.standardize_currency, CURRENCY_RULES, CURRENCY_JOINED), (cfg.standardize_units, unit_rules(), UNITS_JOINED)) if on]
+    if steps:
+        rules, joined = ([x for s in steps for x in s[i]] for i in (0, 1))
+        c = where_needed(c, AMOUNT_GATE, lambda x: marked(x, rules, joined))
     if cfg.normalize_punctuation:
         c = _dashes_and_quotes(c, cfg.normalize_unicode_dashes, cfg.normalize_smart_quotes)
         c = remove_non_printable(c)
