@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textforge.config import DEFAULT_ENTITY_TYPES
+from textforge.functions.clean import bound
 from textforge.operators.phrases import with_phrases
 from textforge.operators.tagger import spans_udf
 
@@ -47,6 +48,9 @@ RULES: tuple[tuple[str, str], ...] = (
     ("PERCENT", r"\b[0-9]+(?:\. ?[0-9]+)? ?(?:percent\b|%)"),
 )
 
+# The characters that the matches of each rule begin with: looked at first, as word boundaries and alternatives cost far more.
+INITIALS = {"DATE": "[0-9ADFJLMNOSTWYlnty]", "TIME": "[0-9]", "MONEY": "[0-9EGU$£]", "PERCENT": "[0-9]"}
+
 ENTITY_TYPE = "struct<text:string,type:string,start_char:int,end_char:int>"
 
 
@@ -56,9 +60,7 @@ def _sum_lengths(arr: Column) -> Column:
 
 def regex_spans(text: Column, pattern: str, etype: str) -> Column:
     """All matches of ``pattern`` as entity structs with offsets."""
-    m = F.regexp_extract_all(text, F.lit(pattern), 0)
-    sp = F.split(text, pattern, -1)
-    z = F.arrays_zip(F.slice(sp, 1, F.size(m)).alias("s"), m.alias("x"))
+    pattern = f"(?={INITIALS[etype]})(?:{pattern})" if etype in INITIALS else pattern
     init = F.struct(F.lit(0).alias("pos"), F.array().cast(f"array<{ENTITY_TYPE}>").alias("out"))
 
     def step(acc, e):
@@ -67,7 +69,13 @@ def regex_spans(text: Column, pattern: str, etype: str) -> Column:
                        (st + F.length(e["x"])).cast("int").alias("end_char"))
         return F.struct((st + F.length(e["x"])).alias("pos"), F.array_append(acc["out"], ent).alias("out"))
 
-    return F.aggregate(z, init, step)["out"]
+    def spans(m: Column) -> Column:
+        sp = F.split(text, pattern, -1)
+        z = F.arrays_zip(F.slice(sp, 1, F.size(m)).alias("s"), m.alias("x"))
+        return F.when(F.size(m) == 0, init["out"]).otherwise(F.aggregate(z, init, step)["out"])
+
+    # the matches are found once, and texts without any are not split
+    return bound(F.regexp_extract_all(text, F.lit(pattern), 0), spans)
 
 
 def rule_entities(text: Column) -> Column:
