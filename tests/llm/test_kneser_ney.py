@@ -99,3 +99,29 @@ def test_pair_keys_beyond_32_bits():
         back_u, back_w, own = keys.split(b, k)
         assert (back_u == u).all() and (back_w == w).all() and (own == ~np.isin(u, frequent)).all()
         assert len(np.unique(k)) == len({*zip(u.tolist(), w.tolist())})
+
+
+def test_merged_pairs_are_held_few_times():
+    import tracemalloc
+
+    import numpy as np
+
+    from textforge.llm.common import pack_arrays
+    from textforge.llm.kneser_ney import PairKeys, Words, merged_pairs
+
+    words = Words("", 0, [1 << 20])
+    keys = PairKeys(words, np.zeros(0, np.int64))
+    r = np.random.default_rng(1)
+    payloads, want = [], {}
+    for _ in range(8):
+        u, w = np.sort(r.integers(0, 300, 100_000)), r.integers(0, 300, 100_000)
+        payloads.append(pack_arrays(np.diff(u, prepend=0), w, np.full(len(u), 200)))
+        for pair, n in zip(*np.unique(u * 300 + w, return_counts=True)):
+            want[int(pair)] = want.get(int(pair), 0) + 200 * int(n)
+    tracemalloc.start()
+    pairs, c = merged_pairs(iter(payloads), keys, 0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    u, w, _ = keys.split(0, pairs)
+    assert dict(zip((u * 300 + w).tolist(), c.tolist())) == want  # sums beyond the counts' own type
+    assert peak < 5 * 8 * 800_000  # ten arrays of all pairs before

@@ -212,9 +212,13 @@ def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     k, c = np.concatenate(keys), np.concatenate(counts)
     order = np.argsort(k, kind="stable")
-    k, c = k[order], c[order]
+    return totals(k[order], c[order])
+
+
+def totals(k: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of sorted ones, and the sum of each one's counts."""
     starts = np.flatnonzero(np.append(True, k[1:] != k[:-1])) if len(k) else np.zeros(0, np.int64)
-    return k[starts], np.add.reduceat(c, starts) if len(k) else c
+    return k[starts], np.add.reduceat(c, starts, dtype=np.uint64) if len(k) else c
 
 
 class SortedFiles:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from textforge._ship import by_value
 from textforge.llm.common import (PACKED, Files, arrays_of, bucket_bits, id_text, pack_arrays, packed_batch, save_array, shared_dir, summed,
-                                  total_bytes, word_batches, word_hashes)
+                                  total_bytes, totals, unpack_arrays, word_batches, word_hashes)
 from textforge.session import materialize
 
 by_value(__name__)
@@ -124,6 +124,22 @@ class PairKeys:
         return u, w, own
 
 
+def merged_pairs(payloads, keys: PairKeys, bucket: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pair keys of a bucket and their counts. One payload at a time is unpacked, counts are kept in few bytes, and the parts
+    are let go before they are sorted: the task holds its pairs about four times, not ten."""
+    parts: list = []
+    for payload in payloads:
+        du, w, c = unpack_arrays(payload, 3)
+        parts.append((keys.join(bucket, np.cumsum(du).astype(np.int64), w.astype(np.int64)), c.astype(np.min_scalar_type(int(c.max(initial=0))))))
+        del du, w, c
+    k, c = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+    parts.clear()
+    order = np.argsort(k, kind="stable")
+    k, c = k[order], c[order]
+    del order
+    return totals(k, c)
+
+
 def discounts(n: list[int]) -> list[float]:
     """Discounts of counts 1, 2 and more (index 0: none) from the numbers of items with counts 1 to 4."""
     n1, n2, n3, n4 = n
@@ -175,8 +191,7 @@ def train(docs: DataFrame, bucket_bytes: int = 16_000_000) -> dict:
     def count_pairs(batches):
         words = Words(folder, bits, sizes)
         for held in word_batches(batches):
-            h, _ = token_hashes(held)
-            distinct, at = np.unique(h, return_inverse=True)
+            distinct, at = np.unique(token_hashes(held)[0], return_inverse=True)
             ids = words.ids(distinct)
             # numbers of the batch's words tell its pairs apart; each text has an end, the context of the first word
             pairs, c = np.unique(np.append(np.searchsorted(distinct, END), at[:-1]).astype(np.int64) * len(distinct) + at, return_counts=True)
@@ -194,9 +209,8 @@ def train(docs: DataFrame, bucket_bytes: int = 16_000_000) -> dict:
     def merge_pairs(table: pa.Table) -> pa.Table:
         b = table.column("bucket")[0].as_py()
         words = Words(folder, bits, sizes)
-        du, w, c = arrays_of(table, 3)
         keys = PairKeys(words, frequent)
-        pairs, c = summed([keys.join(b, np.cumsum(d).astype(np.int64), x.astype(np.int64)) for d, x in zip(du, w)], c)
+        pairs, c = merged_pairs((x.as_py() for x in table.column("payload")), keys, b)
         save_array(folder, f"pairs-{b}", pairs)
         save_array(folder, f"pair_counts-{b}", c.astype(np.min_scalar_type(int(c.max()))))
         rows = [(b, "counts", [int((c == i).sum()) for i in (1, 2, 3, 4)] + [len(c)])]
