@@ -38,3 +38,24 @@ def test_grep_cleans_once(spark, tmp_dir):
     assert {r.l_orderkey: (r.has_usd, r.has_eur) for r in grep_currency_lineitem(spark, tmp_dir).collect()}[4] == (True, True)
     plan = grep_currency_lineitem(spark, tmp_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("<.*?>") == 1
+
+
+def test_a_long_run_of_digits_is_tried_once(spark):
+    import time
+
+    df = spark.range(1).select(F.repeat(F.lit("7"), 60_000).alias("t"))
+    col = C.standardize_currency(C.standardize_units("t"))
+    df.select(F.length(col)).collect()
+    begun = time.time()
+    assert df.select(F.length(col).alias("n")).first().n == 60_000
+    assert time.time() - begun < 3  # from every digit on it takes far longer
+
+
+def test_native_encoding_repair_is_for_texts_that_need_it(spark):
+    from textforge.functions import encoding as E
+
+    marks = [*E.CURLY_SINGLE, *E.CURLY_DOUBLE, *(a for a, _ in E.LIGATURES), *E.FULLWIDTH_SRC, *map(chr, (*range(9), 11, *range(14, 32), 127, 0xFFF9, 0xFFFC))]
+    df = spark.createDataFrame([(f"a{m}é",) for m in marks] + [("plain",), ("é ü\t\n",), ("",), (None,)], "t string")
+    t = F.col("t")
+    assert df.filter(t.rlike(E.NEEDS_NATIVE)).count() == len(marks)
+    assert df.filter(~E.fix_encoding_native(t).eqNullSafe(E._fix_native(t))).collect() == []
