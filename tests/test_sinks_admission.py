@@ -57,3 +57,26 @@ def test_admission(spark, tmp_dir):
     assert not file_admission(spark, f"{tmp_dir}/a.jsonl", max_bytes=100).first().accepted
     files = file_admission(spark, f"{tmp_dir}/a.jsonl").collect()
     assert len(files) == 1 and files[0].accepted and files[0].file_size > 0
+
+
+def test_lines_are_numbered_over_the_files_of_a_folder(spark, tmp_dir):
+    from textforge.sources.jsonl import read_lines
+
+    for name, lines in (("a/part-00001-x.txt", "cd"), ("a/part-00000-x.txt", "ab"), ("b/part-00000-x.txt", "e")):
+        os.makedirs(os.path.dirname(f"{tmp_dir}/{name}"), exist_ok=True)
+        with open(f"{tmp_dir}/{name}", "w") as fh:
+            fh.writelines(f"{x}\n" for x in lines)
+    rows = read_lines(spark, [f"{tmp_dir}/a", f"{tmp_dir}/b"], by_folder=True).collect()
+    assert {(os.path.basename(r.file), r.line_number, r.value) for r in rows} == {("a", 1, "a"), ("a", 2, "b"), ("a", 3, "c"), ("a", 4, "d"), ("b", 1, "e")}
+
+
+def test_no_task_writes_a_whole_folder_of_lines(spark, tmp_dir):
+    from textforge.plans.q_sinks import _write_line_folders, admission_documents, file_lines_documents
+
+    spark.range(400).selectExpr("id as doc_id", "concat('text ', id) as text", "'en' as lang", "'web' as source", "9L as n_chars").write.parquet(f"{tmp_dir}/documents.parquet")
+    path = _write_line_folders(spark, tmp_dir, "test-lines")
+    for part in range(4):
+        assert sum(f.endswith(".txt") for f in os.listdir(f"{path}/part={part}")) > 1
+    blank = [[i // 4 + 1 for i in range(p, 400, 4) if i % 10 == 2] for p in range(4)]
+    assert {tuple(r) for r in file_lines_documents(spark, tmp_dir).collect()} == {(p, 100, len(x), sum(x)) for p, x in enumerate(blank)}
+    assert {tuple(r) for r in admission_documents(spark, tmp_dir).collect()} == {(p, 0, 100 - len(x), 100 - len(x) <= 85) for p, x in enumerate(blank)}

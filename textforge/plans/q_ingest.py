@@ -40,9 +40,12 @@ SPARK_LINE = f"""CASE doc_id % 10
 END"""
 
 
+def lines_of(d, *keep):
+    return d.select(*keep, (F.col("doc_id") + 1).alias("line_number"), F.expr(SPARK_LINE).alias("value"))
+
+
 def derived_lines(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-    return d.select((F.col("doc_id") + 1).alias("line_number"), F.expr(SPARK_LINE).alias("value"))
+    return lines_of(table(spark, sf_dir, "documents"))
 
 
 def _classified(spark, sf_dir):

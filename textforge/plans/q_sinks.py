@@ -9,7 +9,7 @@ from textforge.config import CleaningConfig, PipelineConfig
 from textforge.plans import ingest as I
 from textforge.plans.catalog import register, table
 from textforge.plans.preprocess import preprocess
-from textforge.plans.q_ingest import EXPECTED, derived_lines
+from textforge.plans.q_ingest import EXPECTED, derived_lines, lines_of
 from textforge.session import scratch_path
 from textforge.sinks import writers as K
 
@@ -190,6 +190,18 @@ def _write_lines(spark, sf_dir, name, path=None):
     return path
 
 
+def _write_line_folders(spark, sf_dir, name):
+    """The derived lines as one folder for each ``doc_id % 4``, whose files in the order of their names hold the lines in doc_id
+    order: no task gets a whole folder. The documents are dealt out before the lines are made, which the sample of the ranges
+    would else make, too."""
+    path = scratch_path(spark, name)
+    d = table(spark, sf_dir, "documents", spread_rows=False)
+    tasks = max(d.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    d = d.withColumn("part", F.col("doc_id") % 4).repartitionByRange(tasks, "part", "doc_id").sortWithinPartitions("part", "doc_id")
+    lines_of(d, "part").select("part", "value").write.partitionBy("part").text(path)
+    return path
+
+
 @register(
     "file_lines_documents",
     sql="""SELECT CAST(doc_id % 4 AS INTEGER) AS part, count(*) AS n_lines, count_if(doc_id % 10 = 2) AS n_blank,
@@ -200,7 +212,7 @@ def file_lines_documents(spark, sf_dir):
     from textforge.sources.jsonl import read_lines
     from textforge.functions.urls import strip_ws
 
-    lines = read_lines(spark, _write_lines(spark, sf_dir, "lines"))
+    lines = read_lines(spark, _write_line_folders(spark, sf_dir, "lines"), by_folder=True)
     blank = strip_ws(F.col("value")) == ""
     part = F.regexp_extract("file", "part=([0-9]+)", 1).cast("int")
     return lines.groupBy(part.alias("part")).agg(F.count("*").alias("n_lines"), F.count_if(blank).alias("n_blank"),
@@ -216,7 +228,7 @@ def admission_documents(spark, sf_dir):
     """Batches of 100 lines against a limit of 85 records: those with fewer blank lines are refused."""
     from textforge.sources.jsonl import admission, read_lines
 
-    a = admission(read_lines(spark, _write_lines(spark, sf_dir, "admission")), 100, max_records=85)
+    a = admission(read_lines(spark, _write_line_folders(spark, sf_dir, "admission"), by_folder=True), 100, max_records=85)
     return a.select(F.regexp_extract("file", "part=([0-9]+)", 1).cast("int").alias("part"), "batch_id", "n_records", "accepted")
 
 

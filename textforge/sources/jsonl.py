@@ -21,24 +21,29 @@ MIN_BATCH_RECORDS = 1
 MAX_FILE_BYTES = 50 * 1024 * 1024
 
 
-def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """JSONL/text files -> (file, line_number, value)."""
+def read_lines(spark: SparkSession, path: str | list[str], by_folder: bool = False) -> DataFrame:
+    """JSONL/text files -> (file, line_number, value).
+
+    ``by_folder``: the part files of a folder, in the order of their names, are one file, named by the folder."""
     raw = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("mid"),
         "value",
     )
+    if by_folder:
+        raw = raw.withColumn("part_file", F.col("file")).withColumn("file", F.regexp_replace("file", "/[^/]*$", ""))
     return number_lines(raw)
 
 
 def number_lines(raw: DataFrame) -> DataFrame:
-    """Line numbers from (file, block_start, mid): one row per split is aggregated, prefix-summed per file and joined back;
-    the join strategy is left to the planner."""
-    splits = raw.groupBy("file", "block_start").agg(F.count("*").alias("n"), F.min("mid").alias("first_mid"))
-    w = Window.partitionBy("file").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select("file", "block_start", "first_mid", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("offset"))
-    j = raw.join(offsets, ["file", "block_start"])
+    """Line numbers from (file, block_start, mid), or (file, part_file, block_start, mid): one row per split is aggregated,
+    prefix-summed per file and joined back; the join strategy is left to the planner."""
+    place = [c for c in ("part_file", "block_start") if c in raw.columns]
+    splits = raw.groupBy("file", *place).agg(F.count("*").alias("n"), F.min("mid").alias("first_mid"))
+    w = Window.partitionBy("file").orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select("file", *place, "first_mid", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("offset"))
+    j = raw.join(offsets, ["file", *place])
     return j.select("file", (F.col("offset") + F.col("mid") - F.col("first_mid") + 1).alias("line_number"), "value")
 
 
