@@ -80,3 +80,13 @@ def test_no_task_writes_a_whole_folder_of_lines(spark, tmp_dir):
     blank = [[i // 4 + 1 for i in range(p, 400, 4) if i % 10 == 2] for p in range(4)]
     assert {tuple(r) for r in file_lines_documents(spark, tmp_dir).collect()} == {(p, 100, len(x), sum(x)) for p, x in enumerate(blank)}
     assert {tuple(r) for r in admission_documents(spark, tmp_dir).collect()} == {(p, 0, 100 - len(x), 100 - len(x) <= 85) for p, x in enumerate(blank)}
+
+
+def test_fan_out_query_processes_once(spark, tmp_dir, monkeypatch):
+    from textforge.plans import q_sinks
+
+    spark.range(5).selectExpr("id as doc_id", "concat('text ', id) as text", "'en' as lang", "'web' as source", "9L as n_chars").write.parquet(f"{tmp_dir}/documents.parquet")
+    plans, fan_out = [], q_sinks.K.fan_out
+    monkeypatch.setattr(q_sinks.K, "fan_out", lambda p, *a, **k: (plans.append(p._jdf.queryExecution().optimizedPlan().toString()), fan_out(p, *a, **k))[1])
+    assert q_sinks.sink_fan_out_documents(spark, tmp_dir).count() == 15
+    assert len(plans) == 2 and not any("regexp_replace" in p for p in plans)

@@ -10,7 +10,7 @@ from textforge.plans import ingest as I
 from textforge.plans.catalog import register, table
 from textforge.plans.preprocess import preprocess
 from textforge.plans.q_ingest import EXPECTED, derived_lines, lines_of
-from textforge.session import scratch_path
+from textforge.session import materialize, scratch_path
 from textforge.sinks import writers as K
 
 RUN_DATE = "2024-06-01"
@@ -161,7 +161,7 @@ def sink_index_bulks_documents(spark, sf_dir):
 )
 def sink_fan_out_documents(spark, sf_dir):
     """K6: two sinks at once, and the default sink when none of the requested ones is enabled."""
-    path, p = scratch_path(spark, "sink-fan"), processed(spark, sf_dir)
+    path, p = scratch_path(spark, "sink-fan"), materialize(processed(spark, sf_dir), "fan-processed")  # for two calls
     K.fan_out(p, {"jsonl": {"path": f"{path}/jsonl"}, "daily_jsonl": {"folder": f"{path}/daily", "run_date": RUN_DATE}}, ["jsonl", "unknown", "daily_jsonl"])
     K.fan_out(p, {"daily_jsonl": {"folder": f"{path}/unused", "run_date": RUN_DATE}}, ["unknown"], default_path=f"{path}/default")
     wrapped = "document_id string, processed_data struct<cleaned_title:string>"
