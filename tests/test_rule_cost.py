@@ -59,3 +59,13 @@ def test_native_encoding_repair_is_for_texts_that_need_it(spark):
     t = F.col("t")
     assert df.filter(t.rlike(E.NEEDS_NATIVE)).count() == len(marks)
     assert df.filter(~E.fix_encoding_native(t).eqNullSafe(E._fix_native(t))).collect() == []
+
+
+def test_a_date_phrase_is_looked_at_once(spark):
+    from textforge.functions.dates import OPENING, normalize_date
+
+    df = spark.createDataFrame([("last friday, it is said",), ("  3 Days  ago ",), ("it was yesterday",), ("",), (None,)], "t string")
+    out = df.select("t", normalize_date(F.reverse(F.reverse("t")), F.lit("2024-06-01").cast("date")).alias("d"))
+    assert {r.t: r.d for r in out.collect()} == {"last friday, it is said": "2024-05-31", "  3 Days  ago ": "2024-05-29", "it was yesterday": None, "": None, None: None}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(OPENING) == 1 and plan.count("reverse(reverse(") == 1
