@@ -5,7 +5,7 @@ import itertools
 from pyspark.sql import functions as F
 
 from textforge.config import CleaningConfig
-from textforge.operators.typo import correct_typos, correction_map, damerau_levenshtein
+from textforge.operators.typo import correct_typos, correction_map, damerau_levenshtein, swap_distance, tokens_of
 
 CFG = CleaningConfig.settings_default()
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -64,3 +64,31 @@ def test_correct_text_rules(spark):
     assert out[1].startswith("The quick") and out[1].endswith("appel.")
     assert "the and apple in San Francisco" in out[2]
     assert out[3] == "Mixed iPhone McDonalds TEH"
+
+
+def test_tokens_are_those_of_str_split(spark):
+    """One search a text: every kind of white space, at the ends, alone, and none."""
+    texts = ["", " ", "a", " a b  c\t", "\x1c a \x85b　", "a-b !~ é ü", "​ x", "\n\n"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "id int, t string")
+    got = {r.id: r.a for r in rows.select("id", tokens_of(F.col("t")).alias("a")).collect()}
+    assert got == {**{i: t.split() for i, t in enumerate(texts)}, len(texts): None}
+
+
+def test_swaps_are_told_for_a_whole_batch():
+    """Against the distance itself, over pairs of every kind that are passed on."""
+    words = ["".join(w) for n in range(1, 6) for w in itertools.product("abc", repeat=n)]
+    pairs = [(v, w) for v in words[::3] for w in words[::2] if abs(len(v) - len(w)) <= 1]
+    for (v, w), d in zip(pairs, swap_distance([v for v, _ in pairs], [w for _, w in pairs])):
+        exact = damerau_levenshtein(v, w)
+        assert d >= min(exact, 3) or v == w, (v, w)  # never less than the distance
+        if d == 3 and exact <= 2:  # then letters replaced, added or dropped alone reach it
+            assert sum(x != y for x, y in zip(v, w)) <= 2 or exact == 1 or _levenshtein(v, w) <= 2, (v, w)
+
+
+def _levenshtein(a, b):
+    row = [*range(len(b) + 1)]
+    for i, x in enumerate(a, 1):
+        row, old = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(old[j] + 1, row[-1] + 1, old[j - 1] + (x != y)))
+    return row[-1]
