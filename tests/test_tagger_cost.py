@@ -22,7 +22,7 @@ def test_texts_with_the_mark_keep_their_matches(spark):
 
 
 def test_texts_without_marks_are_not_split_by_a_rule(spark):
-    """A split by a pattern compiles it for each row: it stands in the branch of texts that hold the mark only."""
+    """A split by a pattern is a second search: it stands in the branch of texts that hold the mark only."""
     df = spark.createDataFrame([("x",)], "t string").repartition(2)
     plan = df.select(rule_entities(F.col("t")).alias("e"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count(f", {C.MARK}, -1)") == len(RULES)
