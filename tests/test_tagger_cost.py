@@ -92,3 +92,88 @@ def test_rows_at_one_place_meet_as_in_a_join(spark, tmp_dir):
         assert once[kind].n_right == once[kind].n_true and twice[kind].n_true == 4 * once[kind].n_true
     assert twice["PERSON"].n_unseen == 8 * once["PERSON"].n_unseen or once["PERSON"].n_unseen_right < once["PERSON"].n_unseen
     assert "Join" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def one_step_after_another(texts, params, names, bits, batch):
+    """The perceptron's updates as they are defined: a batch is labelled by the weights that the ones before left."""
+    may_follow, may_start = G.allowed(names)
+    params, steps = [p.copy() for p in params], 1
+    late = [np.zeros_like(p) for p in params]
+    encoder = G.Encoder(bits)
+    for at in range(0, len(texts), batch):
+        part = texts[at : at + batch]
+        feats, lengths, gold = encoder.features([w for w, _ in part]), np.array([len(w) for w, _ in part]), np.concatenate([g for _, g in part])
+        got = G.viterbi(params[0][feats].sum(axis=1), lengths, params[1] + may_follow, params[2] + may_start)
+        first = np.cumsum(lengths) - lengths
+        for sign, labels in ((1.0, gold), (-1.0, got)):
+            for i in range(len(gold)):
+                if gold[i] != got[i]:
+                    for f in feats[i]:
+                        params[0][f, labels[i]] += sign
+                        late[0][f, labels[i]] += sign * steps
+                where = (2, labels[i]) if i in first else (1, (labels[i - 1], labels[i]))
+                params[where[0]][where[1]] += sign
+                late[where[0]][where[1]] += sign * steps
+        steps += 1
+    return G.flat(params), G.flat([p - d / steps for p, d in zip(params, late)])
+
+
+def labelled(r, n):
+    """Texts of made-up names and the entities in them; some overlap, some are of a type that is not learned."""
+    out = []
+    for _ in range(n):
+        words = r.choices(["Ann", "(Bob)", "of", "Ulm,", "--", "12", "paid", "x"], k=r.randint(0, 12))
+        text, found = r.choice(["", " ", "\n"]) + r.choice([" ", "  "]).join(words), []
+        for i, j in G.word_spans(text):
+            if text[i:j] in ("Ann", "(Bob)") and r.random() < 0.9:
+                found.append({"type": "PERSON", "start_char": i, "end_char": j})
+            elif text[i:j] == "Ulm,":
+                found.append({"type": r.choice(["GPE", "GPE", "NONE"]), "start_char": max(0, i - r.choice([0, 0, 4])), "end_char": j - 1})
+        out.append((text, found))
+    return out
+
+
+def test_a_pass_is_one_step_after_another():
+    """Right texts are labelled many at once: the same weights and means as batch by batch, and the same labels from entities."""
+    import pyarrow as pa
+
+    r, names, bits = random.Random(7), G.label_names(["GPE", "PERSON"]), 9
+    number = {n: i for i, n in enumerate(names)}
+    texts = labelled(r, 400)
+    y, size = len(names), (1 << bits) * len(names) + len(names) ** 2 + len(names)
+    start = G.unflat(np.array([r.choice([0.0, 0.0, 0.5, -1.0]) for _ in range(size)]), bits, y)
+    want = []
+    for text, found in texts:
+        spans = G.word_spans(text)
+        if spans:
+            want.append(([text[i:j] for i, j in spans], np.array(G.gold_labels(spans, found, number))))
+    kind = pa.list_(pa.struct([("type", pa.string()), ("start_char", pa.int32()), ("end_char", pa.int32())]))
+    batch = pa.record_batch({"shard": pa.array([0] * 402, pa.int32()), "text": pa.array([None, *(t for t, _ in texts), ""]), "entities": pa.array([None, *(e for _, e in texts), []], kind)})
+    now = G.Pass(start, names, 3)
+    row = G.packed(batch, number, bits)
+    lengths, ids, gold, table = G.unpacked(*(row.column(i)[0].as_py() for i in range(1, 5)), bits, y)
+    assert lengths.tolist() == [len(w) for w, _ in want] and gold.tolist() == np.concatenate([g for _, g in want]).tolist()
+    now.learn(lengths, ids, gold, table)
+    assert np.allclose(now.ends_and_means(), one_step_after_another(want, start, names, bits, 3))
+
+
+def test_all_labelled_texts_are_learned_from(spark):
+    """More than 20,000 texts: what only those with the greatest hashes of their ids show is learned, too."""
+    ids = spark.range(20_300).orderBy(F.xxhash64(F.col("id").cast("string")))
+    last = {r.id for r in ids.tail(300)}
+    rows = [(i, f"seen by Ann{i % 7} in Ulm", [("PERSON", 8, 12)]) if i in last else (i, "seen by nobody at all", []) for i in range(20_300)]
+    docs = spark.createDataFrame(rows, "id long, t string, e array<struct<type:string,start_char:int,end_char:int>>")
+    model = G.train(docs, "id", "t", "e", ["PERSON"], rounds=2, shards=3, bits=10)
+    assert G.tag(["seen by Ann3 in Ulm"], model) == [[{"type": "PERSON", "start_char": 8, "end_char": 12}]]
+
+
+def test_shards_are_summed_in_parts(spark, monkeypatch):
+    """Five shards, two at a time: the model of one sum."""
+    rows = [(i, t, [tuple(e.values()) for e in found]) for i, (t, found) in enumerate(labelled(random.Random(2), 200))]
+    docs = spark.createDataFrame(rows, "id long, t string, e array<struct<type:string,start_char:int,end_char:int>>")
+    fit = lambda: G.train(docs, "id", "t", "e", ["GPE", "PERSON"], rounds=2, shards=5, bits=9)
+    whole = fit()
+    monkeypatch.setattr(G, "PART", 2)
+    parts = fit()
+    for k in ("weights", "trans", "start"):
+        assert np.allclose(whole[k], parts[k], atol=1e-5) and whole[k].any()
