@@ -167,6 +167,29 @@ def test_files_delivered_again_are_left_out(spark, tmp_dir):
     assert run()[1] == {"a": "a first", "b": "b second", "c": "c second"}
 
 
+def test_digests_of_files_take_no_content_into_memory(spark, tmp_dir):
+    """Files longer than the binary source may read, with odd names: as before, one of each content."""
+    from textforge.streaming.ingest import file_digest, read_new_files
+
+    import hashlib
+
+    os.makedirs(f"{tmp_dir}/in/a b")
+    long = b"\xff\r\n" + "é".encode() * 1_500_000
+    for name, content in (("a b/x%20y.jsonl", long), ("z:1.jsonl", long), ("other.jsonl", long[:-2] + b"ab")):
+        with open(f"{tmp_dir}/in/{name}", "wb") as f:
+            f.write(content)
+    assert file_digest(f"file:{tmp_dir}/in/a b/x%20y.jsonl") == file_digest(f"file://{tmp_dir}/in/z:1.jsonl") == hashlib.sha256(long).hexdigest()
+    most = "spark.sql.sources.binaryFile.maxLength"
+    spark.conf.set(most, "1000")
+    try:
+        found = []
+        (read_new_files(spark, f"{tmp_dir}/in", "1 hour").writeStream.option("checkpointLocation", f"{tmp_dir}/cp").trigger(availableNow=True)
+         .foreachBatch(lambda df, _: found.extend(r.file for r in df.collect())).start().awaitTermination(300))
+    finally:
+        spark.conf.unset(most)
+    assert len(found) == 2 and [x for x in found if x.endswith("other.jsonl")]
+
+
 def test_entry_and_registry(spark):
     import __spark_entry__ as E
 

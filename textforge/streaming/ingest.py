@@ -13,14 +13,20 @@ name: the stream is then one of files, whose content digests are kept as state
 for that long after they came (watermark on the time of ingest, so a file's own
 age does not matter but to Spark's file source, which by its option maxFileAge
 passes over files a week older than the newest). A file whose content is known is left out before its lines are
-read; a trigger that brings nothing new writes nothing.
+read; a trigger that brings nothing new writes nothing. A file in a folder that the machines have mounted is digested piece by piece, so its
+size is no matter of memory; in another store Spark reads it as one value, of 2 GB at most.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from textforge._ship import by_value
 from textforge.config import PipelineConfig
 from textforge.operators.validate import ARTICLE_FIELDS
 from textforge.plans import ingest as I
@@ -30,6 +36,33 @@ from textforge.sinks.writers import upsert
 from textforge.sources.jsonl import number_lines
 
 
+by_value(__name__)
+
+PIECE = 1 << 20  # bytes
+
+
+def file_digest(path: str) -> str:
+    """SHA-256 of a file of a mounted folder (``file:/...``), read piece by piece."""
+    digest = hashlib.sha256()
+    with open("/" + path.removeprefix("file:").lstrip("/"), "rb") as f:
+        while piece := f.read(PIECE):
+            digest.update(piece)
+    return digest.hexdigest()
+
+
+def content_digest(spark: SparkSession, input_dir: str) -> Column:
+    """The digest of a row of the binary file source. Where Python reads the file, the source does not read its content."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(input_dir)
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme() != "file":
+        return F.sha2("content", 256)
+
+    def digest(paths: pa.Array) -> pa.Array:
+        return pa.array([file_digest(x) for x in paths.to_pylist()], pa.string())
+
+    digest.__annotations__ = {"paths": pa.Array, "return": pa.Array}
+    return F.arrow_udf(digest, T.StringType())(F.col("path"))
+
+
 def read_line_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int | None = None,
                      max_bytes_per_trigger: int | None = None) -> DataFrame:
     r = spark.readStream.format("text")
@@ -52,7 +85,7 @@ def read_new_files(spark: SparkSession, input_dir: str, redelivery_window: str,
         r = r.option("maxFilesPerTrigger", str(int(max_files_per_trigger)))
     if max_bytes_per_trigger:
         r = r.option("maxBytesPerTrigger", str(int(max_bytes_per_trigger)))
-    files = r.load(input_dir).select(F.col("path").alias("file"), F.sha2("content", 256).alias("digest"), "length", F.current_timestamp().alias("came"))
+    files = r.load(input_dir).select(F.col("path").alias("file"), content_digest(spark, input_dir).alias("digest"), "length", F.current_timestamp().alias("came"))
     return files.withWatermark("came", redelivery_window).dropDuplicatesWithinWatermark(["digest", "length"]).select("file")
 
 
