@@ -90,3 +90,18 @@ def test_fan_out_query_processes_once(spark, tmp_dir, monkeypatch):
     monkeypatch.setattr(q_sinks.K, "fan_out", lambda p, *a, **k: (plans.append(p._jdf.queryExecution().optimizedPlan().toString()), fan_out(p, *a, **k))[1])
     assert q_sinks.sink_fan_out_documents(spark, tmp_dir).count() == 15
     assert len(plans) == 2 and not any("regexp_replace" in p for p in plans)
+
+
+def test_fan_out_query_writes_one_intermediate_copy(spark, tmp_dir, monkeypatch):
+    """The processed records are written once for both calls; fan_out itself writes a copy only of what is not written yet."""
+    from textforge.plans import q_sinks
+    from textforge.sinks import writers
+
+    spark.range(5).selectExpr("id as doc_id", "concat('text ', id) as text", "'en' as lang", "'web' as source", "9L as n_chars").write.parquet(f"{tmp_dir}/documents.parquet")
+    copies, plain = [], writers.materialize
+    for module in (writers, q_sinks):
+        monkeypatch.setattr(module, "materialize", lambda df, name, *a: (copies.append(name), plain(df, name, *a))[1])
+    rows = q_sinks.sink_fan_out_documents(spark, tmp_dir).collect()
+    assert copies == ["fan-processed"] and sorted(r.sink for r in rows) == ["daily"] * 5 + ["default"] * 5 + ["jsonl"] * 5
+    writers.fan_out(q_sinks.processed(spark, tmp_dir), {"jsonl": {"path": f"{tmp_dir}/out"}})
+    assert copies == ["fan-processed", "fan-out"] and spark.read.json(f"{tmp_dir}/out").count() == 5

@@ -161,9 +161,9 @@ def sink_index_bulks_documents(spark, sf_dir):
 )
 def sink_fan_out_documents(spark, sf_dir):
     """K6: two sinks at once, and the default sink when none of the requested ones is enabled."""
-    path, p = scratch_path(spark, "sink-fan"), materialize(processed(spark, sf_dir), "fan-processed")  # for two calls
-    K.fan_out(p, {"jsonl": {"path": f"{path}/jsonl"}, "daily_jsonl": {"folder": f"{path}/daily", "run_date": RUN_DATE}}, ["jsonl", "unknown", "daily_jsonl"])
-    K.fan_out(p, {"daily_jsonl": {"folder": f"{path}/unused", "run_date": RUN_DATE}}, ["unknown"], default_path=f"{path}/default")
+    path, p = scratch_path(spark, "sink-fan"), materialize(processed(spark, sf_dir), "fan-processed", "zstd")  # for two calls
+    K.fan_out(p, {"jsonl": {"path": f"{path}/jsonl"}, "daily_jsonl": {"folder": f"{path}/daily", "run_date": RUN_DATE}}, ["jsonl", "unknown", "daily_jsonl"], written=True)
+    K.fan_out(p, {"daily_jsonl": {"folder": f"{path}/unused", "run_date": RUN_DATE}}, ["unknown"], default_path=f"{path}/default", written=True)
     wrapped = "document_id string, processed_data struct<cleaned_title:string>"
     read = lambda x: spark.read.schema(wrapped).json(f"{path}/{x}").select("document_id", "processed_data.cleaned_title", F.lit(x).alias("sink"))
     daily = spark.read.schema("document_id string, cleaned_title string").json(f"{path}/daily").select("document_id", "cleaned_title", F.lit("daily").alias("sink"))

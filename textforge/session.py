@@ -93,13 +93,13 @@ def remove_scratch(spark: SparkSession) -> int:
     return removed
 
 
-def materialize(df, name: str):
-    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+def materialize(df, name: str, compression: str | None = None):
+    """Write ``df`` as Parquet (by the session's codec, or ``compression``) under the shared checkpoint folder and read it back.
 
     Cuts lineage (a lost executor re-reads the table instead of recomputing
     the text chain) and lets several branches of a plan share one computation.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     return spark.read.parquet(path)

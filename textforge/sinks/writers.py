@@ -289,13 +289,14 @@ def select_backends(requested: Iterable[str] | None, enabled: Iterable[str]) ->
 
 
 def fan_out(processed: DataFrame, backends: dict[str, dict], requested: Iterable[str] | None = None,
-            default_path: str | None = None) -> list[str]:
+            default_path: str | None = None, written: bool = False) -> list[str]:
     """K6: compute once, write to every selected sink; returns their names.
 
-    ``default_path``: where results go when none of the requested sinks is enabled and ``jsonl`` has no options."""
+    ``default_path``: where results go when none of the requested sinks is enabled and ``jsonl`` has no options. ``written``:
+    ``processed`` is a written table already (``materialize``), and no second copy of it is made."""
     names = select_backends(requested, backends)
     options = {**({"jsonl": {"path": default_path}} if default_path else {}), **backends}
-    p = materialize(processed, "fan-out")
+    p = processed if written else materialize(processed, "fan-out", "zstd")
     for name in names:
         _SINKS[name](**options[name])(p)
     return names
