@@ -24,3 +24,23 @@ def test_one_search_a_rule(spark):
     df = spark.createDataFrame([("x",)], "t string").repartition(2)
     plan = df.select(rule_entities(F.col("t")).alias("e"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all(") == len(RULES)
+
+
+def test_texts_that_hold_no_part_of_a_match_are_not_searched(spark):
+    """The same matches as by plain search, from texts with and without what the tests look for; the tests stand before the searches."""
+    import random
+
+    from textforge.operators.entities import HOLDS
+
+    r = random.Random(8)
+    pieces = ["last", "next", "This", "week", "month.", "year", "Monday", "Sunday,", "yesterday", "Today", "tomorrow", "to", "day", "May", "Sept.", "5", "2020", "5,", "3rd",
+              "days", "ago", "12:30", "7", "pm", "AM", "USD", "EUR", "GBP", "$", "£", "€", "5.5", "%", "percent", "7%", "word", " é ", "2020-01-02", "1/2/2020"]
+    texts = [" ".join(r.choices(pieces, k=r.randint(0, 4))) for _ in range(3000)] + [p + q for p in pieces for q in pieces] + [None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", rule_entities(F.col("t")).alias("e")).collect()
+    for x in rows:
+        assert x.t is None and x.e is None or [(e.text, e.type, e.start_char, e.end_char) for e in x.e] == [
+            (m[0], k, m.start(), m.end()) for k, p in RULES for m in re.finditer(p, x.t, re.ASCII)]
+    assert {e.type for x in rows if x.e for e in x.e} == set(HOLDS) == {k for k, _ in RULES}
+    df = spark.createDataFrame([("x",)], "t string").repartition(2)
+    plan = df.select(rule_entities(F.col("t")).alias("e"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Contains(") >= 13 and plan.count("RLIKE") == 2
